@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from textmill.llm import exact_dedup
+from textmill.llm import bpe, chat, exact_dedup
 
 
 def queries():
     return {
+        "op2_bpe": bpe.op2_bpe,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+        "op10_chat": chat.op10_chat,
     }
 
 
 def oracle_sql():
     return {
         "op6_exact_dedup": exact_dedup.OP6_SQL,
+        "op10_chat": chat.OP10_SQL,
     }
