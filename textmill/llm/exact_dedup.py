@@ -61,6 +61,8 @@ def exact_dedup(
         groups = live.groupBy("label", "digit").agg(
             pick("id").alias("keep_id"), F.count(F.lit(1)).alias("n"), F.max("sha").alias("next")
         ).where("n > 1")
+        # Written, the groups are a join side of their own, and a hot group's rows can be split.
+        groups = scratch.write(groups)
         ended = F.length("digit") < width
         dealt = live.join(groups, ["label", "digit"], "left").select(
             "id",
