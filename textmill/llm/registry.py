@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from textmill.llm import bpe, chat, exact_dedup
+from textmill.llm import bpe, chat, exact_dedup, quality_rules
 
 
 def queries():
     return {
         "op2_bpe": bpe.op2_bpe,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+        "op7_quality_rules": quality_rules.op7_quality_rules,
         "op10_chat": chat.op10_chat,
     }
 
