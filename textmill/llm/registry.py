@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from textmill.llm import bpe, chat, exact_dedup, quality_rules
+from textmill.llm import bpe, chat, crf, exact_dedup, quality_rules
 
 
 def queries():
     return {
         "op2_bpe": bpe.op2_bpe,
+        "op3_quality_crf": crf.op3_quality_crf,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
         "op7_quality_rules": quality_rules.op7_quality_rules,
         "op10_chat": chat.op10_chat,
