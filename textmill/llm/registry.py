@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textmill.llm import bpe, chat, crf, exact_dedup, quality_rules
+from textmill.llm import bpe, chat, crf, exact_dedup, quality_rules, substring_dedup
 
 
 def queries():
@@ -11,6 +11,7 @@ def queries():
         "op3_quality_crf": crf.op3_quality_crf,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
         "op7_quality_rules": quality_rules.op7_quality_rules,
+        "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_chat": chat.op10_chat,
     }
 
@@ -18,5 +19,6 @@ def queries():
 def oracle_sql():
     return {
         "op6_exact_dedup": exact_dedup.OP6_SQL,
+        "op9_substring_dedup": substring_dedup.OP9_SQL,
         "op10_chat": chat.OP10_SQL,
     }
