@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from textmill.llm import bpe, chat, crf, exact_dedup, quality_rules, substring_dedup
+from textmill.llm import bpe, chat, crf, exact_dedup, line_dedup, packing, quality_rules, substring_dedup
 
 
 def queries():
     return {
+        "op1_best_fit_packing": packing.op1_best_fit_packing,
         "op2_bpe": bpe.op2_bpe,
         "op3_quality_crf": crf.op3_quality_crf,
+        "op4_line_dedup": line_dedup.op4_line_dedup,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
         "op7_quality_rules": quality_rules.op7_quality_rules,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
