@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textmill.llm import bpe, chat, crf, exact_dedup, line_dedup, packing, quality_rules, substring_dedup
+from textmill.llm import bpe, chat, crf, exact_dedup, line_dedup, near_dedup, packing, quality_rules, substring_dedup
 
 
 def queries():
@@ -13,6 +13,7 @@ def queries():
         "op4_line_dedup": line_dedup.op4_line_dedup,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
         "op7_quality_rules": quality_rules.op7_quality_rules,
+        "op8_near_dedup": near_dedup.op8_near_dedup,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_chat": chat.op10_chat,
     }
@@ -21,6 +22,7 @@ def queries():
 def oracle_sql():
     return {
         "op6_exact_dedup": exact_dedup.OP6_SQL,
+        "op8_near_dedup": near_dedup.OP8_SQL,
         "op9_substring_dedup": substring_dedup.OP9_SQL,
         "op10_chat": chat.OP10_SQL,
     }
