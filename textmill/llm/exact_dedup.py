@@ -61,10 +61,11 @@ def exact_dedup(
         groups = live.groupBy("label", "digit").agg(
             pick("id").alias("keep_id"), F.count(F.lit(1)).alias("n"), F.max("sha").alias("next")
         ).where("n > 1")
-        # Written, the groups are a join side of their own, and a hot group's rows can be split.
+        # Written, the groups are a join side of their own, and a hot group's rows can be
+        # split. They grow with the input, so they are never broadcast, however few.
         groups = scratch.write(groups)
         ended = F.length("digit") < width
-        dealt = live.join(groups, ["label", "digit"], "left").select(
+        dealt = live.join(groups.hint("merge"), ["label", "digit"], "left").select(
             "id",
             "sha",
             F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
