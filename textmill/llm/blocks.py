@@ -31,7 +31,7 @@ def ordered_blocks(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str
     """The written blocks and the total of their bytes.
 
     A block holds whole documents in the order of (id, text), null ids first; block
-    numbers rise with the ids, and rows of one id never lie in different ranges.
+    numbers rise with the ids, and rows of one id never lie in different blocks.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).cast("binary").alias("body"))
@@ -58,7 +58,7 @@ def ordered_blocks(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str
 
         for batch in batches:
             for i, body in zip(batch["id"], batch["body"], strict=True):
-                if held and held + len(body) > block_bytes:
+                if held and held + len(body) > block_bytes and (None if pd.isna(i) else int(i)) != ids[-1]:
                     yield row()
                     ids, bodies, held, number = [], [], 0, number + 1
                 ids.append(None if pd.isna(i) else int(i))
@@ -116,16 +116,20 @@ def split_by_bucket(ordered: np.ndarray, bits: int) -> Iterator[tuple[int, np.nd
         yield int(bucket[a]), ordered[a:b]
 
 
-def seen_earlier(blocks: DataFrame, hashes: Callable[[Block], np.ndarray], bits: int, scratch: Scratch) -> DataFrame:
-    """For every block: answers, one bit per sorted distinct hash, in bucket order.
+def seen_earlier(
+    blocks: DataFrame, hashes: Callable[[pd.Series], np.ndarray], bits: int, scratch: Scratch, sources: bool = False
+) -> DataFrame:
+    """For every block: answers for its sorted distinct hashes, in bucket order.
 
-    hashes(block) must give the same values whenever it is called.
+    bits: whether an earlier block holds it; with sources also first: whether this
+    block is the first of several, and source: the first block, for each bit set in
+    bits. hashes(row) must give the same values whenever it is called.
     """
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                out = [(b, row.block, pack_hashes(part)) for b, part in split_by_bucket(np.unique(hashes(Block(row))), bits)]
+                out = [(b, row.block, pack_hashes(part)) for b, part in split_by_bucket(np.unique(hashes(row)), bits)]
                 yield pd.DataFrame(out, columns=["bucket", "block", "hashes"])
 
     def answer(group: pd.DataFrame) -> pd.DataFrame:
@@ -135,32 +139,54 @@ def seen_earlier(blocks: DataFrame, hashes: Callable[[Block], np.ndarray], bits:
         order = np.argsort(everything, kind="stable")  # equal hashes stay in the order of their blocks
         ordered = everything[order]
         later = np.zeros(len(everything), dtype=bool)
-        later[order[1:]] = ordered[1:] == ordered[:-1]
+        again = ordered[1:] == ordered[:-1]
+        later[order[1:]] = again
         cuts = np.cumsum([len(p) for p in parts])[:-1]
-        return pd.DataFrame(
-            {
-                "block": group["block"].to_numpy(),
-                "bucket": group["bucket"].to_numpy(),
-                "n": [len(p) for p in parts],
-                "bits": [np.packbits(x).tobytes() for x in np.split(later, cuts)],
-            }
-        )
+        out = {
+            "block": group["block"].to_numpy(),
+            "bucket": group["bucket"].to_numpy(),
+            "n": [len(p) for p in parts],
+            "bits": [np.packbits(x).tobytes() for x in np.split(later, cuts)],
+        }
+        if sources:
+            first = np.zeros(len(everything), dtype=bool)
+            first[order[:-1]] = again
+            first &= ~later
+            of = np.repeat(group["block"].to_numpy(), [len(p) for p in parts])[order]
+            head = np.maximum.accumulate(np.where(np.append(True, ~again), np.arange(len(of)), 0))
+            source = np.empty(len(of), np.int64)
+            source[order] = of[head]
+            out["first"] = [np.packbits(x).tobytes() for x in np.split(first, cuts)]
+            out["source"] = [x[y].tobytes() for x, y in zip(np.split(source, cuts), np.split(later, cuts), strict=True)]
+        return pd.DataFrame(out)
 
     sent = blocks.mapInPandas(send, "bucket int, block long, hashes binary")
-    told = sent.groupBy("bucket").applyInPandas(answer, "block long, bucket int, n int, bits binary")
+    shape = "block long, bucket int, n int, bits binary" + ", first binary, source binary" * sources
+    told = sent.groupBy("bucket").applyInPandas(answer, shape)
     out = scratch.write(told)
     release_shuffles(blocks.sparkSession)
     return out
 
 
 def with_answers(blocks: DataFrame, told: DataFrame, name: str = "told") -> DataFrame:
-    """blocks with the answers to each: an array of (bucket, n, bits)."""
-    each = told.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "n", "bits"))).alias(name))
+    """blocks with the answers to each, an array in the order of their buckets."""
+    each = told.groupBy("block").agg(
+        F.array_sort(F.collect_list(F.struct("bucket", *[c for c in told.columns if c not in ("block", "bucket")]))).alias(name)
+    )
     return blocks.join(each, "block", "left")
 
 
-def read_answers(told) -> np.ndarray:
+def read_answers(told, name: str = "bits") -> np.ndarray:
     """The bits of one block, in the order of its sorted distinct hashes."""
     if told is None or not len(told):
         return np.empty(0, dtype=bool)
-    return np.concatenate([np.unpackbits(np.frombuffer(x["bits"], np.uint8))[: x["n"]] for x in told]).astype(bool)
+    return np.concatenate([np.unpackbits(np.frombuffer(x[name], np.uint8))[: x["n"]] for x in told]).astype(bool)
+
+
+def read_sources(told) -> np.ndarray:
+    """The first block of each hash that an earlier block holds; -1 for the others."""
+    later = read_answers(told)
+    out = np.full(len(later), -1, np.int64)
+    if len(later):
+        out[later] = np.concatenate([np.frombuffer(x["source"], np.int64) for x in told])
+    return out

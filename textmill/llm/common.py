@@ -67,6 +67,10 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def reread(self, written: DataFrame) -> DataFrame:
+        """The same table as a frame of its own, to be joined with the first."""
+        return self.spark.read.schema(written.schema).parquet(written._scratch_path)
+
     def drop(self, *written: DataFrame) -> None:
         """Delete tables that no later step reads."""
         for df in written:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textmill.llm import bpe, chat, crf, exact_dedup, line_dedup, near_dedup, packing, quality_rules, substring_dedup
+from textmill.llm import bpe, chat, crf, exact_dedup, line_dedup, near_dedup, packing, quality_rules, substring_dedup, suffix_dedup
 
 
 def queries():
@@ -11,6 +11,7 @@ def queries():
         "op2_bpe": bpe.op2_bpe,
         "op3_quality_crf": crf.op3_quality_crf,
         "op4_line_dedup": line_dedup.op4_line_dedup,
+        "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
         "op7_quality_rules": quality_rules.op7_quality_rules,
         "op8_near_dedup": near_dedup.op8_near_dedup,
@@ -21,6 +22,7 @@ def queries():
 
 def oracle_sql():
     return {
+        "op5_suffix_dedup": suffix_dedup.OP5_SQL,
         "op6_exact_dedup": exact_dedup.OP6_SQL,
         "op8_near_dedup": near_dedup.OP8_SQL,
         "op9_substring_dedup": substring_dedup.OP9_SQL,

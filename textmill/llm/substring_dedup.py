@@ -72,7 +72,7 @@ def dedup_windows(
 
     def hashes():
         memory = WordHashes()
-        return lambda block: _hashes(block, width, memory)[-1]
+        return lambda row: _hashes(Block(row), width, memory)[-1]
 
     told = seen_earlier(blocks, hashes(), bucket_bits(total // 6), scratch)
 
