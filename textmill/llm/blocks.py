@@ -24,7 +24,7 @@ from textmill.llm.common import Scratch, release_shuffles, text_or_empty
 
 BLOCK_BYTES = 4 << 20
 BUCKET_HASHES = 2 << 20
-BLOCK = "block long, ids binary, known binary, sizes binary, body binary"
+BLOCK = "block long, ids binary, known binary, hashes binary, sizes binary, body binary"
 
 
 def ordered_blocks(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
@@ -34,13 +34,15 @@ def ordered_blocks(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str
     numbers rise with the ids, and rows of one id never lie in different blocks.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).cast("binary").alias("body"))
+    text = text_or_empty(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.cast("binary").alias("body"))
     total = rows.agg(F.sum(F.length("body"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total // (4 * block_bytes)) + 1)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number = TaskContext.get().partitionId() << 32
         ids: list[int | None] = []
+        hashes: list[int] = []
         bodies: list[bytes] = []
         held = 0
 
@@ -51,17 +53,19 @@ def ordered_blocks(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str
                     "block": [number],
                     "ids": [np.array([i or 0 for i in ids], np.int64).tobytes()],
                     "known": [np.array(known, np.uint8).tobytes()],
+                    "hashes": [np.array(hashes, np.int64).tobytes()],
                     "sizes": [np.array([len(b) for b in bodies], np.int64).tobytes()],
                     "body": [b"".join(bodies)],
                 }
             )
 
         for batch in batches:
-            for i, body in zip(batch["id"], batch["body"], strict=True):
+            for i, h, body in zip(batch["id"], batch["h"], batch["body"], strict=True):
                 if held and held + len(body) > block_bytes and (None if pd.isna(i) else int(i)) != ids[-1]:
                     yield row()
-                    ids, bodies, held, number = [], [], 0, number + 1
+                    ids, hashes, bodies, held, number = [], [], [], 0, number + 1
                 ids.append(None if pd.isna(i) else int(i))
+                hashes.append(h)
                 bodies.append(bytes(body))
                 held += len(body)
         if ids:
@@ -79,6 +83,7 @@ class Block:
     def __init__(self, row):
         self.ids = np.frombuffer(row.ids, np.int64)
         self.known = np.frombuffer(row.known, np.uint8).astype(bool)
+        self.hashes = np.frombuffer(row.hashes, np.int64)  # Spark's xxhash64 of each text
         self.sizes = np.frombuffer(row.sizes, np.int64)
         self.body = bytes(row.body)
         self.ends = np.cumsum(self.sizes)

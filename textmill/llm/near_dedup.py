@@ -251,7 +251,7 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Id, n_shingles, component_id and kept of every row.
+    """Id, n_shingles, component_id, kept and text_hash (Spark's xxhash64 of the text) of every row.
 
     Documents are linked whose sets of distinct shingles have a Jaccard similarity
     of percent or more; a component's rows are those linked directly or through
@@ -309,18 +309,20 @@ def near_duplicates(
     heads = named.join(named.groupBy("comp").agg(F.min("id").alias("head")), "comp").select("cls", "head")
     heads = scratch.write(heads)
     release_shuffles(spark)
-    out = told.select("id", "n", "cls").join(heads, "cls", "left")
+    out = told.select("id", "h", "n", "cls").join(heads, "cls", "left")
     component = F.when(F.col("n") > 0, F.col("head")).otherwise(F.col("id"))
     return out.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.col("id").eqNullSafe(component).alias("kept"),
+        F.col("h").alias("text_hash"),
     )
 
 
 def op8_near_dedup(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 OP8_SQL = r"""

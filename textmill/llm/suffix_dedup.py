@@ -224,15 +224,24 @@ def matched(index: RunIndex, texts: list[bytes], width: int) -> list[np.ndarray]
     return out
 
 
+def whole_characters(body: np.ndarray, lost: np.ndarray) -> str:
+    """The characters none of whose bytes is lost."""
+    character = np.cumsum((body & 0xC0) != 0x80)
+    hurt = np.zeros(int(character[-1]) + 1, dtype=bool)
+    hurt[character[lost]] = True
+    return body[~hurt[character]].tobytes().decode()
+
+
 def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """Id, n_bytes, n_removed, n_spans, kept_sha256 (and spans, kept: binary) of every row.
+    """Id, n_bytes, n_removed, n_spans, kept_sha256 (with_text: and spans, kept_text, text_hash) of every row.
 
     Strings are judged on the input, as UTF-8, and never cross documents. spans are
-    the maximal removed runs of bytes, from and to (exclusive); kept is what is left,
-    joined, which may split characters. A null text is empty; a null id is smaller
-    than any other; rows of one id are one document as far as order goes, so none of
-    them is removed for another. An empty table gives an empty result; other columns
-    are ignored.
+    the maximal removed runs of bytes, from and to (exclusive); kept_sha256 is of all
+    other bytes, joined; kept_text is these without characters that were cut into, or
+    null where nothing is removed; text_hash is Spark's xxhash64 of the text. A null
+    text is empty; a null id is smaller than any other; rows of one id are one
+    document as far as order goes, so none of them is removed for another. An empty
+    table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix-dedup")
@@ -320,13 +329,15 @@ def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
                     x, y = intervals(lost)
                     left = (body[a:b][~lost] if len(x) else body[a:b]).tobytes()
                     line = (block.id_of(i), int(b - a), int(lost.sum()), len(x), hashlib.sha256(left).hexdigest())
-                    spans = [{"begin": int(p), "end": int(q)} for p, q in zip(x, y, strict=True)]
-                    out.append((*line, spans, left) if with_text else line)
-                names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["spans", "kept"] * with_text]
+                    if with_text:
+                        spans = [{"begin": int(p), "end": int(q)} for p, q in zip(x, y, strict=True)]
+                        line = (*line, spans, whole_characters(body[a:b], lost) if len(x) else None, int(block.hashes[i]))
+                    out.append(line)
+                names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["spans", "kept_text", "text_hash"] * with_text]
                 yield pd.DataFrame(out, columns=names).astype({"id": "Int64"})
 
     shape = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    more = ", spans array<struct<begin: long, end: long>>, kept binary"
+    more = ", spans array<struct<begin: long, end: long>>, kept_text string, text_hash long"
     out = blocks.join(each, "block", "left").mapInPandas(remove, shape + more * with_text)
     return out.withColumnRenamed("id", id_col)
 
