@@ -14,13 +14,17 @@ def _dense(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, rank
 
 
+#: Symbols that one packed word holds, at 9 bits each.
+PACKED = 7
+
+
 class RunIndex:
     """Index of a text of bytes that may hold separators.
 
     The text is an array of symbols 0 (separator, matched by nothing) to 256 (byte
     + 1). What is kept of the transform is its runs: their symbols, their starts,
     where the last-to-first mapping sends each start, and the suffix positions at
-    both ends of each run. Ranks of the first 1, 2, 4 ... symbols, a by-product of
+    both ends of each run. Ranks of the first 7, 14, 28 ... symbols, a by-product of
     the suffix sort, give common extensions up to ``most`` symbols.
     """
 
@@ -28,21 +32,25 @@ class RunIndex:
         self.text = np.append(text.astype(np.int64), 0)
         n = len(self.text)
         self.most = most
-        self.levels: list[np.ndarray] = []  # ranks by the first 2**k symbols
-        order, rank = _dense(self.text)
-        span = 1
+        padded = np.append(self.text, np.zeros(PACKED, np.int64))
+        word = np.zeros(n, np.int64)
+        for k in range(PACKED):
+            word = (word << 9) | padded[k : k + n]
+        self.word = word
+        self.levels: list[np.ndarray] = []  # ranks by the first PACKED * 2**k symbols
+        order, rank = _dense(word)
+        span = PACKED
         while True:
-            if span < most:
+            if sum(PACKED << k for k in range(len(self.levels))) < most:
                 self.levels.append(rank.astype(np.int32))
-            if rank[order[-1]] == n - 1:
+            if rank[order[-1]] == n - 1 or span >= 2 * n:
                 break
             ahead = np.zeros(n, np.int64)
-            ahead[:-span] = rank[span:] + 1 if span < n else 0
+            if span < n:
+                ahead[:-span] = rank[span:] + 1
             order, rank = _dense(rank * (n + 1) + ahead)
             span *= 2
-            if span >= 2 * n:
-                break
-        while 1 << len(self.levels) < most:  # suffixes differ earlier than that
+        while sum(PACKED << k for k in range(len(self.levels))) < most:  # suffixes differ earlier than that
             self.levels.append(rank.astype(np.int32))
         last = self.text[order - 1]
         starts = np.flatnonzero(np.append(True, last[1:] != last[:-1]))
@@ -69,10 +77,14 @@ class RunIndex:
             rank = self.levels[k]
             inside = (a < n) & (b < n)
             same = inside & (rank[np.minimum(a, n - 1)] == rank[np.minimum(b, n - 1)])
-            step = same.astype(np.int64) << k
+            step = same.astype(np.int64) * (PACKED << k)
             out += step
             a += step
             b += step
+        inside = (a < n) & (b < n)
+        differ = self.word[np.minimum(a, n - 1)] ^ self.word[np.minimum(b, n - 1)]
+        for k in range(PACKED - 1, 0, -1):  # symbols before the first that differs
+            out += inside & (differ >> (9 * k) == 0)
         return np.minimum(out, most)
 
     def matching_statistics(self, patterns: list[np.ndarray]) -> list[np.ndarray]:

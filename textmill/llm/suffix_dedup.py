@@ -1,21 +1,25 @@
 """Suffix-array deduplication of bytes with run-length indexes.
 
 A byte goes if a string of ``width`` bytes over it also starts in a document with
-a smaller id. Strings are found in three steps:
+a smaller id. Exact copies of a whole text go as a whole (a text is told by its
+SHA-256), so only one document of each text takes part in what follows.
 
 1. Anchors. The least hash of the 26-byte grams of every 50-byte window names the
    window's anchor. Equal windows have equal anchors, so only windows whose anchor
-   another document has, too, can repeat; the runs of such windows are cut out.
-2. Routing. The windows of those runs are hashed, and each learns the block of
-   documents that has it first. Runs of windows with one first block are pieces;
+   another document has, too, can repeat; the stretches of such windows are cut out.
+   Neighbouring windows with one anchor are a run.
+2. Routing. The bytes of a run are hashed, and each run learns the block of
+   documents that has it first. What is left are runs that no earlier document has
+   as a whole: where one anchor has several of these, their windows are hashed and
+   routed one by one. Windows in a row with one first block are a piece; runs and
    windows that are first themselves and occur again are that block's sources.
 3. Index. Every block's sources are indexed (a run-compressed Burrows-Wheeler
    transform with sampled run ends, see run_index.py), the pieces are streamed
    through it, and positions whose matching statistic reaches ``width`` are marked.
 
-So hashes only tell where to look, and what is removed has been matched byte for
-byte. A document's equal pieces, and those of a block, are sent once; the pieces
-for one block's sources are salted by their number.
+So hashes of parts only tell where to look; what is removed from a text has been
+matched byte for byte. Equal pieces of a block are sent once, and the pieces for
+one block's sources are salted by their size.
 """
 
 from __future__ import annotations
@@ -29,29 +33,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.blocks import Block, bucket_bits, ordered_blocks, read_answers, read_sources, seen_earlier, with_answers
-from textmill.llm.common import Scratch, release_shuffles, table
+from textmill.llm.common import Scratch, release_shuffles, table, text_or_empty
 from textmill.llm.hashing import mixed, powers
 from textmill.llm.run_index import RunIndex
 from textmill.llm.substring_dedup import intervals
 
-#: Bytes are worked through in stretches of this length, each overlapping the next.
-STRETCH = 1 << 20
+#: Windows hashed at a time: few enough to stay in a processor's cache.
+STRETCH = 1 << 16
 #: Long pieces are streamed in parts of this length, side by side.
 PART = 2048
 SALT_BYTES = 16 << 20
 
+_SPREAD = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_MIX = np.uint64(0x94D049BB133111EB)
+
+
+def _sums(body: np.ndarray) -> np.ndarray:
+    """Prefix sums of the bytes' values times the powers of the base."""
+    total = np.empty(len(body) + 1, np.uint64)
+    total[0] = 0
+    values = _SPREAD[body]
+    values *= powers(len(body) + 1)[0][: len(body)]
+    np.cumsum(values, out=total[1:])
+    return total
+
+
+def _finished(x: np.ndarray) -> np.ndarray:
+    x ^= x >> np.uint64(32)
+    x *= _MIX
+    x ^= x >> np.uint64(29)
+    return x
+
 
 def byte_windows(body: np.ndarray, width: int) -> np.ndarray:
     """The hash of body[i : i + width] for every i."""
     n = len(body) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    up, down = powers(len(body) + 1)
-    total = np.empty(len(body) + 1, np.uint64)
-    total[0] = 0
-    spread = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    np.cumsum(spread[body] * up[: len(body)], out=total[1:])
-    return mixed((total[width:] - total[:n]) * down[:n])
+    total = _sums(body)
+    out = total[width:] - total[:n]
+    out *= powers(len(body) + 1)[1][:n]
+    return _finished(out)
+
+
+def byte_strings(body: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hashes of some strings of body."""
+    total = _sums(body)
+    out = (total[ends] - total[begins]) * powers(len(body) + 1)[1][begins]
+    return _finished(out + (ends - begins).astype(np.uint64))
 
 
 def window_anchors(body: np.ndarray, width: int) -> np.ndarray:
@@ -69,31 +98,39 @@ def window_anchors(body: np.ndarray, width: int) -> np.ndarray:
 def anchor_runs(block: Block, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows of one document with one anchor: anchor, document, first and end position."""
     body = np.frombuffer(block.body, np.uint8)
-    values, docs, begins, ends = [], [], [], []
-    for at in range(0, max(0, len(body) - width + 1), STRETCH):
+    n = len(body) - width + 1
+    none = np.empty(0, np.int64)
+    if n <= 0:
+        return np.empty(0, np.uint64), none, none, none
+    inside = np.maximum(block.sizes - width + 1, 0)
+    kinds = np.tile(np.array([True, False]), len(inside))
+    valid = np.repeat(kinds, np.column_stack([inside, block.sizes - inside]).ravel())[:n]
+    fresh = np.zeros(len(body) + 1, dtype=bool)
+    fresh[block.ends - block.sizes] = True
+    values, places = [], []
+    before = None
+    for at in range(0, n, STRETCH):
         least = window_anchors(body[at : at + STRETCH + width - 1], width)
-        where = np.arange(at, at + len(least))
-        doc = np.searchsorted(block.ends, where, side="right")
-        inside = where + width <= block.ends[doc]
-        least, where, doc = least[inside], where[inside], doc[inside]
-        if not len(least):
-            continue
-        new = np.flatnonzero(
-            np.concatenate(([True], (least[1:] != least[:-1]) | (doc[1:] != doc[:-1]) | (where[1:] != where[:-1] + 1)))
-        )
+        change = fresh[at : at + len(least)].copy()
+        change[1:] |= least[1:] != least[:-1]
+        change[0] |= before is None or least[0] != before
+        before = least[-1]
+        change &= valid[at : at + len(least)]
+        new = np.flatnonzero(change)
         values.append(least[new])
-        docs.append(doc[new])
-        begins.append(where[new])
-        ends.append(where[np.append(new[1:], len(where)) - 1] + 1)
-    if not values:
-        none = np.empty(0, np.int64)
+        places.append(new + at)
+    begins = np.concatenate(places)
+    if not len(begins):
         return np.empty(0, np.uint64), none, none, none
-    return np.concatenate(values), np.concatenate(docs), np.concatenate(begins), np.concatenate(ends)
+    docs = np.searchsorted(block.ends, begins, side="right")
+    # A run ends where the next one begins or its document has no more windows.
+    ends = np.minimum(np.append(begins[1:], n), block.ends[docs] - width + 1)
+    return np.concatenate(values), docs, begins, ends
 
 
 def _in_other_documents(values: np.ndarray, owners: np.ndarray) -> np.ndarray:
     """Whether a value is also found with another owner."""
-    order = np.lexsort((owners, values))
+    order = np.argsort(values, kind="stable")
     v, o = values[order], owners[order]
     begins = np.flatnonzero(np.append(True, v[1:] != v[:-1])) if len(v) else np.empty(0, np.int64)
     out = np.zeros(len(values), dtype=bool)
@@ -109,8 +146,12 @@ def _owner(block: Block) -> np.ndarray:
     return np.cumsum(new)[: len(block.ids)]
 
 
+CUT = "block long, doc binary, owner binary, begin binary, size binary, cut binary, values binary, run_begin binary, run_end binary"
+CUT_NAMES = [x.split()[0] for x in CUT.split(", ")]
+
+
 def cut_candidates(row, width: int) -> tuple:
-    """The stretches of a block whose windows have shared anchors: document, owner, begin, bytes each, and the bytes."""
+    """The stretches of a block whose windows have shared anchors, and their runs; a row of CUT."""
     block = Block(row)
     values, docs, begins, ends = anchor_runs(block, width)
     owner = _owner(block)
@@ -118,74 +159,115 @@ def cut_candidates(row, width: int) -> tuple:
     if len(values):
         distinct, which = np.unique(values, return_inverse=True)
         shared |= read_answers(row.told)[which] | read_answers(row.told, "first")[which]
-    docs, begins, ends = docs[shared], begins[shared], ends[shared]
+    values, docs, begins, ends = values[shared], docs[shared], begins[shared], ends[shared]
     if not len(docs):
-        return (row.block, b"", b"", b"", b"", b"")
+        return (row.block, *[b""] * 8)
     new = np.append(True, (docs[1:] != docs[:-1]) | (begins[1:] != ends[:-1]))
     first = np.flatnonzero(new)
     begin, end = begins[first], ends[np.append(first[1:], len(docs)) - 1] + width - 1
     doc = docs[first]
-    body = block.body
-    cut = b"".join(body[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True))
+    cut = b"".join([block.body[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)])
+    size = end - begin
     local = begin - (block.ends - block.sizes)[doc]
+    shift = (np.cumsum(size) - size - begin)[np.cumsum(new) - 1]
     return (
-        row.block, doc.astype(np.int32).tobytes(), owner[doc].astype(np.int32).tobytes(),
-        local.astype(np.int64).tobytes(), (end - begin).astype(np.int64).tobytes(), cut,
+        row.block, doc.astype(np.int32).tobytes(), owner[doc].astype(np.int32).tobytes(), local.tobytes(), size.tobytes(),
+        cut, values.tobytes(), (begins + shift).tobytes(), (ends + shift).tobytes(),
     )
 
 
+def resolve(keys: np.ndarray, owner: np.ndarray, told, me: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a block's keys, in the order of its documents: the block of each one's first holder, if that is an
+    earlier document (else -1), and whether this very one is the first and other documents have it, too."""
+    if not len(keys):
+        return np.empty(0, np.int64), np.empty(0, dtype=bool)
+    _, first, which = np.unique(keys, return_index=True, return_inverse=True)
+    source = read_sources(told)[which]
+    mine = owner[first[which]]
+    source = np.where((source < 0) & (mine < owner), me, source)
+    again = np.zeros(len(first), dtype=bool)
+    again[which[owner != mine]] = True
+    is_first = (source < 0) & (first[which] == np.arange(len(which))) & (read_answers(told, "first")[which] | again[which])
+    return source, is_first
+
+
 class Cut:
-    """A row of the candidates table; windows never cross its stretches."""
+    """A row of the candidates table."""
 
     def __init__(self, row, width: int):
+        self.block = row.block
+        self.width = width
         self.doc = np.frombuffer(row.doc, np.int32)
         self.owner = np.frombuffer(row.owner, np.int32)
         self.begin = np.frombuffer(row.begin, np.int64)
         self.size = np.frombuffer(row.size, np.int64)
         self.body = bytes(row.cut)
-        ends = np.cumsum(self.size)
-        self.starts = ends - self.size
-        n = np.maximum(self.size - width + 1, 0)
-        self.stretch = np.repeat(np.arange(len(self.size)), n)
-        self.at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.starts, n)
-        body = np.frombuffer(self.body, np.uint8)
-        parts = []
-        for a in range(0, max(0, len(body) - width + 1), STRETCH):
-            parts.append(byte_windows(body[a : a + STRETCH + width - 1], width))
-        self.hashes = np.concatenate(parts)[self.at] if parts else np.empty(0, np.uint64)
+        self.bytes = np.frombuffer(self.body, np.uint8)
+        self.ends = np.cumsum(self.size)
+        self.values = np.frombuffer(row.values, np.uint64)
+        self.run_begin = np.frombuffer(row.run_begin, np.int64)
+        self.run_end = np.frombuffer(row.run_end, np.int64)
+        self.stretch = np.searchsorted(self.ends, self.run_begin, side="right")
+        self.run_owner = self.owner[self.stretch]
+
+    def run_keys(self) -> np.ndarray:
+        """The hash of each run's bytes, together with its anchor."""
+        return mixed(self.values + byte_strings(self.bytes, self.run_begin, self.run_end + self.width - 1))
+
+    def open_runs(self, told) -> np.ndarray:
+        """The runs that no earlier document has as a whole."""
+        return np.flatnonzero(resolve(self.run_keys(), self.run_owner, told, self.block)[0] < 0)
+
+    def mixed_runs(self, told, told_open) -> np.ndarray:
+        """Of these, the runs whose anchor another document's open run has, too."""
+        runs = self.open_runs(told)
+        values = self.values[runs]
+        shared = _in_other_documents(values, self.run_owner[runs])
+        if len(values):
+            _, which = np.unique(values, return_inverse=True)
+            shared |= read_answers(told_open)[which] | read_answers(told_open, "first")[which]
+        return runs[shared]
+
+    def windows_of(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the windows of some runs, and their owners."""
+        n = self.run_end[runs] - self.run_begin[runs]
+        at = np.arange(int(n.sum())) + np.repeat(self.run_begin[runs] - (np.cumsum(n) - n), n)
+        return at, np.repeat(self.run_owner[runs], n)
+
+    def window_keys(self, at: np.ndarray) -> np.ndarray:
+        return byte_strings(self.bytes, at, at + self.width)
 
 
 def route(row, width: int) -> tuple[list[tuple], bytes, int]:
     """Pieces (source block, block, bytes, documents, begins) of a block; its sources, their lengths in front, and how many."""
     cut = Cut(row, width)
-    if not len(cut.hashes):
-        return [], b"", 0
-    _, first, which = np.unique(cut.hashes, return_index=True, return_inverse=True)
-    source = read_sources(row.told)[which]
-    owner = cut.owner[cut.stretch]
-    # Stretches go by document, so the first place of a hash is that of its smallest id.
-    mine = owner[first[which]]
-    source = np.where((source < 0) & (mine < owner), row.block, source)
-    again = np.zeros(len(first), dtype=bool)
-    again[which[owner != mine]] = True
-    wanted = (source < 0) & (owner == mine) & (read_answers(row.told, "first")[which] | again[which])
-    # A document's own second copy of a source need not be indexed.
-    wanted &= first[which] == np.arange(len(which))
-    joined = np.append(False, (cut.at[1:] == cut.at[:-1] + 1) & (cut.stretch[1:] == cut.stretch[:-1]))
-    new = np.flatnonzero(~joined | np.append(True, wanted[1:] != wanted[:-1]))
-    sources = []
-    for a, b in zip(new, np.append(new[1:], len(wanted)), strict=True):
-        if wanted[a]:
-            sources.append(cut.body[cut.at[a] : cut.at[b - 1] + width])
-    new = np.flatnonzero(~joined | np.append(True, source[1:] != source[:-1]))
+    run_source, run_first = resolve(cut.run_keys(), cut.run_owner, row.told, row.block)
+    # By position of the cut bytes: the source block of the window there, and whether it is a source itself.
+    source = np.full(len(cut.body), -1, np.int64)
+    wanted = np.zeros(len(cut.body), dtype=bool)
+    n = cut.run_end - cut.run_begin
+    at, _ = cut.windows_of(np.arange(len(n)))
+    source[at] = np.repeat(run_source, n)
+    wanted[at] = np.repeat(run_first, n)
+    at, owner = cut.windows_of(cut.mixed_runs(row.told, row.told_open))
+    window_source, window_first = resolve(cut.window_keys(at), owner, row.told_windows, row.block)
+    hit = window_source >= 0
+    source[at[hit]] = window_source[hit]
+    wanted[at] |= window_first
+    edge = np.zeros(len(cut.body) + 1, dtype=bool)
+    edge[cut.ends - cut.size] = edge[0] = True
+    new = np.flatnonzero(edge[:-1] | np.append(True, wanted[1:] != wanted[:-1]))
+    sources = [
+        cut.body[a : b + width - 1] for a, b in zip(new, np.append(new[1:], len(wanted)), strict=True) if wanted[a]
+    ]
+    new = np.flatnonzero(edge[:-1] | np.append(True, source[1:] != source[:-1]))
+    stretch = np.searchsorted(cut.ends, new, side="right")
     pieces: dict[tuple[int, bytes], tuple[list[int], list[int]]] = {}
-    for a, b in zip(new, np.append(new[1:], len(source)), strict=True):
+    for a, b, k in zip(new.tolist(), [*new[1:].tolist(), len(source)], stretch, strict=True):
         if source[a] >= 0:
-            k = cut.stretch[a]
-            text = cut.body[cut.at[a] : cut.at[b - 1] + width]
-            docs, begins = pieces.setdefault((int(source[a]), text), ([], []))
+            docs, begins = pieces.setdefault((int(source[a]), cut.body[a : b + width - 1]), ([], []))
             docs.append(int(cut.doc[k]))
-            begins.append(int(cut.begin[k] + cut.at[a] - cut.starts[k]))
+            begins.append(int(cut.begin[k] + a - (cut.ends[k] - cut.size[k])))
     rows = [
         (s, row.block, text, np.array(docs, np.int32).tobytes(), np.array(begins, np.int64).tobytes())
         for (s, text), (docs, begins) in pieces.items()
@@ -245,7 +327,14 @@ def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix-dedup")
-    blocks, total = ordered_blocks(docs, scratch, id_col, text_col)
+    text = text_or_empty(text_col)
+    named = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.sha2(text, 256).alias("sha"))
+    order = F.struct(F.col("id").isNotNull().alias("known"), "id")
+    heads = named.groupBy("sha").agg(F.min(order).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    heads = scratch.write(heads.select("sha", F.col("head.id").alias("head"), F.lit(True).alias("grouped")))
+    # Of each text, the document with the smallest id; all other documents of that text are copies.
+    is_copy = F.col("grouped").isNotNull() & ~F.col("id").eqNullSafe(F.col("head"))
+    blocks, total = ordered_blocks(named.join(heads.hint("merge"), "sha", "left").where(~is_copy), scratch, "id", "text")
 
     def anchors(row) -> np.ndarray:
         return anchor_runs(Block(row), width)[0]
@@ -255,14 +344,29 @@ def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                yield pd.DataFrame([cut_candidates(row, width)], columns=["block", "doc", "owner", "begin", "size", "cut"])
+                yield pd.DataFrame([cut_candidates(row, width)], columns=CUT_NAMES)
 
-    shape = "block long, doc binary, owner binary, begin binary, size binary, cut binary"
-    cuts = scratch.write(with_answers(blocks, told.drop("source")).mapInPandas(cut, shape).where("length(doc) > 0"), row_group_mb=32)
+    whole = with_answers(blocks, told.drop("source"))
+    cuts = scratch.write(whole.mapInPandas(cut, CUT).where("length(doc) > 0"), row_group_mb=32)
     scratch.drop(told)
     release_shuffles(spark)
     n_cut = cuts.agg(F.sum(F.length("cut"))).first()[0] or 0
-    told = seen_earlier(cuts, lambda row: Cut(row, width).hashes, bucket_bits(n_cut), scratch, sources=True)
+    told = seen_earlier(cuts, lambda row: Cut(row, width).run_keys(), bucket_bits(n_cut // 13), scratch, sources=True)
+    cuts = with_answers(cuts, told)
+
+    def open_anchors(row) -> np.ndarray:
+        own = Cut(row, width)
+        return own.values[own.open_runs(row.told)]
+
+    told = seen_earlier(cuts, open_anchors, bucket_bits(n_cut // 26), scratch, sources=True).drop("source")
+    cuts = with_answers(cuts, told, "told_open")
+
+    def open_windows(row) -> np.ndarray:
+        own = Cut(row, width)
+        return own.window_keys(own.windows_of(own.mixed_runs(row.told, row.told_open))[0])
+
+    told = seen_earlier(cuts, open_windows, bucket_bits(n_cut // 4), scratch, sources=True)
+    cuts = with_answers(cuts, told, "told_windows")
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["source", "block", "text", "docs", "begins", "n_sources"]
@@ -275,8 +379,7 @@ def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
                 yield pd.DataFrame(out, columns=names)
 
     shape = "source long, block long, text binary, docs binary, begins binary, n_sources int"
-    dealt = scratch.write(with_answers(cuts, told).mapInPandas(deal, shape))
-    scratch.drop(told, cuts)
+    dealt = scratch.write(cuts.mapInPandas(deal, shape))
     release_shuffles(spark)
     pieces = dealt.where("n_sources = 0")
     load = pieces.groupBy("source").agg(F.sum(F.length("text") + 64).alias("load"))
@@ -339,7 +442,24 @@ def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
     shape = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     more = ", spans array<struct<begin: long, end: long>>, kept_text string, text_hash long"
     out = blocks.join(each, "block", "left").mapInPandas(remove, shape + more * with_text)
-    return out.withColumnRenamed("id", id_col)
+    n = F.octet_length("text").cast("long")
+    lost = n >= width
+    light = named.select("id", "sha", n.alias("n"), lost.alias("lost"), F.xxhash64("text").alias("h"))
+    copies = light.join(scratch.reread(heads), "sha").where(is_copy)
+    copied = [
+        F.col("id"),
+        F.col("n").alias("n_bytes"),
+        F.when(F.col("lost"), F.col("n")).otherwise(0).cast("long").alias("n_removed"),
+        F.col("lost").cast("long").alias("n_spans"),
+        F.when(F.col("lost"), F.sha2(F.lit(""), 256)).otherwise(F.col("sha")).alias("kept_sha256"),
+    ]
+    span = F.struct(F.lit(0).cast("long").alias("begin"), F.col("n").alias("end"))
+    extra = [
+        F.when(F.col("lost"), F.array(span)).otherwise(F.array().cast("array<struct<begin: long, end: long>>")).alias("spans"),
+        F.when(F.col("lost"), F.lit("")).alias("kept_text"),
+        F.col("h").alias("text_hash"),
+    ]
+    return out.unionByName(copies.select(*copied, *(extra if with_text else []))).withColumnRenamed("id", id_col)
 
 
 def op5_suffix_dedup(spark, sf_dir):
