@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import Scratch, release_shuffles, text_or_empty
+from textmill.llm.common import Scratch, text_or_empty
 
 BLOCK_BYTES = 4 << 20
 BUCKET_HASHES = 2 << 20
@@ -73,7 +73,6 @@ def ordered_blocks(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str
 
     ranged = rows.repartitionByRange(parts, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "body")
     out = scratch.write(ranged.mapInPandas(pack, BLOCK), row_group_mb=32)
-    release_shuffles(spark)
     return out, total
 
 
@@ -169,7 +168,6 @@ def seen_earlier(
     shape = "block long, bucket int, n int, bits binary" + ", first binary, source binary" * sources
     told = sent.groupBy("bucket").applyInPandas(answer, shape)
     out = scratch.write(told)
-    release_shuffles(blocks.sparkSession)
     return out
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import atexit
-import gc
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -43,6 +43,18 @@ def scratch_root(spark: SparkSession) -> str:
     return "file://" + _local_dirs[master]
 
 
+@contextlib.contextmanager
+def _shuffles_cleaned(spark: SparkSession):
+    """Shuffle files go as soon as the write that made them has ended, not when the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """Tables written to the shared folder to cut lineage between rounds.
 
@@ -62,7 +74,8 @@ class Scratch:
         writer = df.write.option("compression", "zstd")
         if row_group_mb:
             writer = writer.option("parquet.block.size", row_group_mb << 20)
-        writer.parquet(path)
+        with _shuffles_cleaned(self.spark):
+            writer.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
@@ -76,9 +89,3 @@ class Scratch:
         for df in written:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove the shuffle files of plans that are no longer referenced."""
-    gc.collect()
-    spark._jvm.System.gc()
