@@ -176,7 +176,7 @@ def with_answers(blocks: DataFrame, told: DataFrame, name: str = "told") -> Data
     each = told.groupBy("block").agg(
         F.array_sort(F.collect_list(F.struct("bucket", *[c for c in told.columns if c not in ("block", "bucket")]))).alias(name)
     )
-    return blocks.join(each, "block", "left")
+    return blocks.join(each.hint("merge"), "block", "left")
 
 
 def read_answers(told, name: str = "bits") -> np.ndarray:

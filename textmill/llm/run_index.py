@@ -6,14 +6,23 @@ import numpy as np
 
 
 def _dense(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The stable order of keys, and the number of each one's value in it."""
-    order = np.argsort(keys, kind="stable")
+    """An order of keys, and the number of each one's value in it."""
+    order = np.argsort(keys)
     ordered = keys[order]
     rank = np.empty(len(keys), np.int64)
     rank[order] = np.cumsum(np.append(0, ordered[1:] != ordered[:-1]))
     return order, rank
 
 
+def _group_starts(order: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """rank, renamed: a suffix's rank is the place in order at which its group of equals begins."""
+    ranks = rank[order]
+    begins = np.flatnonzero(np.append(True, ranks[1:] != ranks[:-1]))
+    out = np.empty(len(order), np.int64)
+    out[order] = np.repeat(begins, np.diff(np.append(begins, len(order))))
+    return out
+
+
 #: Symbols that one packed word holds, at 9 bits each.
 PACKED = 7
 
@@ -39,40 +48,54 @@ class RunIndex:
         self.word = word
         self.levels: list[np.ndarray] = []  # ranks by the first PACKED * 2**k symbols
         order, rank = _dense(word)
+        rank = _group_starts(order, rank)
         span = PACKED
+        enough = []
         while True:
-            if sum(PACKED << k for k in range(len(self.levels))) < most:
+            if sum(enough) < most:
                 self.levels.append(rank.astype(np.int32))
-            if rank[order[-1]] == n - 1 or span >= 2 * n:
+                enough.append(span)
+            # Only groups of several suffixes are sorted on, each within its own places.
+            ranks = rank[order]
+            alone = np.append(ranks[1:] != ranks[:-1], True) & np.append(True, ranks[1:] != ranks[:-1])
+            places = np.flatnonzero(~alone)
+            if not len(places) or span >= 2 * n:
                 break
-            ahead = np.zeros(n, np.int64)
-            if span < n:
-                ahead[:-span] = rank[span:] + 1
-            order, rank = _dense(rank * (n + 1) + ahead)
+            members = order[places]
+            ahead = members + span
+            behind = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
+            keys = rank[members] * (n + 1) + behind
+            sorted_ = np.argsort(keys)
+            members, keys = members[sorted_], keys[sorted_]
+            order[places] = members
+            new = np.append(True, keys[1:] != keys[:-1])
+            rank[members] = places[np.maximum.accumulate(np.where(new, np.arange(len(places)), 0))]
             span *= 2
-        while sum(PACKED << k for k in range(len(self.levels))) < most:  # suffixes differ earlier than that
+        while sum(enough) < most:  # suffixes differ earlier than that
+            span = enough[-1] * 2
             self.levels.append(rank.astype(np.int32))
+            enough.append(span)
         last = self.text[order - 1]
         starts = np.flatnonzero(np.append(True, last[1:] != last[:-1]))
-        self.starts = starts
-        self.heads = last[starts]
         lengths = np.diff(np.append(starts, n))
-        self.sa_first = order[starts]
-        self.sa_last = order[starts + lengths - 1]
+        self.starts = starts.astype(np.int32)
+        self.heads = last[starts].astype(np.int32)
+        self.ends = (starts + lengths - 1).astype(np.int32)
+        self.sa_first = order[starts].astype(np.int32)
+        self.sa_last = order[starts + lengths - 1].astype(np.int32)
         # Runs by symbol: the key of a run is its symbol and number.
         self.n_runs = len(starts)
         by_symbol = np.argsort(self.heads, kind="stable")
-        self.keys = self.heads[by_symbol] * self.n_runs + by_symbol
+        self.keys = self.heads[by_symbol].astype(np.int64) * self.n_runs + by_symbol
         self.by_symbol = by_symbol
         below = np.cumsum(lengths[by_symbol]) - lengths[by_symbol]
-        self.to = np.empty(self.n_runs, np.int64)
+        self.to = np.empty(self.n_runs, np.int32)
         self.to[by_symbol] = below  # symbols sort as the first column does
-        self.ends = starts + lengths - 1
 
     def common(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
         """How many symbols the suffixes at a and b have in common, up to most."""
         n = len(self.text)
-        a, b, out = a.copy(), b.copy(), np.zeros(len(a), np.int64)
+        a, b, out = a.astype(np.int64), b.astype(np.int64), np.zeros(len(a), np.int64)
         for k in range(len(self.levels) - 1, -1, -1):
             rank = self.levels[k]
             inside = (a < n) & (b < n)
@@ -87,40 +110,51 @@ class RunIndex:
             out += inside & (differ >> (9 * k) == 0)
         return np.minimum(out, most)
 
-    def matching_statistics(self, patterns: list[np.ndarray]) -> list[np.ndarray]:
-        """For every position of every pattern (symbols 1 to 256): the longest match there, up to ``most``.
+    def long_matches(self, body: np.ndarray, begins: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
+        """Per byte of body: whether the longest match from there, inside a pattern, has width symbols or more.
 
-        All patterns are streamed side by side, from their ends. A pattern's row moves
-        by the last-to-first mapping while its symbol is the row's; otherwise it goes
-        to the nearer ends of the symbol's runs above and below, keeps the better
+        The patterns are body[begin : begin + size]; they may overlap. All are
+        streamed side by side, from their ends. A pattern's row moves by the
+        last-to-first mapping while its symbol is the row's; otherwise it goes to the
+        nearer ends of the symbol's runs above and below, keeps the better
         continuation, and its text position is that run end's sample.
         """
-        if not patterns:
-            return []
-        by_length = sorted(range(len(patterns)), key=lambda i: -len(patterns[i]))
-        sizes = np.array([len(patterns[i]) for i in by_length])
-        ends = np.cumsum(sizes)
-        flat = np.concatenate([patterns[i] for i in by_length]).astype(np.int64)
-        found = np.zeros(len(flat), np.int32)
-        row = np.zeros(len(sizes), np.int64)
-        spot = np.full(len(sizes), self.sa_first[0] if self.n_runs else 0, np.int64)
-        length = np.zeros(len(sizes), np.int64)
-        steps = int(sizes[0]) if len(sizes) else 0
+        hit = np.zeros(len(body), dtype=bool)
+        self._stream(body, begins, sizes, lambda at, length: hit.__setitem__(at[length >= width], True))
+        return hit
+
+    def matching_statistics(self, pattern: np.ndarray) -> np.ndarray:
+        """The longest match, up to most, at every position of a pattern of bytes."""
+        out = np.zeros(len(pattern), np.int64)
+        self._stream(pattern, np.zeros(1, np.int64), np.array([len(pattern)]), out.__setitem__)
+        return out
+
+    def _stream(self, body: np.ndarray, begins: np.ndarray, sizes: np.ndarray, found) -> None:
+        by_length = np.argsort(-sizes, kind="stable")
+        sizes = sizes[by_length]
+        ends = begins[by_length] + sizes
+        n = len(sizes)
+        row = np.zeros(n, np.int32)
+        spot = np.full(n, self.sa_first[0], np.int32)
+        length = np.zeros(n, np.int32)
+        steps = int(sizes[0]) if n else 0
         live_at = np.searchsorted(-sizes, -np.arange(1, steps + 1), side="right")
         for t in range(steps):
             k = live_at[t]
-            at = ends[:k] - 1 - t
-            symbol = flat[at]
+            at = ends[:k] - (1 + t)
+            symbol = body[at].astype(np.int32)
+            symbol += 1
             q = row[:k]
             run = np.searchsorted(self.starts, q, side="right") - 1
             off = np.flatnonzero(self.heads[run] != symbol)
+            lost = off[:0]
             if len(off):
-                key = symbol[off] * self.n_runs + run[off]
-                near = np.searchsorted(self.keys, key)
-                above, below = np.maximum(near - 1, 0), np.minimum(near, self.n_runs - 1)
-                up, down = self.by_symbol[above], self.by_symbol[below]
-                has_up = (near > 0) & (self.heads[up] == symbol[off])
-                has_down = (near < self.n_runs) & (self.heads[down] == symbol[off])
+                wanted = symbol[off]
+                near = np.searchsorted(self.keys, wanted * np.int64(self.n_runs) + run[off])
+                up = self.by_symbol[np.maximum(near - 1, 0)]
+                down = self.by_symbol[np.minimum(near, self.n_runs - 1)]
+                has_up = (near > 0) & (self.heads[up] == wanted)
+                has_down = (near < self.n_runs) & (self.heads[down] == wanted)
                 now, most = spot[off], length[off]
                 by_up = np.where(has_up, self.common(now, self.sa_last[up], most), -1)
                 by_down = np.where(has_down, self.common(now, self.sa_first[down], most), -1)
@@ -131,13 +165,10 @@ class RunIndex:
                 spot[off] = np.where(go_up, self.sa_last[up], self.sa_first[down])
                 length[off] = kept
                 lost = off[kept < 0]
-            row[:k] = self.to[run] + q - self.starts[run]
+            q += self.to[run] - self.starts[run]
             spot[:k] -= 1
-            length[:k] = np.minimum(length[:k] + 1, self.most)
-            if len(off) and len(lost):  # the text has no such symbol
+            length[:k] += 1
+            np.minimum(length[:k], self.most, out=length[:k])
+            if len(lost):  # the text has no such symbol
                 row[lost], spot[lost], length[lost] = 0, self.sa_first[0], 0
-            found[at] = length[:k]
-        out: list[np.ndarray] = [found[:0]] * len(patterns)
-        for i, end, size in zip(by_length, ends, sizes, strict=True):
-            out[i] = found[end - size : end]
-        return out
+            found(at, length[:k])

@@ -41,8 +41,8 @@ from textmill.llm.substring_dedup import intervals
 #: Windows hashed at a time: few enough to stay in a processor's cache.
 STRETCH = 1 << 16
 #: Long pieces are streamed in parts of this length, side by side.
-PART = 2048
-SALT_BYTES = 16 << 20
+PART = 512
+SALT_BYTES = 4 << 20
 
 _SPREAD = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _MIX = np.uint64(0x94D049BB133111EB)
@@ -276,10 +276,6 @@ def route(row, width: int) -> tuple[list[tuple], bytes, int]:
     return rows, lengths.tobytes() + b"".join(sources), len(sources)
 
 
-def _symbols(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8).astype(np.int64) + 1
-
-
 def index_of(sources: bytes, n: int, width: int) -> RunIndex:
     """The index of n source stretches, parted by separators."""
     lengths = np.frombuffer(sources[: 8 * n], np.int64)
@@ -287,23 +283,45 @@ def index_of(sources: bytes, n: int, width: int) -> RunIndex:
     ends = np.cumsum(lengths)
     parts = []
     for a, b in zip(ends - lengths, ends, strict=True):
-        parts += [_symbols(body[a:b]), np.zeros(1, np.int64)]
+        parts += [np.frombuffer(body[a:b], np.uint8).astype(np.int64) + 1, np.zeros(1, np.int64)]
     most = 1 << (width - 1).bit_length()
     return RunIndex(np.concatenate(parts), most)
 
 
-def matched(index: RunIndex, texts: list[bytes], width: int) -> list[np.ndarray]:
-    """For every text, whether the width bytes from each position are in the index."""
-    parts, of = [], []
-    for k, text in enumerate(texts):
-        for at in range(0, max(1, len(text) - width + 1), PART):
-            parts.append(_symbols(text[at : at + PART + width - 1]))
-            of.append((k, at))
-    out = [np.zeros(len(t), dtype=bool) for t in texts]
-    for (k, at), found in zip(of, index.matching_statistics(parts), strict=True):
-        hit = found[:PART] >= width
-        out[k][at : at + len(hit)] = hit
-    return out
+def matched(index: RunIndex, texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of positions of texts from which width bytes are in the index: the text, first and end position."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    body = np.frombuffer(b"".join(texts), np.uint8)
+    # Parts of a text overlap, so that every window lies in one of them.
+    n = np.maximum(1, -(-(sizes - width + 1) // PART))
+    of = np.repeat(np.arange(len(texts)), n)
+    begin = (np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)) * PART
+    hit = index.long_matches(body, starts[of] + begin, np.minimum(PART + width - 1, sizes[of] - begin), width)
+    # No window begins in a text's last bytes, so runs end within their texts.
+    a, b = intervals(hit)
+    of = np.searchsorted(starts, a, side="right") - 1
+    return of, a - starts[of], b - starts[of]
+
+
+def spread_spans(pieces: pd.DataFrame, of: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[tuple]:
+    """(block, documents, begins, ends) of spans of pieces, at all the places a piece has in its block."""
+    if not len(of):
+        return []
+    counts = np.array([len(x) // 4 for x in pieces["docs"]], np.int64)
+    docs = np.frombuffer(b"".join(pieces["docs"]), np.int32)
+    places = np.frombuffer(b"".join(pieces["begins"]), np.int64)
+    blocks = pieces["block"].to_numpy()[of]
+    order = np.argsort(blocks, kind="stable")
+    of, begin, end, blocks = of[order], begin[order], end[order], blocks[order]
+    n = counts[of]
+    at = np.arange(int(n.sum())) + np.repeat((np.cumsum(counts) - counts)[of] - (np.cumsum(n) - n), n)
+    doc, begin, end, blocks = docs[at], places[at] + np.repeat(begin, n), places[at] + np.repeat(end, n), np.repeat(blocks, n)
+    cuts = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
+    return [
+        (int(blocks[x]), doc[x:y].tobytes(), begin[x:y].tobytes(), end[x:y].tobytes())
+        for x, y in zip(cuts, np.append(cuts[1:], len(blocks)), strict=True)
+    ]
 
 
 def whole_characters(body: np.ndarray, lost: np.ndarray) -> str:
@@ -390,15 +408,8 @@ def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
         out = []
         if len(left) and len(right):
             index = index_of(bytes(right["text"].iat[0]), int(right["n_sources"].iat[0]), width)
-            hits = matched(index, [bytes(t) for t in left["text"]], width)
-            for block, docs, begins, hit in zip(left["block"], left["docs"], left["begins"], hits, strict=True):
-                a, b = intervals(hit)
-                if len(a):
-                    # Every place of the piece loses the same intervals.
-                    doc = np.repeat(np.frombuffer(docs, np.int32), len(a))
-                    begin = np.frombuffer(begins, np.int64)[:, None]
-                    spans = (doc.tobytes(), (begin + a).ravel().tobytes(), (begin + b + width - 1).ravel().tobytes())
-                    out.append((block, *spans))
+            of, begin, end = matched(index, left["text"].tolist(), width)
+            out = spread_spans(left, of, begin, end + width - 1)
         return pd.DataFrame(out, columns=["block", "doc", "begin", "end"])
 
     told = (
@@ -438,7 +449,7 @@ def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
 
     shape = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     more = ", spans array<struct<begin: long, end: long>>, kept_text string, text_hash long"
-    out = blocks.join(each, "block", "left").mapInPandas(remove, shape + more * with_text)
+    out = blocks.join(each.hint("merge"), "block", "left").mapInPandas(remove, shape + more * with_text)
     n = F.octet_length("text").cast("long")
     lost = n >= width
     light = named.select("id", "sha", n.alias("n"), lost.alias("lost"), F.xxhash64("text").alias("h"))
