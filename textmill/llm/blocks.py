@@ -12,6 +12,7 @@ than its blocks.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,8 +28,13 @@ BUCKET_HASHES = 2 << 20
 BLOCK = "block long, ids binary, known binary, hashes binary, sizes binary, body binary"
 
 
-def ordered_blocks(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """The written blocks and the total of their bytes.
+def ordered_blocks(
+    docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES, without: DataFrame | None = None
+) -> tuple[DataFrame, int]:
+    """The written blocks and the total of the documents' bytes.
+
+    without (id, sha: SHA-256 in hex) names documents to leave out; these names are
+    dealt along with the documents, so leaving some out takes no join of texts.
 
     A block holds whole documents in the order of (id, text), null ids first; block
     numbers rise with the ids, and rows of one id never lie in different blocks.
@@ -59,19 +65,32 @@ def ordered_blocks(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str
                 }
             )
 
+        unwanted: set[tuple] = set()
         for batch in batches:
-            for i, h, body in zip(batch["id"], batch["h"], batch["body"], strict=True):
-                if held and held + len(body) > block_bytes and (None if pd.isna(i) else int(i)) != ids[-1]:
+            for i, h, body, wanted in zip(batch["id"], batch["h"], batch["body"], batch["wanted"], strict=True):
+                i = None if pd.isna(i) else int(i)
+                if not wanted:
+                    if unwanted and next(iter(unwanted))[0] != i:
+                        unwanted.clear()  # names stand before the documents of their id
+                    unwanted.add((i, bytes(body)))
+                    continue
+                if unwanted and (i, hashlib.sha256(body).digest()) in unwanted:
+                    continue
+                if held and held + len(body) > block_bytes and i != ids[-1]:
                     yield row()
                     ids, hashes, bodies, held, number = [], [], [], 0, number + 1
-                ids.append(None if pd.isna(i) else int(i))
+                ids.append(i)
                 hashes.append(h)
                 bodies.append(bytes(body))
                 held += len(body)
         if ids:
             yield row()
 
-    ranged = rows.repartitionByRange(parts, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "body")
+    rows = rows.withColumn("wanted", F.lit(True))
+    if without is not None:
+        rows = rows.union(without.select(F.col("id").cast("long"), F.lit(0).cast("long"), F.unhex("sha"), F.lit(False)))
+    by_id = F.col("id").asc_nulls_first()
+    ranged = rows.repartitionByRange(parts, by_id).sortWithinPartitions(by_id, "wanted", "body")
     out = scratch.write(ranged.mapInPandas(pack, BLOCK), row_group_mb=32)
     return out, total
 
@@ -114,6 +133,8 @@ def bucket_bits(n_hashes: int, least: int = 6) -> int:
 
 
 def split_by_bucket(ordered: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    if not len(ordered):
+        return
     bucket = (ordered >> np.uint64(64 - bits)).astype(np.int64)
     begins = np.flatnonzero(np.diff(bucket, prepend=-1))
     for a, b in zip(begins, np.append(begins[1:], len(ordered)), strict=True):

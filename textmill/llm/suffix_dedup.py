@@ -352,7 +352,9 @@ def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
     heads = scratch.write(heads.select("sha", F.col("head.id").alias("head"), F.lit(True).alias("grouped")))
     # Of each text, the document with the smallest id; all other documents of that text are copies.
     is_copy = F.col("grouped").isNotNull() & ~F.col("id").eqNullSafe(F.col("head"))
-    blocks, total = ordered_blocks(named.join(heads.hint("merge"), "sha", "left").where(~is_copy), scratch, "id", "text")
+    light = named.select("id", "sha", F.octet_length("text").cast("long").alias("n"), F.xxhash64("text").alias("h"))
+    copies = scratch.write(light.join(heads, "sha").where(is_copy))
+    blocks, total = ordered_blocks(named, scratch, "id", "text", without=copies)
 
     def anchors(row) -> np.ndarray:
         return anchor_runs(Block(row), width)[0]
@@ -450,10 +452,7 @@ def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
     shape = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     more = ", spans array<struct<begin: long, end: long>>, kept_text string, text_hash long"
     out = blocks.join(each.hint("merge"), "block", "left").mapInPandas(remove, shape + more * with_text)
-    n = F.octet_length("text").cast("long")
-    lost = n >= width
-    light = named.select("id", "sha", n.alias("n"), lost.alias("lost"), F.xxhash64("text").alias("h"))
-    copies = light.join(scratch.reread(heads), "sha").where(is_copy)
+    copies = copies.withColumn("lost", F.col("n") >= width)
     copied = [
         F.col("id"),
         F.col("n").alias("n_bytes"),
