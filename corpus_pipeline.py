@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 from textmill.llm import crf, line_dedup, near_dedup, packing, suffix_dedup
 from textmill.llm.common import Scratch, table
 
+
+def _session(spark: SparkSession) -> None:
+    """A stage's shuffle files go when its result has been written, not when the driver collects its garbage."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Documents with a lower quality score go.
 LEAST_QUALITY = 0.3
@@ -23,6 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     It is fitted on the labelled documents that are not held out.
     """
+    _session(spark)
     model = crf.fit(*crf.learning_rows(docs, table(spark, sf_dir, "labels")))
     carried = docs.select(*COLUMNS, F.col("text").alias("scored"))
     kept = crf.score_documents(carried, model, text_col="scored", carry=tuple(COLUMNS[1:]))
@@ -35,6 +42,7 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the blocks of lines that they share with an earlier one; emptied ones go."""
+    _session(spark)
     out = line_dedup.line_dedup(docs.select(*COLUMNS), counts=True)
     return _with_length(out.where((F.col("n_removed") == 0) | (F.trim("text") != "")))
 
@@ -49,6 +57,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat id and text stay once.
     """
+    _session(spark)
     kept = near_dedup.near_duplicates(docs.select("doc_id", "text")).where("kept")
     kept = Scratch(spark, "near-kept").write(kept.groupBy(F.col("doc_id").alias("id"), "text_hash").count())
     i, h = _key(docs)
@@ -61,6 +70,7 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A character that is cut into is dropped whole.
     """
+    _session(spark)
     found = suffix_dedup.dedup_bytes(docs.select("doc_id", "text"), with_text=True).where("n_removed > 0")
     found = found.select(F.col("doc_id").alias("id"), "text_hash", "kept_text").dropDuplicates(["id", "text_hash"])
     i, h = _key(docs)
@@ -71,6 +81,7 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of the permitted lengths."""
+    _session(spark)
     return packing.pack_documents(docs.select("doc_id", "text"))
 
 
