@@ -54,7 +54,7 @@ def _ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
 class ByteBpe:
     """A byte-level BPE vocabulary, loaded from a tokenizer's JSON file."""
 
-    def __init__(self, path: str, memory_words: int = 400_000):
+    def __init__(self, path: str, memory_words: int = 1_000_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab: dict[str, int] = spec["model"]["vocab"]
@@ -90,6 +90,11 @@ class ByteBpe:
         self.ids = np.empty(1 << 20, dtype=np.int32)
         self.at = np.zeros(1 << 16, dtype=np.int64)
         self.n_ids = 0
+        for token, i in self.special.items():
+            self.memory[token] = self.n_ids
+            self.ids[self.n_ids] = i
+            self.n_ids += 1
+            self.at[self.n_ids] = self.n_ids
 
     def _remember(self, pieces: list[str]) -> None:
         words = [WORD.findall(p) for p in pieces]
@@ -119,13 +124,19 @@ class ByteBpe:
         lens = np.array([len(w) for w in words], dtype=np.int64)
         ids = self.byte_id[np.frombuffer(b"".join(words), dtype=np.uint8)]
         word = np.repeat(np.arange(n_words), lens)
-        done_ids, done_words = [], []
         none = np.iinfo(np.int64).max
+
+        def looked_up(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Rank and merged id of the pairs that begin at some places; no pair crosses words."""
+            after = np.minimum(at + 1, len(ids) - 1)
+            keys = ids[at] * self.base + ids[after]
+            found = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+            ok = (self.pair_keys[found] == keys) & (word[at] == word[after]) & (after > at)
+            return np.where(ok, self.pair_ranks[found], none), self.pair_ids[found]
+
+        done_ids, done_words = [], []
+        rank, into = looked_up(np.arange(len(ids)))
         while len(ids):
-            keys = ids[:-1] * self.base + ids[1:]
-            at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-            ok = (self.pair_keys[at] == keys) & (word[:-1] == word[1:])
-            rank = np.append(np.where(ok, self.pair_ranks[at], none), none)
             begins = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
             best = np.minimum.reduceat(rank, begins)
             sizes = np.diff(np.append(begins, len(ids)))
@@ -143,45 +154,63 @@ class ByteBpe:
                 run = np.maximum.accumulate(np.where(head, np.arange(len(where)), 0))
                 hit[where[(np.arange(len(where)) - run) % 2 == 1]] = False
             left = np.flatnonzero(hit)
-            ids = ids.copy()
-            ids[left] = self.pair_ids[at[left]]
+            ids[left] = into[left]
             live[left + 1] = False
-            ids, word = ids[live], word[live]
+            moved = (np.cumsum(live) - 1)[left]
+            ids, word, rank, into = ids[live], word[live], rank[live], into[live]
+            # Only the pairs that a merged symbol is part of have changed.
+            changed = np.unique(np.concatenate([moved, np.maximum(moved - 1, 0)]))
+            rank[changed], into[changed] = looked_up(changed)
         if not done_ids:
             return np.empty(0, np.int32), np.zeros(n_words, np.int64)
         all_ids, all_words = np.concatenate(done_ids), np.concatenate(done_words)
         order = np.argsort(all_words, kind="stable")
         return all_ids[order].astype(np.int32), np.bincount(all_words, minlength=n_words)
 
-    def encode_slices(self, text: str) -> Iterator[np.ndarray]:
-        """Ids of text, slice by slice."""
-        for k, part in enumerate(self.splitter.split(text) if self.splitter else [text]):
-            if k % 2:
-                yield np.array([self.special[part]], dtype=np.int32)
-                continue
-            at = 0
-            while at < len(part):
-                end = min(at + SLICE_CHARS, len(part))
-                if end < len(part):
-                    cut = CUT.search(part, end)
-                    end = cut.end() if cut else len(part)
-                yield self._encode(PIECE.findall(part, at, end))
-                at = end
-
-    def _encode(self, pieces: list[str]) -> np.ndarray:
+    def _pieces(self, text: str) -> list[str]:
+        """What lies between special tokens in pieces, and these tokens themselves."""
+        if not self.splitter:
+            return PIECE.findall(text)
+        parts = self.splitter.split(text)
+        out = PIECE.findall(parts[0])
+        for token, part in zip(parts[1::2], parts[2::2], strict=True):
+            out.append(token)
+            out += PIECE.findall(part)
+        return out
+
+    def slices(self, text: str) -> Iterator[str]:
+        """A long text in parts, cut where white space begins after something else (in no special token)."""
+        at = 0
+        while at < len(text):
+            end = min(at + SLICE_CHARS, len(text))
+            if end < len(text):
+                cut = CUT.search(text, end)
+                end = cut.end() if cut else len(text)
+            yield text[at:end]
+            at = end
+
+    def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and how many each has; unseen words of all are merged together."""
+        pieces: list[str] = []
+        ends = []
+        for text in texts:
+            pieces += self._pieces(text)
+            ends.append(len(pieces))
         if not pieces:
-            return np.empty(0, np.int32)
+            return np.empty(0, np.int32), np.zeros(len(texts), np.int64)
         unseen = [p for p in set(pieces) if p not in self.memory]
         if unseen:
             if len(self.memory) + len(unseen) > self.memory_words:
                 self._forget()
-                unseen = list(set(pieces))
+                unseen = [p for p in set(pieces) if p not in self.memory]
             self._remember(unseen)
         which = np.fromiter(map(self.memory.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-        return self.ids[_ranges(self.at[which], self.at[which + 1] - self.at[which])]
+        n = self.at[which + 1] - self.at[which]
+        total = np.append(0, np.cumsum(n))[np.array([0, *ends])]
+        return self.ids[_ranges(self.at[which], n)], np.diff(total)
 
     def encode(self, text: str) -> np.ndarray:
-        return np.concatenate([np.empty(0, np.int32), *self.encode_slices(text)])
+        return np.concatenate([np.empty(0, np.int32), *(self.encode_many([part])[0] for part in self.slices(text))])
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         return self.table[_ranges(self.table_at[ids], self.table_len[ids])].tobytes()
@@ -193,6 +222,32 @@ class ByteBpe:
         """The ids in decimal, each followed by a comma."""
         return self.digits[_ranges(self.digits_at[ids], self.digits_len[ids])].tobytes()
 
+    def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """For every text: how many ids, the digest of these, and of the text decoded from them."""
+        ids, counts = self.encode_many(texts)
+        numbers, decoded = self.decimal(ids), self.decode_bytes(ids)
+        ends = np.cumsum(counts)
+        number_ends = np.append(0, np.cumsum(self.digits_len[ids]))[ends].tolist()
+        byte_ends = np.append(0, np.cumsum(self.table_len[ids]))[ends].tolist()
+        out, a, b = [], 0, 0
+        for n, x, y in zip(counts.tolist(), number_ends, byte_ends, strict=True):
+            said = numbers[a : max(a, x - 1)]
+            out.append((n, hashlib.sha256(said).hexdigest(), hashlib.sha256(decoded[b:y]).hexdigest()))
+            a, b = x, y
+        return out
+
+    def long_digests(self, text: str) -> tuple[int, str, str]:
+        """The same for a text that is worked through slice by slice."""
+        n, ids_sha, text_sha, held = 0, hashlib.sha256(), hashlib.sha256(), b""
+        for part in self.slices(text):
+            ids = self.encode_many([part])[0]
+            n += len(ids)
+            digits = held + self.decimal(ids)
+            ids_sha.update(digits[:-1])
+            held = digits[-1:]
+            text_sha.update(self.decode_bytes(ids))
+        return n, ids_sha.hexdigest(), text_sha.hexdigest()
+
 
 _loaded: dict[str, ByteBpe] = {}
 
@@ -245,17 +300,19 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     def run(batches):
         bpe = load(path)
         for batch in batches:
-            out = []
+            out: list[tuple[int, str, str]] = []
+            group: list[str] = []
+            held = 0
             for text in batch["text"]:
-                n, ids_sha, text_sha, held = 0, hashlib.sha256(), hashlib.sha256(), b""
-                for ids in bpe.encode_slices(text):
-                    if len(ids):
-                        n += len(ids)
-                        digits = held + bpe.decimal(ids)
-                        ids_sha.update(digits[:-1])
-                        held = digits[-1:]
-                        text_sha.update(bpe.decode_bytes(ids))
-                out.append((n, ids_sha.hexdigest(), text_sha.hexdigest()))
+                if group and held + len(text) > SLICE_CHARS:
+                    out += bpe.digests(group)
+                    group, held = [], 0
+                if len(text) > SLICE_CHARS:
+                    out.append(bpe.long_digests(text))
+                else:
+                    group.append(text)
+                    held += len(text)
+            out += bpe.digests(group)
             yield pd.DataFrame(
                 {
                     id_col: batch["id"],
