@@ -64,8 +64,6 @@ def test_memory_is_bounded(both):
 def test_round_trip(spark, both):
     rows = H.odd_rows()
     got = bpe.round_trip(H.clashing(H.frame(spark, rows)), PATH).collect()
-    for (i, t), r in zip(sorted(rows, key=str), sorted(got, key=lambda r: str((r.doc_id, r.decoded_sha256)))):
-        pass
     want = []
     for i, t in rows:
         ids = both[1].encode(t or "", add_special_tokens=False).ids
@@ -251,4 +249,4 @@ def test_chats_odd(spark):
 
 def test_unreadable_text(spark):
     df = spark.createDataFrame([("<|im_start|>user\nx",), ("junk<|im_end|>\n",), ("",)], "f string")
-    assert [r.p for r in df.select(chat.parse(F.col("f"), 0).alias("p")).collect()] == [None, None, None] or True
+    assert [r.p for r in df.select(chat.parse(F.col("f"), 0).alias("p")).collect()] == [None, None, []]
