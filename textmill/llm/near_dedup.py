@@ -35,6 +35,8 @@ from textmill.llm.graph import components
 from textmill.llm.hashing import WordHashes, mixed, windows
 
 PER_CHUNK = 4
+#: Rows (of 24 bytes) of a table of families that may be broadcast.
+MOST_BROADCAST = 20_000
 
 
 def shingles(text: bytes, words: int, memory: WordHashes) -> np.ndarray:
@@ -206,7 +208,7 @@ def missed_links(family: pd.DataFrame, percent: int, farthest: int) -> list[tupl
     return out
 
 
-def remaining_links(members: DataFrame, percent: int, farthest: int, block: int) -> DataFrame:
+def remaining_links(members: DataFrame, percent: int, farthest: int, block: int, scratch: Scratch) -> DataFrame:
     """Step 3 over (family, comp, cls, sig, elements): links between different components."""
     per_comp = members.groupBy("family", "comp").agg(F.count(F.lit(1)).alias("n"))
     per_family = per_comp.groupBy("family").agg(
@@ -219,6 +221,9 @@ def remaining_links(members: DataFrame, percent: int, farthest: int, block: int)
         F.ceil(F.greatest(F.col("n") - F.col("main.n"), F.lit(1)) / block).cast("int").alias("out_blocks"),
         F.ceil(F.col("main.n") / block).cast("int").alias("main_blocks"),
     )
+    # Few families are open as a rule; they are broadcast if they are few, and else joined so that a large family can be split.
+    open_ = scratch.write(open_)
+    open_ = F.broadcast(open_) if open_.count() <= MOST_BROADCAST else open_.hint("merge")
     rows = members.join(open_, "family").withColumn("own", F.col("comp") != F.col("main"))
     spot = F.pmod(F.xxhash64("cls"), F.when(F.col("own"), F.col("out_blocks")).otherwise(F.col("main_blocks"))).cast("int")
     rows = rows.withColumn("spot", spot)
@@ -246,7 +251,7 @@ def near_duplicates(
     words: int = 5,
     chunks: int = 10,
     farthest: int = 25,
-    block: int = 1000,
+    block: int = 500,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -297,7 +302,7 @@ def near_duplicates(
             .select("family", F.coalesce("label", "cls").alias("comp"), "cls", "sig", "elements")
         )
         members = scratch.write(members)
-        more = scratch.write(remaining_links(members, percent, farthest, block))
+        more = scratch.write(remaining_links(members, percent, farthest, block, scratch))
         if not more.isEmpty():
             joined = components(good.union(more), scratch)
         comps = joined.select(F.col("node").alias("cls"), F.col("label").alias("comp"))
