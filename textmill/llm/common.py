@@ -65,6 +65,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.paths: list[str] = []
         self.n = 0
 
     def write(self, df: DataFrame, row_group_mb: int | None = None) -> DataFrame:
@@ -78,6 +79,7 @@ class Scratch:
             writer.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
+        self.paths.append(path)
         return out
 
     def reread(self, written: DataFrame) -> DataFrame:
@@ -86,6 +88,15 @@ class Scratch:
 
     def drop(self, *written: DataFrame) -> None:
         """Delete tables that no later step reads."""
-        for df in written:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
+        self._delete([df._scratch_path for df in written])
+
+    def keep_only(self, *written: DataFrame) -> None:
+        """Delete all tables but those that the operator's result reads."""
+        kept = {df._scratch_path for df in written}
+        self._delete([p for p in self.paths if p not in kept])
+
+    def _delete(self, paths: list[str]) -> None:
+        for p in paths:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(p)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.paths = [p for p in self.paths if p not in paths]

@@ -75,6 +75,7 @@ def exact_dedup(
             F.when(F.col("n").isNotNull() & ~ended, F.expr(f"substring(rest, {width + 1})")).alias("rest"),
         )
         dealt = scratch.write(dealt)
+        scratch.drop(groups)
         done.append(dealt.where("final"))
         if dealt.where("not final").isEmpty():
             break

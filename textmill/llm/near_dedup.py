@@ -310,6 +310,7 @@ def near_duplicates(
     named = least.join(comps, "cls", "left").select("cls", F.coalesce("comp", "cls").alias("comp"), "id")
     heads = named.join(named.groupBy("comp").agg(F.min("id").alias("head")), "comp").select("cls", "head")
     heads = scratch.write(heads)
+    scratch.keep_only(told, heads)
     out = told.select("id", "h", "n", "cls").join(heads, "cls", "left")
     component = F.when(F.col("n") > 0, F.col("head")).otherwise(F.col("id"))
     return out.select(

@@ -354,6 +354,7 @@ def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
     is_copy = F.col("grouped").isNotNull() & ~F.col("id").eqNullSafe(F.col("head"))
     light = named.select("id", "sha", F.octet_length("text").cast("long").alias("n"), F.xxhash64("text").alias("h"))
     copies = scratch.write(light.join(heads, "sha").where(is_copy))
+    scratch.drop(heads)
     blocks, total = ordered_blocks(named, scratch, "id", "text", without=copies)
 
     def anchors(row) -> np.ndarray:
@@ -399,6 +400,7 @@ def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
 
     shape = "source long, block long, text binary, docs binary, begins binary, n_sources int"
     dealt = scratch.write(cuts.mapInPandas(deal, shape))
+    scratch.keep_only(blocks, copies, dealt)
     pieces = dealt.where("n_sources = 0")
     load = pieces.groupBy("source").agg(F.sum(F.length("text") + 64).alias("load"))
     salts = scratch.write(load.select("source", F.ceil(F.col("load") / SALT_BYTES).cast("int").alias("salts")))
@@ -421,7 +423,7 @@ def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
         .applyInPandas(stream, "block long, doc binary, begin binary, end binary")
     )
     told = scratch.write(told)
-    scratch.drop(dealt)
+    scratch.keep_only(blocks, copies, told)
     each = told.groupBy("block").agg(F.collect_list(F.struct("doc", "begin", "end")).alias("told"))
 
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
