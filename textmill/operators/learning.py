@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Callable, Iterator, Mapping
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -136,14 +138,21 @@ def label(rows: DataFrame, labeller: Callable[[list[str]], list[str]] = stub_lab
     return said.select("id", parse_answer("answer").alias("a"), F.lit(model).alias("model")).select("id", "a.*", "model")
 
 
+@lru_cache(maxsize=200_000)
+def _place(word: str, size: int) -> tuple[int, int]:
+    """The dimension and sign of a word."""
+    h = hashlib.blake2b(word.encode(), digest_size=8).digest()
+    return h[0] % size, 1 if h[1] % 2 else -1
+
+
 def hash_embedder(texts: list[str], size: int = 64) -> list[np.ndarray]:
     """Vectors without a model: signed counts of hashed words, of length 1."""
     out = []
     for text in texts:
         v = np.zeros(size)
-        for w in text.split():
-            h = hashlib.blake2b(w.encode(), digest_size=8).digest()
-            v[h[0] % size] += 1 if h[1] % 2 else -1
+        for w, n in Counter(text.split()).items():
+            at, sign = _place(w, size)
+            v[at] += sign * n
         n = np.linalg.norm(v)
         out.append(v / n if n else v)
     return out
