@@ -116,10 +116,12 @@ def op9_substring_dedup(spark, sf_dir):
 OP9_SQL = r"""
 WITH docs AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
-), starts AS (
-  SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS s FROM docs WHERE len(words) >= 20
+), keyed AS MATERIALIZED (
+  SELECT doc_id, unnest(range(1, len(words) - 18)) AS s,
+         unnest(list_transform(range(1, len(words) - 18), lambda i: md5_number(array_to_string(words[i:i + 19], ' ')))) AS w
+  FROM docs WHERE len(words) >= 20
 ), win AS (
-  SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(words[s:s + 19], ' ') ORDER BY doc_id, s) AS k FROM starts
+  SELECT doc_id, s, row_number() OVER (PARTITION BY w ORDER BY doc_id, s) AS k FROM keyed
 ), gone AS (
   SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM win WHERE k > 1
 ), flat AS (

@@ -478,10 +478,14 @@ def op5_suffix_dedup(spark, sf_dir):
 OP5_SQL = r"""
 WITH docs AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents
-), starts AS (
-  SELECT doc_id, x, unnest(range(0, n - 49)) AS s FROM docs WHERE n >= 50
+), keyed AS MATERIALIZED (
+  SELECT doc_id, unnest(range(0, n - 49)) AS s,
+         unnest(list_transform(range(0, n - 49), lambda i: md5_number(substr(x, 2 * i + 1, 100)))) AS k
+  FROM docs WHERE n >= 50
+), first AS (
+  SELECT k, min(doc_id) AS first_id FROM keyed GROUP BY k HAVING min(doc_id) < max(doc_id)
 ), win AS (
-  SELECT doc_id, s, doc_id > min(doc_id) OVER (PARTITION BY substr(x, 2 * s + 1, 100)) AS again FROM starts
+  SELECT w.doc_id, s, w.doc_id > first_id AS again FROM keyed w JOIN first f ON f.k = w.k
 ), marks AS (
   SELECT doc_id, s, s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS gap FROM win WHERE again
 ), runs AS (
