@@ -62,9 +62,15 @@ def stratified(documents: DataFrame, allocated: DataFrame, exclude: DataFrame |
     every tercile of word counts, what's left over from the first ones, each taken
     round robin over the domains.
     """
-    rows = documents.where(P.extracted() & (F.col("word_count") > 0)).join(F.broadcast(allocated.select("language", "allocated")), "language")
-    drawn = F.row_number().over(W.partitionBy("language").orderBy(random_key(seed=seed), "id"))
-    rows = rows.withColumn("_drawn", drawn).where(F.col("_drawn") <= F.least(10 * F.col("allocated"), F.lit(100_000)))
+    pool = F.least(10 * F.col("allocated"), F.lit(100_000))
+    quotas = allocated.select("language", "allocated", pool.alias("_pool"), ((1.2 * pool + 1000) / F.col("n")).alias("_share"))
+    # One row a language. The pool is the rows with the smallest keys; all but a little more
+    # than these are dropped by the key alone, before anything is shuffled.
+    rows = documents.where(P.extracted() & (F.col("word_count") > 0)).join(F.broadcast(quotas), "language")
+    rows = rows.withColumn("_key", random_key(seed=seed))
+    rows = rows.where(F.conv(F.left("_key", F.lit(8)), 16, 10).cast("double") < F.col("_share") * float(1 << 32))
+    drawn = F.row_number().over(W.partitionBy("language").orderBy("_key", "id"))
+    rows = rows.withColumn("_drawn", drawn).where(F.col("_drawn") <= F.col("_pool"))
     if exclude is not None:
         rows = rows.join(exclude.select("id"), "id", "left_anti")
     rows = terciles(rows.withColumn("domain", domain("source_url")), "language")
@@ -73,7 +79,7 @@ def stratified(documents: DataFrame, allocated: DataFrame, exclude: DataFrame |
     quota = third + (F.col("tercile") < F.col("allocated") - 3 * third).cast("int")
     quota = F.when(F.col("_size") <= F.col("allocated"), F.col("_size")).otherwise(quota)
     return round_robin(rows.withColumn("_size", size), ["language", "tercile"], "domain", quota, seed=seed).drop(
-        "_drawn", "_size", "turn", "place", "allocated"
+        "_drawn", "_size", "_key", "_pool", "_share", "turn", "place", "allocated"
     )
 
 
@@ -85,7 +91,10 @@ def split(rows: DataFrame, label: str, share: float = 0.15, id_col: str = "id",
 
 
 def id_chunks(rows: DataFrame, workers: int, id_col: str = "id") -> DataFrame:
-    """rows with worker: slices of ceil(n / workers) in the order of ids."""
+    """rows with worker: slices of ceil(n / workers) in the order of ids.
+
+    For lists of ids that one task can sort; a Spark job needs no such slices.
+    """
     r = F.row_number().over(W.partitionBy().orderBy(id_col)) - 1
     n = F.count(F.lit(1)).over(W.partitionBy())
     return rows.select(id_col).withColumn("worker", F.floor(r / F.ceil(n / workers)).cast("int"))
