@@ -226,6 +226,13 @@ def test_lines(spark):
     assert line_dedup.line_dedup(H.frame(spark, many), rare=5).where("text = ''").count() == 39
 
 
+def test_lines_hot_passage_beside_a_rare_line(spark):
+    hot, own = "\n".join(f"line {x} of a passage that very many of the documents have" for x in range(4)), "a line that only two documents have"
+    rows = [(0, own), *((k, f"text of document {k}\n{hot}") for k in range(1, 90)), (90, f"{own}\n{hot}\nend")]
+    text = {r.doc_id: r.text for r in line_dedup.line_dedup(H.frame(spark, rows)).collect()}
+    assert text[90] == f"{own}\nend" and text[89] == "text of document 89" and text[1] == rows[1][1]
+
+
 def test_lines_odd(spark):
     rows = H.odd_rows()
     out = line_dedup.line_dedup(H.clashing(H.frame(spark, rows))).collect()

@@ -1,11 +1,9 @@
 """Line deduplication by pairwise alignment.
 
-Documents that overlap are found through shared rare lines: every rare line links
-each document that has it to the first one (smallest id) that does, so links grow
-with the lines and not with the square of a line's documents. A line is rare when
-at most ``rare`` documents have it; a document none of whose shared lines is that
-rare is linked through its rarest ones, so no group of copies is too large to be
-found. Linked documents are aligned by patience diff (lines unique to both sides
+Documents that overlap are found through shared lines: every line links each
+document that has it to the first one (smallest id) that does, however many have
+it, so links grow with the lines and not with the square of a line's documents.
+Linked documents are aligned by patience diff (lines unique to both sides
 anchor the alignment, what lies between anchors is aligned again), and aligned
 common blocks of at least ``min_chars`` characters are deleted from the later one.
 """
@@ -99,8 +97,8 @@ def _lines() -> Column:
     return F.split("_text", "\n", -1)
 
 
-def overlaps(docs: DataFrame, scratch: Scratch, rare: int, min_line_chars: int) -> DataFrame:
-    """Pairs (d, dh, o, oh): a document and the first one that has one of its rare lines.
+def overlaps(docs: DataFrame, scratch: Scratch, min_line_chars: int) -> DataFrame:
+    """Pairs (d, dh, o, oh): a document and the first one that has one of its lines.
 
     docs has the key columns k, h and _text.
     """
@@ -114,15 +112,9 @@ def overlaps(docs: DataFrame, scratch: Scratch, rare: int, min_line_chars: int)
         lines.groupBy("line").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("k", "h")).alias("first")).where("df > 1")
     )
     # The first holder's own rows and the unshared lines go here.
-    held = lines.join(shared.hint("merge"), "line").where("not (k = first.k and h = first.h)").select("k", "h", "df", "first")
-    held = held.groupBy("k", "h", "first").agg(F.min("df").alias("df"))
+    held = lines.join(shared.hint("merge"), "line").where("not (k = first.k and h = first.h)").select("k", "h", "first").distinct()
     held = scratch.write(held)
-    rarest = held.groupBy("k", "h").agg(F.min("df").alias("least"))
-    return (
-        held.join(rarest, ["k", "h"])
-        .where(F.col("df") <= F.greatest(F.lit(rare), F.col("least")))
-        .select(F.col("k").alias("d"), F.col("h").alias("dh"), F.col("first.k").alias("o"), F.col("first.h").alias("oh"))
-    )
+    return held.select(F.col("k").alias("d"), F.col("h").alias("dh"), F.col("first.k").alias("o"), F.col("first.h").alias("oh"))
 
 
 def line_dedup(
@@ -142,7 +134,7 @@ def line_dedup(
     the blocks it shares with all the earlier ones it is linked to. Every row is
     returned, emptied ones with an empty text; a null text stays null. A null id is
     earlier than any other; rows that repeat id and text are one document, which
-    isn't its own copy; of rows with one id and different texts those with the
+    isn't its own copy; rare is taken for callers that give it and limits nothing; of rows with one id and different texts those with the
     smaller text hash are earlier. An empty table gives an empty result. Other
     columns are returned as they are, whatever their names, but for the two counts.
     """
@@ -154,7 +146,7 @@ def line_dedup(
         text_or_empty(text_col).alias("_text"),
     ).withColumn("h", F.xxhash64("_text"))
     bare = keyed.select("k", "h", "_text")
-    pairs = overlaps(bare, scratch, rare, min_line_chars)
+    pairs = overlaps(bare, scratch, min_line_chars)
     lines = F.transform(_lines(), lambda x: F.trim(x))
     # Written, it is a join side of its own, and the pairs of a document that many others share lines with can be split.
     shapes = scratch.write(
