@@ -233,6 +233,54 @@ def test_lines_hot_passage_beside_a_rare_line(spark):
     assert text[90] == f"{own}\nend" and text[89] == "text of document 89" and text[1] == rows[1][1]
 
 
+def brute_lines(rows, min_chars=100):
+    """What is left of each text when every block shared with any earlier document is deleted."""
+    split = [t.split("\n") for _, t in rows]
+    out = []
+    for d, a in enumerate(split):
+        gone = set()
+        for b in split[:d]:
+            for i in range(len(a)):
+                for j in range(len(b)):
+                    n = 0
+                    while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                        n += 1
+                    if sum(map(len, a[i : i + n])) >= min_chars:
+                        gone.update(range(i, i + n))
+        out.append("\n".join(x for i, x in enumerate(a) if i not in gone))
+    return {k: t for (k, _), t in zip(rows, out)}
+
+
+def test_lines_block_of_later_documents(spark):
+    x, y, z = (f"{c} is a line of about sixty characters, no more and no less" for c in "xyz")
+    own = [f"own line {k} of some document" for k in range(9)]
+    rows = [(1, f"{x}\n{own[0]}\n{y}\n{own[1]}\n{z}"), (2, f"{own[2]}\n{y}"), (3, z), (8, f"{own[3]}\n{x}\n{y}\n{z}"), (9, f"{x}\n{y}\n{z}\n{own[4]}")]
+    text = {r.doc_id: r.text for r in line_dedup.line_dedup(H.frame(spark, rows)).collect()}
+    assert text == brute_lines(rows) and text[9] == own[4]
+
+
+def test_shortest_runs():
+    rng = random.Random(5)
+    for _ in range(300):
+        sizes = np.array([rng.choice((0, 1, 30, 60, 120)) for _ in range(rng.randrange(1, 12))])
+        n = len(sizes)
+        runs = list(zip(*line_dedup.shortest_runs(sizes, np.full(n, n), np.zeros(n, dtype=int), 100)))
+        for p in range(n):
+            for q in range(p + 1, n + 1):
+                if sizes[p:q].sum() >= 100:
+                    assert {i for b, e in runs if p <= b and e <= q for i in range(b, e)} == set(range(p, q))
+
+
+def test_run_hashes():
+    rng = np.random.default_rng(3)
+    x = rng.integers(-(2**63), 2**63 - 1, 40)
+    y = np.concatenate((rng.integers(-(2**63), 2**63 - 1, 7), x))
+    a, b = line_dedup.Runs(x), line_dedup.Runs(y)
+    begin, end = np.triu_indices(41, 1)
+    assert (a.hash(begin, end) == b.hash(begin + 7, end + 7)).all() and len(set(a.hash(begin, end))) == len(begin)
+    assert (a.hash(np.arange(40), np.arange(1, 41)) == x).all()
+
+
 def test_lines_odd(spark):
     rows = H.odd_rows()
     out = line_dedup.line_dedup(H.clashing(H.frame(spark, rows))).collect()

@@ -1,9 +1,11 @@
 """Line deduplication by pairwise alignment.
 
-Documents that overlap are found through shared lines: every line links each
-document that has it to the first one (smallest id) that does, however many have
-it, so links grow with the lines and not with the square of a line's documents.
-Linked documents are aligned by patience diff (lines unique to both sides
+Documents that overlap are found through shared lines and runs of lines: each
+links a document that has it to the first one (smallest id) that does, however
+many have it, so links grow with the lines and not with the square of a line's
+documents. The runs are the shortest of at least ``min_chars`` characters that
+begin at a line and that end at one; together they cover every block that is long
+enough to be deleted, so its first holder is always linked. Linked documents are aligned by patience diff (lines unique to both sides
 anchor the alignment, what lies between anchors is aligned again), and aligned
 common blocks of at least ``min_chars`` characters are deleted from the later one.
 """
@@ -15,12 +17,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.common import Scratch, table, text_or_empty
 
 _NO_ID = -(2**63)
+_BASE = 0x9E3779B97F4A7C13  # odd, so that it has an inverse
+_UNBASE = pow(_BASE, -1, 2**64)
 
 
 def _unique(x: list[int], lo: int, hi: int) -> dict[int, int]:
@@ -93,27 +98,88 @@ def common_blocks(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in blocks]
 
 
+class Runs:
+    """Hashes of runs of line hashes; a run of one line has the line's own."""
+
+    def __init__(self, lines: np.ndarray):
+        x = lines.astype(np.int64).view(np.uint64)
+        powers, back = (np.full(len(x) + 1, base, dtype=np.uint64) for base in (_BASE, _UNBASE))
+        powers[0] = back[0] = 1
+        powers, self.back = np.cumprod(powers), np.cumprod(back)
+        self.total = np.concatenate(([np.uint64(0)], np.cumsum(x * powers[:-1], dtype=np.uint64)))
+
+    def hash(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return ((self.total[end] - self.total[begin]) * self.back[begin]).view(np.int64)
+
+
+def shortest_runs(sizes: np.ndarray, doc_end: np.ndarray, doc_begin: np.ndarray, min_chars: int) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, end) of the shortest runs of min_chars or more that begin at a line, and of those that end at one.
+
+    The documents lie end to end; doc_begin and doc_end are those of each line's
+    document. Any run of min_chars or more is the union of the runs within it.
+    """
+    total = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+    at = np.arange(len(sizes))
+    end = np.maximum(np.searchsorted(total, total[:-1] + min_chars, side="left"), at + 1)
+    begin = np.minimum(np.searchsorted(total, total[1:] - min_chars, side="right") - 1, at)
+    fore, aft = end <= doc_end, begin >= doc_begin
+    return np.concatenate((at[fore], begin[aft])), np.concatenate((end[fore], at[aft] + 1))
+
+
 def _lines() -> Column:
     return F.split("_text", "\n", -1)
 
 
-def overlaps(docs: DataFrame, scratch: Scratch, min_line_chars: int) -> DataFrame:
-    """Pairs (d, dh, o, oh): a document and the first one that has one of its lines.
+def link_keys(docs: DataFrame, min_line_chars: int, min_chars: int) -> DataFrame:
+    """Rows (k, h, line): the different hashes of each document's lines and shortest runs.
 
-    docs has the key columns k, h and _text.
+    A run's characters are counted with the blanks at line ends and without them:
+    the first finds equal text, the second text that differs in these blanks.
     """
-    lines = docs.select(
-        "k", "h",
-        F.explode(F.array_distinct(F.transform(
-            F.filter(F.transform(_lines(), lambda x: F.trim(x)), lambda x: F.length(x) >= min_line_chars), lambda x: F.xxhash64(x)
-        ))).alias("line"),
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole, bare, lines = (batch.column(c) for c in ("whole", "bare", "lines"))
+            count = np.diff(lines.offsets.to_numpy())
+            begins = np.cumsum(count) - count
+            doc = np.repeat(np.arange(len(count)), count)
+            line, sizes = lines.flatten().to_numpy(), bare.flatten().to_numpy()
+            runs = Runs(line)
+            docs, found = [doc[sizes >= min_line_chars]], [line[sizes >= min_line_chars]]
+            for measure in (sizes, whole.flatten().to_numpy()):
+                begin, end = shortest_runs(measure, (begins + count)[doc], begins[doc], min_chars)
+                docs.append(doc[begin])
+                found.append(runs.hash(begin, end))
+            of, key = np.concatenate(docs), np.concatenate(found)
+            order = np.lexsort((key, of))
+            of, key = of[order], key[order]
+            new = np.ones(len(of), dtype=bool)
+            new[1:] = (of[1:] != of[:-1]) | (key[1:] != key[:-1])
+            of, key = of[new], key[new]
+            k, h = (batch.column(c).to_numpy()[of] for c in ("k", "h"))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (k, h, key)], names=["k", "h", "line"])
+
+    bare = F.transform(_lines(), lambda x: F.trim(x))
+    shapes = docs.select(
+        "k", "h", F.transform(_lines(), lambda x: F.length(x)).alias("whole"), F.transform(bare, lambda x: F.length(x)).alias("bare"),
+        F.transform(bare, lambda x: F.xxhash64(x)).alias("lines"),
     )
+    return shapes.mapInArrow(keys, "k long, h long, line long")
+
+
+def overlaps(docs: DataFrame, scratch: Scratch, min_line_chars: int, min_chars: int) -> DataFrame:
+    """Pairs (d, dh, o, oh): a document and the first one that has one of its lines or runs.
+
+    docs has the key columns k, h and _text.
+    """
+    lines = scratch.write(link_keys(docs, min_line_chars, min_chars))
     shared = scratch.write(
-        lines.groupBy("line").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("k", "h")).alias("first")).where("df > 1")
+        lines.groupBy("line").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("k", "h")).alias("first")).where("df > 1").drop("df")
     )
     # The first holder's own rows and the unshared lines go here.
     held = lines.join(shared.hint("merge"), "line").where("not (k = first.k and h = first.h)").select("k", "h", "first").distinct()
     held = scratch.write(held)
+    scratch.drop(lines, shared)
     return held.select(F.col("k").alias("d"), F.col("h").alias("dh"), F.col("first.k").alias("o"), F.col("first.h").alias("oh"))
 
 
@@ -129,8 +195,8 @@ def line_dedup(
     """docs with the text that is left (and, with counts, n_lines and n_removed, the lines deleted).
 
     Lines end at a line feed and are compared without blanks at their ends; lines
-    of fewer than min_line_chars characters link no documents but take part in the
-    alignment. Blocks are judged on the input, and a document loses the union of
+    of fewer than min_line_chars characters link documents as parts of runs only, and
+    take part in the alignment. Blocks are judged on the input, and a document loses the union of
     the blocks it shares with all the earlier ones it is linked to. Every row is
     returned, emptied ones with an empty text; a null text stays null. A null id is
     earlier than any other; rows that repeat id and text are one document, which
@@ -146,7 +212,7 @@ def line_dedup(
         text_or_empty(text_col).alias("_text"),
     ).withColumn("h", F.xxhash64("_text"))
     bare = keyed.select("k", "h", "_text")
-    pairs = overlaps(bare, scratch, min_line_chars)
+    pairs = overlaps(bare, scratch, min_line_chars, min_chars)
     lines = F.transform(_lines(), lambda x: F.trim(x))
     # Written, it is a join side of its own, and the pairs of a document that many others share lines with can be split.
     shapes = scratch.write(
