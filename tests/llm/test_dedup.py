@@ -281,6 +281,23 @@ def test_run_hashes():
     assert (a.hash(np.arange(40), np.arange(1, 41)) == x).all()
 
 
+def test_lines_passage_twice_in_a_document(spark):
+    p = "\n".join(f"line {x} of a passage that stands twice in one of the documents" for x in range(4))
+    rows = [(1, f"begin of one\n{p}\nend of one"), (2, f"begin of two\n{p}\nmiddle of two\n{p}\nend of two")]
+    rows += [(3, f"begin of three\n{p}\n{p}\nmiddle of three\n{p}\nend of three")]
+    text = {r.doc_id: r.text for r in line_dedup.line_dedup(H.frame(spark, rows)).collect()}
+    assert text == {1: rows[0][1], 2: "begin of two\nmiddle of two\nend of two", 3: "begin of three\nmiddle of three\nend of three"}
+
+
+def test_lines_brute_force(spark):
+    """All pairs, on documents of few different lines, short ones among them."""
+    rng = random.Random(11)
+    pool = ["", "a", "eleven char", "x" * 30, "y" * 45, "z" * 60, "v" * 99, "w" * 110]
+    rows = [(k, "\n".join(rng.choice(pool[: rng.choice((4, 8))]) for _ in range(rng.randrange(1, 25)))) for k in range(120)]
+    text = {r.doc_id: r.text for r in line_dedup.line_dedup(H.frame(spark, rows)).collect()}
+    assert text == brute_lines(rows)
+
+
 def test_lines_odd(spark):
     rows = H.odd_rows()
     out = line_dedup.line_dedup(H.clashing(H.frame(spark, rows))).collect()

@@ -7,7 +7,9 @@ documents. The runs are the shortest of at least ``min_chars`` characters that
 begin at a line and that end at one; together they cover every block that is long
 enough to be deleted, so its first holder is always linked. Linked documents are aligned by patience diff (lines unique to both sides
 anchor the alignment, what lies between anchors is aligned again), and aligned
-common blocks of at least ``min_chars`` characters are deleted from the later one.
+common blocks of at least ``min_chars`` characters are deleted from the later one,
+as are runs of that size that the alignment leaves out: passages that repeat within
+a document or stand in another order.
 """
 
 from __future__ import annotations
@@ -126,6 +128,34 @@ def shortest_runs(sizes: np.ndarray, doc_end: np.ndarray, doc_begin: np.ndarray,
     return np.concatenate((at[fore], begin[aft])), np.concatenate((end[fore], at[aft] + 1))
 
 
+def in_common(a: np.ndarray, sizes: np.ndarray, b: np.ndarray, min_chars: int) -> list[tuple[int, int]]:
+    """Parts (begin, end) of a to delete: aligned blocks, and all runs of min_chars or more that stand anywhere in b.
+
+    Patience finds no lines that repeat on a side without unique ones beside them,
+    nor blocks in another order; the shortest runs of a, looked up in b, find these.
+    """
+    total = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+    gone = np.zeros(len(a), dtype=bool)
+    for x, y in common_blocks(patience(a.tolist(), b.tolist())):
+        if total[y] - total[x] >= min_chars:
+            gone[x:y] = True
+    begin, end = shortest_runs(sizes, np.full(len(a), len(a)), np.zeros(len(a), dtype=np.int64), min_chars)
+    # Runs that are deleted already, or have a line that b lacks, need no look.
+    kept, lacking = (np.concatenate(([0], np.cumsum(x))) for x in (~gone, ~np.isin(a, b)))
+    open_ = (kept[end] > kept[begin]) & (lacking[end] == lacking[begin])
+    begin, end = begin[open_], end[open_]
+    if len(begin):
+        runs, others = Runs(a), Runs(b)
+        key, n = runs.hash(begin, end), end - begin
+        for m in np.unique(n[n <= len(b)]):
+            at = np.arange(len(b) - m + 1)
+            of_m = n == m
+            for x in begin[of_m][np.isin(key[of_m], others.hash(at, at + m))]:
+                gone[x : x + m] = True
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0]))))
+    return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
+
+
 def _lines() -> Column:
     return F.split("_text", "\n", -1)
 
@@ -227,9 +257,7 @@ def line_dedup(
         for batch in batches:
             out = []
             for d, dh, a, sizes, b in zip(*(batch[c] for c in ("d", "dh", "a", "sizes", "b")), strict=True):
-                total = np.concatenate(([0], np.cumsum(sizes)))
-                found = common_blocks(patience(a.tolist(), b.tolist()))
-                out += [(d, dh, x, y) for x, y in found if total[y] - total[x] >= min_chars]
+                out += [(d, dh, x, y) for x, y in in_common(a, sizes, b, min_chars)]
             yield pd.DataFrame(out, columns=["k", "h", "begin", "end"])
 
     linked = pairs.hint("merge").join(later, ["d", "dh"]).join(first.hint("merge"), ["o", "oh"]).select("d", "dh", "a", "sizes", "b")
