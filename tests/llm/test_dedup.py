@@ -298,6 +298,13 @@ def test_lines_brute_force(spark):
     assert text == brute_lines(rows)
 
 
+def test_lines_short_ones_only(spark):
+    text = "\n".join(f"{k * 7919:011d}" for k in range(500))
+    rows = [(1, text), (2, text), (3, "own\n" + text[1200:2399] + "\nown too"), (4, "日本\n" * 60), (5, "日本\n" * 60)]
+    left = {r.doc_id: r.text for r in line_dedup.line_dedup(H.frame(spark, rows)).collect()}
+    assert left == {1: text, 2: "", 3: "own\nown too", 4: rows[3][1], 5: ""}
+
+
 def test_lines_odd(spark):
     rows = H.odd_rows()
     out = line_dedup.line_dedup(H.clashing(H.frame(spark, rows))).collect()
