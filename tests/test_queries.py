@@ -1,5 +1,6 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import hashlib
 import os
 
 import duckdb
@@ -37,3 +38,16 @@ def test_query(spark, duck, name):
         want = duck.sql(Q.oracle_sql()[name]).df()
         assert sorted(got.columns) == sorted(want.columns)
         assert canonical(got) == canonical(want)
+
+
+def test_docx_validate_reads_whole_texts(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from textmill.functions import records
+
+    seen = lambda x: F.struct(F.sha2(x, 256).alias("is_valid"))
+    monkeypatch.setattr(records, "validate_docx", seen)
+    text = "é" * 3000 + "end"
+    spark.createDataFrame([(5, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    row = Q.queries()["docx_validate"](spark, str(tmp_path)).collect()[0]
+    assert row.is_valid == hashlib.sha256(b"PK\x03\x04" + text.encode()).hexdigest()
