@@ -250,3 +250,12 @@ def test_chats_odd(spark):
 def test_unreadable_text(spark):
     df = spark.createDataFrame([("<|im_start|>user\nx",), ("junk<|im_end|>\n",), ("",)], "f string")
     assert [r.p for r in df.select(chat.parse(F.col("f"), 0).alias("p")).collect()] == [None, None, []]
+
+
+def test_repeat_words_whose_hashes_agree(spark):
+    """In a text of a million words the hashes of these windows agree in all bits that are compared; no window repeats."""
+    words = ["q7087763", "r", "s", *(f"w{i}" for i in range(1_000_000)), "q7861543", "r", "s"]
+    again = [*words, *words[-4:-1], "end", "q7861543", "r", "s"]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(again))], "doc_id long, text string")
+    got = {r.doc_id: r.n_repeat_words for r in quality_rules.with_statistics(df).select("doc_id", "n_repeat_words").collect()}
+    assert got == {1: 0, 2: 10}

@@ -35,15 +35,15 @@ def _count_repeat_words() -> Column:
 
     Windows are hashed to 64 bits; the low bits, as many as the positions need,
     are replaced by the window's position, so that one sort of longs brings equal
-    windows together with their places.
+    windows together with their places. Where the words of two neighbours differ
+    though their bits agree, the windows found so far are sorted by their words.
     """
     return F.expr(
         """
         CASE WHEN n_words < 4 THEN 0L ELSE aggregate(
-          sort_array(transform(
-            filter(sorted, (p, j) -> (j > 0 AND p - pmod(p, room) = sorted[j - 1] - pmod(sorted[j - 1], room))
-              OR (j < n_words - 3 AND p - pmod(p, room) = sorted[j + 1] - pmod(sorted[j + 1], room))),
-            p -> pmod(p, room))),
+          sort_array(CASE WHEN clash THEN transform(
+            filter(by_words, (x, j) -> (j > 0 AND x.w = by_words[j - 1].w) OR (j < size(by_words) - 1 AND x.w = by_words[j + 1].w)), x -> x.p)
+            ELSE transform(together, p -> pmod(p, room)) END),
           struct(0L AS covered, -3L AS last),
           (a, i) -> struct(a.covered + least(3L, i - a.last) AS covered, i AS last),
           a -> a.covered) END
@@ -51,11 +51,21 @@ def _count_repeat_words() -> Column:
     )
 
 
+#: Windows whose bits agree with a neighbour's, whether words differ there, and, only then, these windows by their words.
+_TOGETHER = """filter(sorted, (p, j) -> (j > 0 AND p - pmod(p, room) = sorted[j - 1] - pmod(sorted[j - 1], room))
+  OR (j < n_words - 3 AND p - pmod(p, room) = sorted[j + 1] - pmod(sorted[j + 1], room)))"""
+_CLASH = """exists(transform(together, (p, j) -> j > 0 AND p - pmod(p, room) = together[j - 1] - pmod(together[j - 1], room) AND NOT (
+  _words[pmod(p, room)] = _words[pmod(together[j - 1], room)] AND _words[pmod(p, room) + 1] = _words[pmod(together[j - 1], room) + 1]
+  AND _words[pmod(p, room) + 2] = _words[pmod(together[j - 1], room) + 2])), x -> x)"""
+_BY_WORDS = """CASE WHEN clash THEN sort_array(transform(together, p -> struct(
+  struct(_words[pmod(p, room)] AS a, _words[pmod(p, room) + 1] AS b, _words[pmod(p, room) + 2] AS c) AS w, pmod(p, room) AS p))) END"""
+
+
 def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with the counts n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_upper.
 
-    Null texts count as empty. Two windows count as equal when their hashes agree
-    in all bits but the log2(words) that hold the place.
+    Null texts count as empty. Hashes only bring windows together; two count as
+    equal when their words are.
     """
     words = F.array_remove(F.split("_text", BLANKS), "")
     lines = F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -69,6 +79,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         """
     )
     out = out.withColumn("sorted", hashes)
+    out = out.withColumn("together", F.expr(_TOGETHER)).withColumn("clash", F.expr(_CLASH)).withColumn("by_words", F.expr(_BY_WORDS))
     out = out.withColumn("_lines", lines)
     return (
         out.withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
@@ -77,7 +88,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
         .withColumn("n_repeat_words", _count_repeat_words())
         .withColumn("n_upper", F.regexp_count("_text", F.lit("[A-Z]")).cast("long"))
-        .drop("_text", "_words", "_lines", "sorted", "room")
+        .drop("_text", "_words", "_lines", "sorted", "together", "clash", "by_words", "room")
     )
 
 
