@@ -1,4 +1,4 @@
-"""Connected components of an edge table, round by round in Spark."""
+"""Connected components of an edge table, by contraction, round by round in Spark."""
 
 from __future__ import annotations
 
@@ -11,20 +11,33 @@ from textmill.llm.common import Scratch
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, label) of every node of edges (a, b longs): label is its component's smallest node.
 
-    A round takes the smallest label among the neighbours and then the label of
-    that label, so paths shorten by more than half. A hub's edges are summed
-    before they are shuffled, and the join that hands out its label can be split.
+    In a round every node takes its smallest neighbour's own smallest neighbour for
+    a name; edges are renamed, and those within one name are gone. So a star is
+    done in one round, and what is joined shrinks with the components that are
+    left. A hub's edges are summed before they are shuffled, and the joins that
+    rename them can be split. No edges give no rows.
     """
-    both = edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct()
-    both = scratch.write(both)
-    now = scratch.write(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("label")))
-    while True:
-        near = both.join(now, both["a"] == now["node"]).groupBy(F.col("b").alias("node")).agg(F.min("label").alias("near"))
-        hooked = now.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        hooked = scratch.write(hooked)
-        up = hooked.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        new = scratch.write(hooked.join(up, "label", "left").select("node", "old", F.least("label", "up").alias("label")))
-        scratch.drop(hooked, now)
-        now = new
-        if now.where("old <> label").isEmpty():
-            return now.select("node", "label")
+    left = scratch.write(
+        edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    )
+    now = None
+    while now is None or not left.isEmpty():
+        ends = left.select(F.col("a").alias("node"), F.col("b").alias("other")).union(left.select("b", "a"))
+        least = scratch.write(ends.groupBy("node").agg(F.least("node", F.min("other")).alias("name")))
+        up = scratch.reread(least).select(F.col("node").alias("name"), F.col("name").alias("up"))
+        name = scratch.write(least.join(up.hint("merge"), "name").select("node", F.col("up").alias("name")))
+        of_a, of_b = (scratch.reread(name).select(F.col("node").alias(c), F.col("name").alias(f"{c}_name")) for c in ("a", "b"))
+        renamed = left.join(of_a.hint("merge"), "a").join(of_b.hint("merge"), "b").where("a_name <> b_name")
+        fewer = scratch.write(
+            renamed.select(F.least("a_name", "b_name").alias("a"), F.greatest("a_name", "b_name").alias("b")).distinct()
+        )
+        scratch.drop(left, least)
+        if now is None:
+            now = name
+        else:
+            again = name.select(F.col("node").alias("name"), F.col("name").alias("new"))
+            new = scratch.write(now.join(again.hint("merge"), "name", "left").select("node", F.coalesce("new", "name").alias("name")))
+            scratch.drop(name, now)
+            now = new
+        left = fewer
+    return now.select("node", F.col("name").alias("label"))

@@ -9,16 +9,18 @@ found. (A pair of similarity 0.75 misses every key with probability 1.5e-6.)
 
 What meets is never expanded to all pairs of a group:
 
-1. Documents with equal sets are one class; only classes go on.
-2. Every key links its members to its smallest one. Senders do that for their own
-   part first, so a key costs its bucket one entry a sender. These links, linear
-   in the members, are confirmed on the full sets, and the confirmed ones joined
-   to components.
-3. What is left is proving that no link between different components of a family
-   (classes connected by keys) was missed. The classes outside a family's largest
-   component are compared with all of the family in blocks of ``block`` classes:
-   signatures first, then sets; a task returns the links that join components,
-   never pairs.
+1. Documents with equal sets (equal in size and in two 64-bit sums of hashes) are
+   one class; only classes go on.
+2. Every key links its members to the one that comes first (smallest id). Senders
+   do that for their own part first, so a key costs its bucket one entry a sender.
+   Each class tries the earliest of its heads on the full sets, and then those
+   others that it isn't connected with by now.
+3. What is left is proving that no link between different components was missed.
+   Two classes that are to be linked have a key in common, so a key whose members
+   lie in several components has those outside its largest one compared with all
+   of its members, in blocks: by signatures first, each pair in its first common
+   key only, which tells the classes whose sets a task needs; then by these sets.
+   A task returns the links that join components, never pairs.
 """
 
 from __future__ import annotations
@@ -35,8 +37,10 @@ from textmill.llm.graph import components
 from textmill.llm.hashing import WordHashes, mixed, windows
 
 PER_CHUNK = 4
-#: Rows (of 24 bytes) of a table of families that may be broadcast.
-MOST_BROADCAST = 20_000
+#: A task of step 3 holds sets of about so many bytes on each side, or a single larger one.
+BLOCK_BYTES = 16 << 20
+_SECOND = np.uint64(0xD6E8FEB86659FD93)
+_LAST = 2**63 - 1
 
 
 def shingles(text: bytes, words: int, memory: WordHashes) -> np.ndarray:
@@ -80,7 +84,7 @@ def _read_signatures(column: pd.Series) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, words: int, chunks: int, span: int = 1 << 21) -> DataFrame:
-    """(id, h, n, cls, sig) of every row of (id, h, body): cls names its set, n is the set's size."""
+    """(id, h, n, c1, c2, sig) of every row of (id, h, body): n, c1 and c2 tell its set, n is the set's size."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memory = WordHashes()
@@ -95,59 +99,62 @@ def sketch(docs: DataFrame, words: int, chunks: int, span: int = 1 << 21) -> Dat
                 sizes = np.array([len(s) for s in sets])
                 some = np.flatnonzero(sizes)
                 sig = [b""] * len(sets)
-                cls = np.zeros(len(sets), np.uint64)
+                c1, c2 = np.zeros((2, len(sets)), np.uint64)
                 rows = signatures([sets[i] for i in some], chunks)
                 for i, row in zip(some, rows, strict=True):
                     sig[i] = row.tobytes()
-                    cls[i] = np.add.reduce(mixed(sets[i]), dtype=np.uint64) + np.uint64(sizes[i])
+                    c1[i] = np.add.reduce(mixed(sets[i]), dtype=np.uint64)
+                    c2[i] = np.add.reduce(mixed(sets[i] ^ _SECOND), dtype=np.uint64)
                 part = batch.iloc[begin:at]
                 yield pd.DataFrame(
-                    {"id": part["id"].to_numpy(), "h": part["h"].to_numpy(), "n": sizes, "cls": cls.view(np.int64), "sig": sig}
+                    {"id": part["id"], "h": part["h"], "n": sizes, "c1": c1.view(np.int64), "c2": c2.view(np.int64), "sig": sig}
                 )
 
-    return docs.mapInPandas(run, "id long, h long, n long, cls long, sig binary")
+    return docs.mapInPandas(run, "id long, h long, n long, c1 long, c2 long, sig binary")
+
+
+def _heads(keys: np.ndarray, order: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows sorted by (key, order, cls); which of them are the first of their key; and each row's first."""
+    rows = np.lexsort((cls, order, keys))
+    keys = keys[rows]
+    first = np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.empty(0, dtype=bool)
+    return rows, first, rows[np.maximum.accumulate(np.where(first, np.arange(len(rows)), 0))]
 
 
 def key_links(classes: DataFrame, scratch: Scratch, bits: int = 6) -> DataFrame:
-    """Distinct (a, b): the smallest class of a key and another one that has the key, within the distance looked at."""
+    """Distinct (b, a, a_order): classes, and another one that has a key in common and comes before them by order."""
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys = chunk_keys(_read_signatures(batch["sig"]))
-            cls = np.repeat(batch["cls"].to_numpy(), keys.shape[1])
+            cls, order = (np.repeat(batch[c].to_numpy(), keys.shape[1]) for c in ("cls", "order"))
             flat = keys.ravel()
-            order = np.lexsort((cls, flat))
-            flat, cls = flat[order], cls[order]
-            first = np.append(True, flat[1:] != flat[:-1])
-            head = cls[np.maximum.accumulate(np.where(first, np.arange(len(flat)), 0))]
-            own = np.unique(np.column_stack([head[~first], cls[~first]]), axis=0)
-            out = [(-1, b"", b"", own[:, 0].tobytes(), own[:, 1].tobytes())]
-            flat, cls = flat[first], cls[first]
-            bucket = (flat >> np.uint64(64 - bits)).astype(np.int64)
+            rows, first, head = _heads(flat, order, cls)
+            own = np.unique(np.column_stack([cls[rows], cls[head], order[head]])[~first], axis=0)
+            out = [(-1, b"", b"", b"", own.tobytes())]
+            rows = rows[first]
+            bucket = (flat[rows] >> np.uint64(64 - bits)).astype(np.int64)
             begins = np.flatnonzero(np.diff(bucket, prepend=-1))
-            for x, y in zip(begins, np.append(begins[1:], len(flat)), strict=True):
-                out.append((int(bucket[x]), flat[x:y].tobytes(), cls[x:y].tobytes(), b"", b""))
-            yield pd.DataFrame(out, columns=["bucket", "keys", "cls", "a", "b"])
+            for x, y in zip(begins, np.append(begins[1:], len(rows)), strict=True):
+                part = rows[x:y]
+                out.append((int(bucket[x]), flat[part].tobytes(), cls[part].tobytes(), order[part].tobytes(), b""))
+            yield pd.DataFrame(out, columns=["bucket", "keys", "cls", "order", "own"])
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
-        a = np.frombuffer(b"".join(group["a"]), np.int64)
-        b = np.frombuffer(b"".join(group["b"]), np.int64)
+        links = np.frombuffer(b"".join(group["own"]), np.int64).reshape(-1, 3)
         keys = np.frombuffer(b"".join(group["keys"]), np.uint64)
-        cls = np.frombuffer(b"".join(group["cls"]), np.int64)
+        cls, order = (np.frombuffer(b"".join(group[c]), np.int64) for c in ("cls", "order"))
         if len(keys):
-            order = np.lexsort((cls, keys))
-            keys, cls = keys[order], cls[order]
-            first = np.append(True, keys[1:] != keys[:-1])
-            head = cls[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))]
-            a, b = np.append(a, head[~first]), np.append(b, cls[~first])
-        return pd.DataFrame(np.unique(np.column_stack([a, b]), axis=0), columns=["a", "b"])
-
-    sent = classes.select("cls", "sig").mapInPandas(send, "bucket int, keys binary, cls binary, a binary, b binary")
+            rows, first, head = _heads(keys, order, cls)
+            links = np.concatenate([links, np.column_stack([cls[rows], cls[head], order[head]])[~first]])
+        links = np.unique(links, axis=0)
+        return pd.DataFrame(links[links[:, 0] != links[:, 1]], columns=["b", "a", "a_order"])
+
+    sent = classes.select("cls", "order", "sig").mapInPandas(send, "bucket int, keys binary, cls binary, order binary, own binary")
     # The senders' own links have no bucket: they are dealt out evenly.
-    spread = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("a", "b"), F.lit(1 << bits))).otherwise(F.col("bucket"))
-    met = sent.withColumn("bucket", spread.cast("int")).groupBy("bucket").applyInPandas(meet, "a long, b long")
-    out = scratch.write(met.where("a <> b").distinct())
-    return out
+    spread = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("own"), F.lit(1 << bits))).otherwise(F.col("bucket"))
+    met = sent.withColumn("bucket", spread.cast("int")).groupBy("bucket").applyInPandas(meet, "b long, a long, a_order long")
+    return scratch.write(met.distinct())
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -168,81 +175,174 @@ def confirmed(links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     x = sets.select(F.col("cls").alias("a"), F.col("elements").alias("x"))
     y = sets.select(F.col("cls").alias("b"), F.col("elements").alias("y"))
-    return links.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
+    both = links.join(x.hint("merge"), "a").join(y.hint("merge"), "b")
+    return both.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
 
 
-def missed_links(family: pd.DataFrame, percent: int, farthest: int) -> list[tuple[int, int]]:
-    """Links that join components (column comp) of some classes, comparing each outside row (own) with all."""
-    comp = family["comp"].to_numpy()
-    cls = family["cls"].to_numpy()
-    sig = _read_signatures(family["sig"])
-    sets = [np.frombuffer(x, np.uint64) for x in family["elements"]]
-    sizes = np.array([len(s) for s in sets])
-    begins = np.cumsum(sizes) - sizes
-    flat = np.concatenate(sets)
-    parent = {int(c): int(c) for c in comp}
+def with_comp(rows: DataFrame, comps: DataFrame, cls: str = "cls", comp: str = "comp") -> DataFrame:
+    """rows with the component of each class in column cls: its own name, where comps (node, label) hasn't got it."""
+    named = comps.select(F.col("node").alias(cls), F.col("label").alias("_label"))
+    return rows.join(named.hint("merge"), cls, "left").withColumn(comp, F.coalesce("_label", cls)).drop("_label")
 
-    def root(c: int) -> int:
-        while parent[c] != c:
-            parent[c] = parent[parent[c]]
-            c = parent[c]
-        return c
 
-    out = []
-    for i in np.flatnonzero(family["own"].to_numpy()):
-        roots = np.array([root(int(c)) for c in comp])
-        # The larger set can't be larger than 100 / percent of the smaller one.
-        near = (roots != roots[i]) & (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i]))
-        near[near] = (sig[near] != sig[i]).sum(1) <= farthest
-        at = np.flatnonzero(near)
-        if not len(at):
-            continue
-        rows = np.concatenate([flat[begins[j] : begins[j] + sizes[j]] for j in at])
-        spots = np.minimum(np.searchsorted(sets[i], rows), sizes[i] - 1)
-        hits = np.add.reduceat((sets[i][spots] == rows).astype(np.int64), np.cumsum(sizes[at]) - sizes[at])
-        for j in at[100 * hits >= percent * (sizes[at] + sizes[i] - hits)]:
-            a, b = root(int(comp[i])), root(int(comp[j]))
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                out.append((int(cls[i]), int(cls[j])))
-    return out
+def key_rows(members: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, slot, cls, comp, n): a row for each key of members (cls, comp, n, sig)."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keys = chunk_keys(_read_signatures(batch["sig"]))
+            of = np.repeat(np.arange(len(batch)), keys.shape[1])
+            out = {c: batch[c].to_numpy()[of] for c in ("cls", "comp", "n")}
+            slot = np.tile(np.arange(keys.shape[1], dtype=np.int32), len(batch))
+            yield pd.DataFrame({"key": keys.ravel().view(np.int64), "slot": slot, **out})
 
-def remaining_links(members: DataFrame, percent: int, farthest: int, block: int, scratch: Scratch) -> DataFrame:
-    """Step 3 over (family, comp, cls, sig, elements): links between different components."""
-    per_comp = members.groupBy("family", "comp").agg(F.count(F.lit(1)).alias("n"))
-    per_family = per_comp.groupBy("family").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("comps"), F.max(F.struct("n", "comp")).alias("main")
-    )
-    # Two classes that are a family have met in a key, and that link was tried.
-    open_ = per_family.where("comps > 1 and n > 2").select(
-        "family",
-        F.col("main.comp").alias("main"),
-        F.ceil(F.greatest(F.col("n") - F.col("main.n"), F.lit(1)) / block).cast("int").alias("out_blocks"),
-        F.ceil(F.col("main.n") / block).cast("int").alias("main_blocks"),
-    )
-    # Few families are open as a rule; they are broadcast if they are few, and else joined so that a large family can be split.
+    return scratch.write(members.select("cls", "comp", "n", "sig").mapInPandas(run, "key long, slot int, cls long, comp long, n long"))
+
+
+#: A task's name, and what tells a key.
+TASK = ["at", "i", "j", "with_main"]
+KEY = ["key", "slot"]
+
+
+def key_tasks(keyed: DataFrame, block: int, scratch: Scratch) -> DataFrame | None:
+    """Rows (key, slot, cls, comp, n, left, within) of the tasks that compare the members of keys with several components.
+
+    A task compares a key's left rows with its others and, where within is set, with
+    each other. Rows outside the key's main (largest) component are left somewhere.
+    Small keys share a task, by their hash; large ones are split in blocks.
+    """
+    bytes_ = F.sum(F.col("n") * 8)
+    per_comp = keyed.groupBy(*KEY, "comp").agg(F.count(F.lit(1)).alias("rows"), bytes_.alias("bytes"))
+    main = F.max(F.struct("rows", "comp", "bytes")).alias("main")
+    per_key = per_comp.groupBy(*KEY).agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("comps"), main)
+
+    def blocks(rows, size):
+        return F.ceil(F.greatest(rows / block, size / BLOCK_BYTES, F.lit(1))).cast("int")
+
+    # Two classes that are all of a key are the key's link, which was tried.
+    open_ = per_key.where("comps > 1 and rows > 2").select(
+        *KEY, "rows", "bytes", F.col("main.comp").alias("main"), ((F.col("rows") <= block) & (F.col("bytes") <= BLOCK_BYTES)).alias("small"),
+        blocks(F.col("rows") - F.col("main.rows"), F.col("bytes") - F.col("main.bytes")).alias("out_blocks"),
+        blocks(F.col("main.rows"), F.col("main.bytes")).alias("main_blocks"),
+    )
     open_ = scratch.write(open_)
-    open_ = F.broadcast(open_) if open_.count() <= MOST_BROADCAST else open_.hint("merge")
-    rows = members.join(open_, "family").withColumn("own", F.col("comp") != F.col("main"))
+    total = open_.agg(F.count(F.lit(1)), F.sum(F.when(F.col("small"), F.col("rows"))), F.sum(F.when(F.col("small"), F.col("bytes")))).first()
+    if not total[0]:
+        return None
+    tasks = max(1, -(-(total[1] or 0) // (2 * block)), -(-(total[2] or 0) // BLOCK_BYTES))
+    rows = keyed.join(open_.drop("rows", "bytes").hint("merge"), KEY).withColumn("own", F.col("comp") != F.col("main"))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(tasks)))
     spot = F.pmod(F.xxhash64("cls"), F.when(F.col("own"), F.col("out_blocks")).otherwise(F.col("main_blocks"))).cast("int")
     rows = rows.withColumn("spot", spot)
     # An outside row meets all outside blocks and all blocks of the main component; a row of that, the outside blocks.
     everywhere = F.expr(
         """
-        CASE WHEN own THEN concat(
-            transform(sequence(0, out_blocks - 1), x -> struct(least(x, spot) AS i, greatest(x, spot) AS j, false AS with_main)),
-            transform(sequence(0, main_blocks - 1), x -> struct(spot AS i, x AS j, true AS with_main)))
-          ELSE transform(sequence(0, out_blocks - 1), x -> struct(x AS i, spot AS j, true AS with_main)) END
+        CASE WHEN small THEN array(struct(bucket AS at, -1 AS i, -1 AS j, false AS with_main, own AS left, true AS within))
+          WHEN own THEN concat(
+            transform(sequence(0, out_blocks - 1), x -> struct(
+              key AS at, least(x, spot) AS i, greatest(x, spot) AS j, false AS with_main, x >= spot AS left, x = spot AS within)),
+            transform(sequence(0, main_blocks - 1), x -> struct(
+              key AS at, spot AS i, x AS j, true AS with_main, true AS left, false AS within)))
+          ELSE transform(sequence(0, out_blocks - 1), x -> struct(
+              key AS at, x AS i, spot AS j, true AS with_main, false AS left, false AS within)) END
         """
     )
-    tasks = rows.select("family", "cls", "comp", "own", "sig", "elements", F.explode(everywhere).alias("t"))
-    tasks = tasks.select("family", "cls", "comp", "own", "sig", "elements", "t.i", "t.j", "t.with_main")
+    tasked = rows.select(*KEY, "cls", "comp", "n", F.explode(everywhere).alias("t"))
+    return tasked.select(*KEY, "cls", "comp", "n", *[F.col(f"t.{c}").alias(c) for c in (*TASK, "left", "within")])
+
+
+def near_in_key(rows: pd.DataFrame, percent: int, farthest: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places to compare: a left row and the others that may be similar to it, of one key and of other components.
+
+    A pair that has an earlier key, too, is left to that.
+    """
+    sig = _read_signatures(rows["sig"])
+    comp, n, left, within = (rows[c].to_numpy() for c in ("comp", "n", "left", "within"))
+    chunk, gone = divmod(int(rows["slot"].iat[0]), PER_CHUNK)
+    place = np.arange(len(rows))
+    for i in np.flatnonzero(left):
+        # The larger set can't be larger than 100 / percent of the smaller one.
+        at = (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
+        at = np.flatnonzero(at & (~left | (within & (place > i))))
+        errors = (sig[at] != sig[i]).reshape(len(at), sig.shape[1] // PER_CHUNK, PER_CHUNK).sum(2)
+        here = (errors[:, chunk] == 1) | ((errors[:, chunk] == 0) & (gone == 0))
+        at = at[here & (errors.sum(1) <= farthest) & (errors[:, :chunk] > 1).all(1)]
+        if len(at):
+            yield int(i), at
+
+
+def missed_links(rows: pd.DataFrame, percent: int, farthest: int) -> list[tuple[int, int]]:
+    """Links that join components, of a task's rows with their sets."""
+    parent = {int(c): int(c) for c in rows["comp"].unique()}
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    out = []
+    for _, of_key in rows.groupby(KEY, sort=False):
+        cls, comp, sizes = (of_key[c].to_numpy() for c in ("cls", "comp", "n"))
+        sets = [np.frombuffer(x, np.uint64) for x in of_key["elements"]]
+        for i, at in near_in_key(of_key, percent, farthest):
+            mine = root(int(comp[i]))
+            at = at[[root(int(c)) != mine for c in comp[at]]]
+            if not len(at):
+                continue
+            flat = np.concatenate([sets[j] for j in at])
+            spots = np.minimum(np.searchsorted(sets[i], flat), sizes[i] - 1)
+            hits = np.add.reduceat((sets[i][spots] == flat).astype(np.int64), np.cumsum(sizes[at]) - sizes[at])
+            for j in at[100 * hits >= percent * (sizes[at] + sizes[i] - hits)]:
+                a, b = root(int(comp[i])), root(int(comp[j]))
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    out.append((int(cls[i]), int(cls[j])))
+    return out
+
+
+def remaining_links(members: DataFrame, percent: int, farthest: int, block: int, scratch: Scratch) -> DataFrame | None:
+    """Step 3 over (cls, comp, n, sig, elements): links between different components; None if no key has several."""
+    keyed = key_rows(members, scratch)
+    tasked = key_tasks(keyed, block, scratch)
+    if tasked is None:
+        return None
+
+    def needed(group: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, rows in group.groupby(KEY, sort=False):
+            used = np.zeros(len(rows), dtype=bool)
+            for i, at in near_in_key(rows, percent, farthest):
+                used[i] = True
+                used[at] = True
+            out.append(rows[used])
+        return pd.concat(out)[[*TASK, *KEY, "cls", "comp", "n", "left", "within"]]
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(missed_links(group, percent, farthest), columns=["a", "b"], dtype="int64")
 
-    return tasks.groupBy("family", "i", "j", "with_main").applyInPandas(run, "a long, b long")
+    sigs, sets = members.select("cls", "sig"), members.select("cls", "sig", "elements")
+    shape = "at long, i int, j int, with_main boolean, key long, slot int, cls long, comp long, n long, left boolean, within boolean"
+    used = tasked.join(sigs.hint("merge"), "cls").groupBy(*TASK).applyInPandas(needed, shape)
+    used = scratch.write(used)
+    return scratch.write(used.join(sets.hint("merge"), "cls").groupBy(*TASK).applyInPandas(run, "a long, b long"))
+
+
+def class_sets(rows: DataFrame, classes: DataFrame, links: DataFrame, words: int, scratch: Scratch) -> DataFrame:
+    """(cls, n, sig, elements) of the linked classes: their sets, made again from the first row of each."""
+    met = links.select(F.col("a").alias("cls")).union(links.select("b")).distinct()
+    wanted = classes.select("cls", "n", "id", "h", "sig").join(met.hint("merge"), "cls")
+    wanted = scratch.write(wanted.select("cls", "n", F.col("id").alias("first_id"), F.col("h").alias("first_h"), "sig"))
+    found = rows.join(wanted.hint("merge"), rows["id"].eqNullSafe(wanted["first_id"]) & (rows["h"] == wanted["first_h"]), "inner")
+
+    def elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memory = WordHashes()
+        for batch in batches:
+            sets = [shingles(bytes(x), words, memory).tobytes() for x in batch["body"]]
+            yield pd.DataFrame({"cls": batch["cls"], "n": batch["n"], "sig": batch["sig"], "elements": sets})
+
+    sets = found.select("cls", "n", "sig", "body").mapInPandas(elements, "cls long, n long, sig binary, elements binary")
+    return scratch.write(sets.dropDuplicates(["cls"]))
 
 
 def near_duplicates(
@@ -271,47 +371,38 @@ def near_duplicates(
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.cast("binary").alias("body"))
     told = scratch.write(sketch(rows, words, chunks))
+    same = ["c1", "c2", "n"]
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("first")
+    classes = told.where("n > 0").groupBy(*same).agg(first, F.first("sig").alias("sig"))
+    # Written, the numbers are fixed; a null id comes last.
     classes = scratch.write(
-        told.where("n > 0").groupBy("cls").agg(
-            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("first"), F.first("sig").alias("sig")
+        classes.select(
+            F.monotonically_increasing_id().alias("cls"), *same, F.col("first.id").alias("id"), F.col("first.h").alias("h"),
+            F.coalesce("first.id", F.lit(_LAST)).alias("order"), "sig",
         )
-    )
+    )
     links = key_links(classes, scratch)
-    if links.isEmpty():
-        comps = classes.select("cls", F.col("cls").alias("comp")).limit(0)
-    else:
-        met = links.select(F.col("a").alias("cls")).union(links.select("b")).distinct()
-        wanted = scratch.write(classes.join(met, "cls").select("cls", "first.id", "first.h", "sig"))
-        found = rows.join(wanted, rows["id"].eqNullSafe(wanted["id"]) & (rows["h"] == wanted["h"]), "inner")
-
-        def elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            memory = WordHashes()
-            for batch in batches:
-                sets = [shingles(bytes(x), words, memory).tobytes() for x in batch["body"]]
-                yield pd.DataFrame({"cls": batch["cls"], "sig": batch["sig"], "elements": sets})
-
-        sets = found.select("cls", "sig", "body").mapInPandas(elements, "cls long, sig binary, elements binary")
-        sets = scratch.write(sets.dropDuplicates(["cls"]))
-        good = scratch.write(confirmed(links, sets, percent))
-        families = components(links, scratch).withColumnRenamed("label", "family")
-        joined = components(good, scratch)
-        members = (
-            sets.join(families, sets["cls"] == families["node"])
-            .drop("node")
-            .join(joined, sets["cls"] == joined["node"], "left")
-            .select("family", F.coalesce("label", "cls").alias("comp"), "cls", "sig", "elements")
-        )
-        members = scratch.write(members)
-        more = scratch.write(remaining_links(members, percent, farthest, block, scratch))
+    comps = links.select(F.col("b").alias("node"), F.col("a").alias("label")).limit(0)
+    if not links.isEmpty():
+        sets = class_sets(rows, classes, links, words, scratch)
+        best = links.groupBy("b").agg(F.min(F.struct("a_order", "a")).alias("best")).select("b", F.col("best.a").alias("a"))
+        good = scratch.write(confirmed(best, sets, percent))
+        comps = components(good, scratch)
+        apart = with_comp(with_comp(links, comps, "a", "a_comp"), comps, "b", "b_comp").where("a_comp <> b_comp")
+        apart = apart.join(best.hint("merge"), ["a", "b"], "left_anti")
+        more = scratch.write(confirmed(apart.select("a", "b"), sets, percent))
         if not more.isEmpty():
-            joined = components(good.union(more), scratch)
-        comps = joined.select(F.col("node").alias("cls"), F.col("label").alias("comp"))
-    least = classes.select("cls", F.col("first.id").alias("id"))
-    named = least.join(comps, "cls", "left").select("cls", F.coalesce("comp", "cls").alias("comp"), "id")
-    heads = named.join(named.groupBy("comp").agg(F.min("id").alias("head")), "comp").select("cls", "head")
-    heads = scratch.write(heads)
+            good = good.union(more)
+            comps = components(good, scratch)
+        members = scratch.write(with_comp(sets, comps))
+        missed = remaining_links(members, percent, farthest, block, scratch)
+        if missed is not None and not missed.isEmpty():
+            comps = components(good.union(missed), scratch)
+    named = with_comp(classes.select("cls", *same, "id"), comps)
+    heads = named.groupBy("comp").agg(F.min("id").alias("head"))
+    heads = scratch.write(named.join(heads.hint("merge"), "comp").select(*same, "head"))
     scratch.keep_only(told, heads)
-    out = told.select("id", "h", "n", "cls").join(heads, "cls", "left")
+    out = told.select("id", "h", *same).join(heads.hint("merge"), same, "left")
     component = F.when(F.col("n") > 0, F.col("head")).otherwise(F.col("id"))
     return out.select(
         F.col("id").alias(id_col),
