@@ -23,15 +23,15 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     now = None
     while now is None or not left.isEmpty():
         ends = left.select(F.col("a").alias("node"), F.col("b").alias("other")).union(left.select("b", "a"))
-        least = scratch.write(ends.groupBy("node").agg(F.least("node", F.min("other")).alias("name")))
-        up = scratch.reread(least).select(F.col("node").alias("name"), F.col("name").alias("up"))
+        least = ends.groupBy("node").agg(F.least("node", F.min("other")).alias("name"))
+        up = least.select(F.col("node").alias("name"), F.col("name").alias("up"))
         name = scratch.write(least.join(up.hint("merge"), "name").select("node", F.col("up").alias("name")))
         of_a, of_b = (scratch.reread(name).select(F.col("node").alias(c), F.col("name").alias(f"{c}_name")) for c in ("a", "b"))
         renamed = left.join(of_a.hint("merge"), "a").join(of_b.hint("merge"), "b").where("a_name <> b_name")
         fewer = scratch.write(
             renamed.select(F.least("a_name", "b_name").alias("a"), F.greatest("a_name", "b_name").alias("b")).distinct()
         )
-        scratch.drop(left, least)
+        scratch.drop(left)
         if now is None:
             now = name
         else:
@@ -41,3 +41,11 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             now = new
         left = fewer
     return now.select("node", F.col("name").alias("label"))
+
+
+def merged(comps: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """comps (node, label) after its components are joined by edges (a, b) between their labels, or between nodes it lacks."""
+    new = components(edges, scratch)
+    again = new.select(F.col("node").alias("label"), F.col("label").alias("new"))
+    old = comps.join(again.hint("merge"), "label", "left").select("node", F.coalesce("new", "label").alias("label"))
+    return scratch.write(old.union(new).distinct())

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.common import Scratch, table, text_or_empty
-from textmill.llm.graph import components
+from textmill.llm.graph import components, merged
 from textmill.llm.hashing import WordHashes, mixed, windows
 
 PER_CHUNK = 4
@@ -163,7 +163,8 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def confirmed(links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The links (a, b) whose sets are similar."""
+    """The links (a, b, and further longs) whose sets are similar."""
+    names = links.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -171,12 +172,12 @@ def confirmed(links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
                 for x, y in zip(batch["x"], batch["y"], strict=True)
             ]
-            yield batch.loc[np.array(good, dtype=bool), ["a", "b"]]
+            yield batch.loc[np.array(good, dtype=bool), names]
 
     x = sets.select(F.col("cls").alias("a"), F.col("elements").alias("x"))
     y = sets.select(F.col("cls").alias("b"), F.col("elements").alias("y"))
     both = links.join(x.hint("merge"), "a").join(y.hint("merge"), "b")
-    return both.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
+    return both.select(*names, "x", "y").mapInPandas(run, ", ".join(f"{c} long" for c in names))
 
 
 def with_comp(rows: DataFrame, comps: DataFrame, cls: str = "cls", comp: str = "comp") -> DataFrame:
@@ -185,18 +186,19 @@ def with_comp(rows: DataFrame, comps: DataFrame, cls: str = "cls", comp: str = "
     return rows.join(named.hint("merge"), cls, "left").withColumn(comp, F.coalesce("_label", cls)).drop("_label")
 
 
-def key_rows(members: DataFrame, scratch: Scratch) -> DataFrame:
-    """(key, slot, cls, comp, n): a row for each key of members (cls, comp, n, sig)."""
+def key_rows(members: DataFrame, with_sig: bool = False) -> DataFrame:
+    """(key, slot, cls, comp, n; and sig): a row for each key of members (cls, comp, n, sig)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys = chunk_keys(_read_signatures(batch["sig"]))
             of = np.repeat(np.arange(len(batch)), keys.shape[1])
-            out = {c: batch[c].to_numpy()[of] for c in ("cls", "comp", "n")}
+            out = {c: batch[c].to_numpy()[of] for c in ("cls", "comp", "n", *["sig"] * with_sig)}
             slot = np.tile(np.arange(keys.shape[1], dtype=np.int32), len(batch))
             yield pd.DataFrame({"key": keys.ravel().view(np.int64), "slot": slot, **out})
 
-    return scratch.write(members.select("cls", "comp", "n", "sig").mapInPandas(run, "key long, slot int, cls long, comp long, n long"))
+    shape = "key long, slot int, cls long, comp long, n long" + ", sig binary" * with_sig
+    return members.select("cls", "comp", "n", "sig").mapInPandas(run, shape)
 
 
 #: A task's name, and what tells a key.
@@ -204,15 +206,15 @@ TASK = ["at", "i", "j", "with_main"]
 KEY = ["key", "slot"]
 
 
-def key_tasks(keyed: DataFrame, block: int, scratch: Scratch) -> DataFrame | None:
-    """Rows (key, slot, cls, comp, n, left, within) of the tasks that compare the members of keys with several components.
+def key_tasks(members: DataFrame, block: int, scratch: Scratch) -> DataFrame | None:
+    """Rows (key, slot, cls, comp, n, sig, left, within) of the tasks that compare the members of keys with several components.
 
     A task compares a key's left rows with its others and, where within is set, with
     each other. Rows outside the key's main (largest) component are left somewhere.
     Small keys share a task, by their hash; large ones are split in blocks.
     """
     bytes_ = F.sum(F.col("n") * 8)
-    per_comp = keyed.groupBy(*KEY, "comp").agg(F.count(F.lit(1)).alias("rows"), bytes_.alias("bytes"))
+    per_comp = key_rows(members).groupBy(*KEY, "comp").agg(F.count(F.lit(1)).alias("rows"), bytes_.alias("bytes"))
     main = F.max(F.struct("rows", "comp", "bytes")).alias("main")
     per_key = per_comp.groupBy(*KEY).agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("comps"), main)
 
@@ -230,7 +232,8 @@ def key_tasks(keyed: DataFrame, block: int, scratch: Scratch) -> DataFrame | Non
     if not total[0]:
         return None
     tasks = max(1, -(-(total[1] or 0) // (2 * block)), -(-(total[2] or 0) // BLOCK_BYTES))
-    rows = keyed.join(open_.drop("rows", "bytes").hint("merge"), KEY).withColumn("own", F.col("comp") != F.col("main"))
+    # With the signatures at once: the members of hot keys are joined with nothing else.
+    rows = key_rows(members, with_sig=True).join(open_.drop("rows", "bytes").hint("merge"), KEY).withColumn("own", F.col("comp") != F.col("main"))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(tasks)))
     spot = F.pmod(F.xxhash64("cls"), F.when(F.col("own"), F.col("out_blocks")).otherwise(F.col("main_blocks"))).cast("int")
     rows = rows.withColumn("spot", spot)
@@ -247,8 +250,8 @@ def key_tasks(keyed: DataFrame, block: int, scratch: Scratch) -> DataFrame | Non
               key AS at, x AS i, spot AS j, true AS with_main, false AS left, false AS within)) END
         """
     )
-    tasked = rows.select(*KEY, "cls", "comp", "n", F.explode(everywhere).alias("t"))
-    return tasked.select(*KEY, "cls", "comp", "n", *[F.col(f"t.{c}").alias(c) for c in (*TASK, "left", "within")])
+    tasked = rows.select(*KEY, "cls", "comp", "n", "sig", F.explode(everywhere).alias("t"))
+    return tasked.select(*KEY, "cls", "comp", "n", "sig", *[F.col(f"t.{c}").alias(c) for c in (*TASK, "left", "within")])
 
 
 def near_in_key(rows: pd.DataFrame, percent: int, farthest: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -272,7 +275,7 @@ def near_in_key(rows: pd.DataFrame, percent: int, farthest: int) -> Iterator[tup
 
 
 def missed_links(rows: pd.DataFrame, percent: int, farthest: int) -> list[tuple[int, int]]:
-    """Links that join components, of a task's rows with their sets."""
+    """Links that join components, as their names, of a task's rows with their sets."""
     parent = {int(c): int(c) for c in rows["comp"].unique()}
 
     def root(c: int) -> int:
@@ -283,7 +286,7 @@ def missed_links(rows: pd.DataFrame, percent: int, farthest: int) -> list[tuple[
 
     out = []
     for _, of_key in rows.groupby(KEY, sort=False):
-        cls, comp, sizes = (of_key[c].to_numpy() for c in ("cls", "comp", "n"))
+        comp, sizes = (of_key[c].to_numpy() for c in ("comp", "n"))
         sets = [np.frombuffer(x, np.uint64) for x in of_key["elements"]]
         for i, at in near_in_key(of_key, percent, farthest):
             mine = root(int(comp[i]))
@@ -297,14 +300,13 @@ def missed_links(rows: pd.DataFrame, percent: int, farthest: int) -> list[tuple[
                 a, b = root(int(comp[i])), root(int(comp[j]))
                 if a != b:
                     parent[max(a, b)] = min(a, b)
-                    out.append((int(cls[i]), int(cls[j])))
+                    out.append((int(comp[i]), int(comp[j])))
     return out
 
 
 def remaining_links(members: DataFrame, percent: int, farthest: int, block: int, scratch: Scratch) -> DataFrame | None:
-    """Step 3 over (cls, comp, n, sig, elements): links between different components; None if no key has several."""
-    keyed = key_rows(members, scratch)
-    tasked = key_tasks(keyed, block, scratch)
+    """Step 3 over (cls, comp, n, sig, elements): links (a, b) of different components, by name; None if no key has several."""
+    tasked = key_tasks(members, block, scratch)
     if tasked is None:
         return None
 
@@ -321,10 +323,9 @@ def remaining_links(members: DataFrame, percent: int, farthest: int, block: int,
     def run(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(missed_links(group, percent, farthest), columns=["a", "b"], dtype="int64")
 
-    sigs, sets = members.select("cls", "sig"), members.select("cls", "sig", "elements")
+    sets = members.select("cls", "sig", "elements")
     shape = "at long, i int, j int, with_main boolean, key long, slot int, cls long, comp long, n long, left boolean, within boolean"
-    used = tasked.join(sigs.hint("merge"), "cls").groupBy(*TASK).applyInPandas(needed, shape)
-    used = scratch.write(used)
+    used = scratch.write(tasked.groupBy(*TASK).applyInPandas(needed, shape))
     return scratch.write(used.join(sets.hint("merge"), "cls").groupBy(*TASK).applyInPandas(run, "a long, b long"))
 
 
@@ -386,18 +387,16 @@ def near_duplicates(
     if not links.isEmpty():
         sets = class_sets(rows, classes, links, words, scratch)
         best = links.groupBy("b").agg(F.min(F.struct("a_order", "a")).alias("best")).select("b", F.col("best.a").alias("a"))
-        good = scratch.write(confirmed(best, sets, percent))
-        comps = components(good, scratch)
+        comps = components(confirmed(best, sets, percent), scratch)
         apart = with_comp(with_comp(links, comps, "a", "a_comp"), comps, "b", "b_comp").where("a_comp <> b_comp")
-        apart = apart.join(best.hint("merge"), ["a", "b"], "left_anti")
-        more = scratch.write(confirmed(apart.select("a", "b"), sets, percent))
+        apart = apart.join(best.hint("merge"), ["a", "b"], "left_anti").select("a", "b", "a_comp", "b_comp")
+        more = scratch.write(confirmed(apart, sets, percent))
         if not more.isEmpty():
-            good = good.union(more)
-            comps = components(good, scratch)
+            comps = merged(comps, more.select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b")), scratch)
         members = scratch.write(with_comp(sets, comps))
         missed = remaining_links(members, percent, farthest, block, scratch)
         if missed is not None and not missed.isEmpty():
-            comps = components(good.union(missed), scratch)
+            comps = merged(comps, missed, scratch)
     named = with_comp(classes.select("cls", *same, "id"), comps)
     heads = named.groupBy("comp").agg(F.min("id").alias("head"))
     heads = scratch.write(named.join(heads.hint("merge"), "comp").select(*same, "head"))
