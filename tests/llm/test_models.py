@@ -106,8 +106,37 @@ def test_features_do_not_depend_on_neighbours_in_the_batch(monkeypatch):
         alone = crf.read_lines([t])
         b, n = together.begins[k], together.count[k]
         assert n == t.count("\n") + 1 and np.allclose(together.features[b : b + n], alone.features)
-    monkeypatch.setattr(crf, "SPAN_BYTES", 16)
-    assert crf.read_lines(["ab cd\n" * 20 + "x" * 100]).size.sum() > 0
+
+
+def test_scores_do_not_depend_on_the_batch(spark):
+    """Windows of three words end with their text; a text scores alone as it does beside others."""
+    model = crf.fit(["good text here\nand more of it"] * 20 + ["### $$$ ###\n%%% &&& ***"] * 20, np.array([1] * 20 + [0] * 20))
+    texts = ["x y z a x y", "z q", "x y z a x y", "", "y z a x y z a x y z a"] * 3
+    alone = [model.scores(crf.read_lines([t]))[0] for t in texts]
+    assert np.allclose(model.scores(crf.read_lines(texts)), alone, atol=1e-12)
+
+
+@pytest.mark.parametrize("span", [1, 7, 16, 64])
+def test_features_do_not_depend_on_spans(monkeypatch, span):
+    """Lines and words that are cut are joined; repetition is found at any distance, in texts of over 1 MB, too."""
+    odd = ["", "\n", "a\n\n", " \n x", "w" * 200, "ab cd ef\n" * 30 + "gh ij kl mn\nab cd ef", "é日本 " * 40 + "\n" + "a b " * 50, "A B\tC\r\n" * 9]
+    whole = [crf.line_features([t.encode()]) for t in odd]
+    monkeypatch.setattr(crf, "SPAN_BYTES", span)
+    for t, (of, size, own) in zip(odd, whole, strict=True):
+        got = crf.line_features([t.encode()])
+        assert (got[1] == size).all() and np.allclose(got[2], own)
+    monkeypatch.setattr(crf, "SPAN_LINES", 3)
+    lines = crf.read_lines(odd)
+    weights = np.arange(crf.N_FEATURES, dtype=float)
+    assert np.allclose(lines.emission(weights), lines.features @ weights)
+
+
+def test_very_long_text(spark):
+    far = "the one line that stands twice in here\n"
+    text = far + "".join(f"filler number {i} of a long text\n" for i in range(60_000)) + far + "q" * 3_000_000
+    assert len(text) > 4 << 20
+    _, size, own = crf.line_features([text.encode()])
+    assert len(size) == 60_003 and own[0, 7] and own[60_001, 7] and not own[1, 7] and size[-1] == 3_000_000
 
 
 def test_degenerate_models(spark):

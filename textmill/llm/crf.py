@@ -9,7 +9,8 @@ these marginals.
 Labels are known for documents only, so lines start with their document's label,
 and lines of bad documents that a first model holds for good are relabelled before
 the model that is used is fitted. Fitting reads a bounded sample (``max_docs``
-labelled documents, by a hash of the id); scoring reads everything.
+labelled documents of ``max_bytes`` in all, by a hash of the id); scoring reads
+everything, and a document's score depends on its own text only.
 """
 
 from __future__ import annotations
@@ -22,10 +23,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import table, text_or_empty
+from textmill.llm.common import Scratch, table, text_or_empty
 
-#: Texts are read in spans of about so many bytes; repetition is looked for within one.
+#: So many bytes are looked at at a time; lines and words that are cut are joined again.
 SPAN_BYTES = 1 << 20
+#: So many lines' features are held at a time when scoring.
+SPAN_LINES = 1 << 16
 
 _CLASSES = np.zeros(256, dtype=np.int64)  # 0: other
 for _k, _chars in enumerate(
@@ -76,28 +79,102 @@ def _repeats(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For the lines of all texts: which text, bytes, and own features (lines x OWN)."""
-    joined = b"\n".join(texts)
-    buf = np.frombuffer(joined + b"\n", dtype=np.uint8)
-    ends = np.flatnonzero(buf == 10)
-    starts = np.append(0, ends[:-1] + 1)
+@dataclass
+class _Span:
+    """What a span of bytes holds: its lines' and words' counts, sizes and raw hashes."""
+
+    counts: np.ndarray  # lines x N_CLASSES
+    size: np.ndarray  # bytes of each line
+    whole: np.ndarray  # raw hash of each line
+    word: np.ndarray  # raw hash of each word
+    word_size: np.ndarray
+    word_line: np.ndarray
+    tail: bool  # whether the span ends within a word
+
+
+def _span(raw: bytes) -> _Span:
+    """The lines (parted by line feeds, so one more than there are of these) and words of some bytes."""
+    buf = np.frombuffer(raw, dtype=np.uint8)
+    feeds = np.flatnonzero(buf == 10)
+    starts, ends = np.append(0, feeds + 1), np.append(feeds, len(buf))
     size = ends - starts
     n = len(ends)
-    text_ends = np.cumsum([len(t) + 1 for t in texts]) - 1
-    text_of = np.searchsorted(text_ends, ends)
-    line_of = np.repeat(np.arange(n), size + 1)
-    counts = np.bincount(line_of * N_CLASSES + _CLASSES[buf], minlength=n * N_CLASSES).reshape(n, N_CLASSES).astype(np.float64)
-    counts[:, 0] -= 1  # the line feed
-    blank = (_CLASSES[buf] == 6) | (buf == 10)
+    kinds = _CLASSES[buf]
+    line_of = np.repeat(np.arange(n), size + 1)[: len(buf)]
+    counts = np.bincount(line_of * N_CLASSES + kinds, minlength=n * N_CLASSES).reshape(n, N_CLASSES).astype(np.float64)
+    counts[:-1, 0] -= 1  # the line feeds
+    blank = (kinds == 6) | (buf == 10)
     edge = np.flatnonzero(np.diff(np.concatenate(([1], blank.view(np.int8), [1]))))
     w_start, w_end = edge[::2], edge[1::2]
     power, inverse = _power_tables(len(buf) + 1)
     total = np.concatenate(([np.uint64(0)], np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * power[: len(buf)], dtype=np.uint64)))
-    word = (total[w_end] - total[w_start]) * inverse[w_start]
-    word ^= word >> np.uint64(29)
-    word *= _MIX
-    w_line = line_of[w_start]
+    return _Span(
+        counts, size, (total[ends] - total[starts]) * inverse[starts], (total[w_end] - total[w_start]) * inverse[w_start],
+        w_end - w_start, np.searchsorted(ends, w_start, side="right"), bool(len(buf)) and not blank[-1],
+    )
+
+
+def _joined(a: np.uint64, size: int, b: np.uint64) -> np.uint64:
+    """The raw hash of two strings, the first of size bytes, one after the other."""
+    return np.uint64((int(a) + int(b) * pow(int(_ODD), int(size), 1 << 64)) & (2**64 - 1))
+
+
+def _spans_of(text: bytes) -> list[_Span]:
+    """The spans of a text; a line or word that goes on in the next span is moved there whole (by its counts and hashes)."""
+    out: list[_Span] = []
+    for at in range(0, max(1, len(text)), SPAN_BYTES):
+        s = _span(text[at : at + SPAN_BYTES])
+        if out:
+            p = out[-1]
+            if p.tail and len(s.word_size) and not _is_blank(text[at]):
+                s.word[0] = _joined(p.word[-1], p.word_size[-1], s.word[0])
+                s.word_size[0] += p.word_size[-1]
+                p.word, p.word_size, p.word_line = p.word[:-1], p.word_size[:-1], p.word_line[:-1]
+            s.whole[0] = _joined(p.whole[-1], p.size[-1], s.whole[0])
+            s.size[0] += p.size[-1]
+            s.counts[0] += p.counts[-1]
+            mine = p.word_line == len(p.size) - 1
+            s.word = np.concatenate([p.word[mine], s.word])
+            s.word_size = np.concatenate([p.word_size[mine], s.word_size])
+            s.word_line = np.concatenate([np.zeros(int(mine.sum()), np.int64), s.word_line])
+            p.word, p.word_size, p.word_line = p.word[~mine], p.word_size[~mine], p.word_line[~mine]
+            p.counts, p.size, p.whole = p.counts[:-1], p.size[:-1], p.whole[:-1]
+        out.append(s)
+    return out
+
+
+def _is_blank(byte: int) -> bool:
+    return byte == 10 or _CLASSES[byte] == 6
+
+
+def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the lines of all texts: which text, bytes, and own features (lines x OWN).
+
+    A text of up to SPAN_BYTES is looked at together with others, a longer one in
+    spans. Repetition is looked for in the whole of a text and in no other one.
+    """
+    parts: list[_Span] = []
+    line_text: list[np.ndarray] = []
+    at = 0
+    while at < len(texts):
+        end, held = at, 0
+        while end < len(texts) and (end == at or held + len(texts[end]) <= SPAN_BYTES):
+            held += len(texts[end]) + 1
+            end += 1
+        if end == at + 1:
+            spans = _spans_of(texts[at])
+            line_text.append(np.full(sum(len(s.size) for s in spans), at))
+        else:
+            spans = [_span(b"\n".join(texts[at:end]))]
+            line_text.append(np.repeat(np.arange(at, end), [t.count(b"\n") + 1 for t in texts[at:end]]))
+        parts += spans
+        at = end
+    counts, size, whole, word, w_size = (np.concatenate([getattr(p, c) for p in parts]) for c in ("counts", "size", "whole", "word", "word_size"))
+    first = np.cumsum([0, *(len(p.size) for p in parts)])
+    w_line = np.concatenate([p.word_line + k for p, k in zip(parts, first[:-1], strict=True)])
+    text_of = np.concatenate(line_text)
+    n = len(size)
+    word = (word ^ (word >> np.uint64(29))) * _MIX
     words = np.bincount(w_line, minlength=n).astype(np.float64)
     again = np.zeros(n)
     common = np.zeros(n)
@@ -105,10 +182,11 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
         adjacent = (word[1:] == word[:-1]) & (w_line[1:] == w_line[:-1])
         again = np.bincount(w_line[1:][adjacent], minlength=n)
     if len(word) > 2:
+        w_text = text_of[w_line]
+        inside = w_text[:-2] == w_text[2:]  # windows end in the text that they begin in
         three = (word[:-2] * _ODD + word[1:-1]) * _ODD + word[2:]
-        three = (three ^ (three >> np.uint64(31))) * _MIX + text_of[w_line[:-2]].astype(np.uint64) * _ODD
-        common = np.bincount(w_line[:-2][_repeats(three)], minlength=n)
-    whole = (total[ends] - total[starts]) * inverse[starts]
+        three = (three ^ (three >> np.uint64(31))) * _MIX + w_text[:-2].astype(np.uint64) * _ODD
+        common = np.bincount(w_line[:-2][inside][_repeats(three[inside])], minlength=n)
     twice = _repeats(whole * _MIX + text_of.astype(np.uint64)) & (size > 0)
     letters = np.maximum(counts[:, 1] + counts[:, 2] + counts[:, 8], 1)
     some = np.maximum(words, 1)
@@ -134,8 +212,11 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return text_of, size, own
 
 
-def with_neighbours(own: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Bias, own features, those of the lines before and after, and whether there are none."""
+def with_neighbours(own: np.ndarray, begins: np.ndarray, goes_on: bool = False) -> np.ndarray:
+    """Bias, own features, those of the lines before and after, and whether there are none.
+
+    goes_on: lines follow that aren't given, so the last one's features are unknown.
+    """
     n = len(own)
     out = np.zeros((n, N_FEATURES))
     out[:, 0] = 1
@@ -143,7 +224,7 @@ def with_neighbours(own: np.ndarray, begins: np.ndarray) -> np.ndarray:
     near = own[:, [0, 2, 4, 5, 6, 7, 10]]
     first = np.zeros(n, dtype=bool)
     first[begins] = True
-    last = np.append(first[1:], True)
+    last = np.append(first[1:], not goes_on)
     at = 1 + OWN
     out[1:, at : at + 7] = near[:-1]
     out[first, at : at + 7] = 0
@@ -160,38 +241,29 @@ class Lines:
     begins: np.ndarray
     count: np.ndarray
     size: np.ndarray
-    features: np.ndarray
+    own: np.ndarray
+
+    @property
+    def features(self) -> np.ndarray:
+        return with_neighbours(self.own, self.begins)
+
+    def emission(self, weights: np.ndarray) -> np.ndarray:
+        """features @ weights, some lines at a time."""
+        out = np.empty(len(self.own))
+        for a in range(0, len(out), SPAN_LINES):
+            b = min(a + SPAN_LINES, len(out))
+            x, y = max(a - 1, 0), min(b + 1, len(out))
+            begins = self.begins[(self.begins >= x) & (self.begins < y)] - x
+            # The line past the end may begin a document; the one before the start is only a neighbour.
+            out[a:b] = (with_neighbours(self.own[x:y], begins, y < len(out)) @ weights)[a - x : b - x]
+        return out
 
 
 def read_lines(texts: list[str]) -> Lines:
-    """Lines of whole texts; spans keep memory bounded whatever a text's length."""
-    spans, doc = [], []
-    for k, text in enumerate(texts):
-        raw = text.encode("utf-8", "replace")
-        at = 0
-        while True:
-            end = len(raw)
-            if end - at > SPAN_BYTES:
-                end = raw.find(b"\n", at + SPAN_BYTES - 1)
-                end = at + SPAN_BYTES if end < 0 or end - at > 2 * SPAN_BYTES else end
-            spans.append(raw[at:end])
-            doc.append(k)
-            if end >= len(raw):
-                break
-            at = end + 1 if raw[end : end + 1] == b"\n" else end
-    docs, sizes, owns, held, first = [], [], [], 0, 0
-    for i, span in enumerate(spans):
-        held += len(span)
-        if held >= SPAN_BYTES or i == len(spans) - 1:
-            of, size, own = line_features(spans[first : i + 1])
-            docs.append(np.asarray(doc[first : i + 1])[of])
-            sizes.append(size)
-            owns.append(own)
-            held, first = 0, i + 1
-    of, own = np.concatenate(docs), np.concatenate(owns)
+    """Lines of whole texts."""
+    of, size, own = line_features([t.encode("utf-8", "replace") for t in texts])
     count = np.bincount(of, minlength=len(texts))
-    begins = np.cumsum(count) - count
-    return Lines(begins, count, np.concatenate(sizes).astype(np.float64), with_neighbours(own, begins))
+    return Lines(np.cumsum(count) - count, count, size.astype(np.float64), own)
 
 
 @dataclass
@@ -201,7 +273,7 @@ class Model:
     document: np.ndarray  # logistic weights of document_inputs
 
     def marginals(self, lines: Lines) -> np.ndarray:
-        return chain(lines, lines.features @ self.weights, self.moves)[0]
+        return chain(lines, lines.emission(self.weights), self.moves)[0]
 
     def scores(self, lines: Lines) -> np.ndarray:
         z = document_inputs(lines, self.marginals(lines)) @ self.document
@@ -302,14 +374,35 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 120, ridge: float =
 
 
 def learning_rows(
-    docs: DataFrame, labels: DataFrame, max_docs: int = 3000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
+    docs: DataFrame,
+    labels: DataFrame,
+    max_docs: int = 3000,
+    max_bytes: int = 64 << 20,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
 ) -> tuple[list[str], np.ndarray]:
-    """At most max_docs labelled documents outside the held-out fifth, picked by a hash of the id."""
+    """At most max_docs labelled documents outside the held-out fifth, picked by a hash of the id, of max_bytes in all.
+
+    Of rows that repeat an id the one with the smallest text hash is read; a
+    document that would exceed max_bytes is passed over for the next ones.
+    """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(id_col).agg(F.max(label_col).cast("int").alias("_label"))
     chosen = known.orderBy(F.xxhash64(id_col), id_col).limit(max_docs)
-    rows = docs.select(id_col, text_or_empty(text_col).alias("_text")).join(F.broadcast(chosen), id_col)
-    found = sorted(rows.select(id_col, "_text", "_label").collect())
+    scratch = Scratch(docs.sparkSession, "labelled")
+    text = text_or_empty(text_col)
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(F.broadcast(chosen.withColumnRenamed(id_col, "id")), "id")
+    rows = scratch.write(rows.select("id", "_label", "text", F.xxhash64("text").alias("h"), F.octet_length("text").alias("size")))
+    one = rows.groupBy("id").agg(F.min(F.struct("h", "size")).alias("one")).select("id", "one.*")  # max_docs rows at most
+    picked, held = [], 0
+    for r in sorted(one.collect()):
+        if held + r["size"] <= max_bytes:
+            held += r["size"]
+            picked.append((r["id"], r["h"]))
+    wanted = docs.sparkSession.createDataFrame(picked, rows.select("id", "h").schema)
+    found = sorted(rows.join(F.broadcast(wanted), ["id", "h"]).dropDuplicates(["id"]).select("id", "text", "_label").collect())
+    scratch.drop(rows)
     return [r[1] for r in found], np.array([r[2] for r in found], dtype=np.int64)
 
 
@@ -321,7 +414,9 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     """Id, the columns to carry, and score (0 to 1) of every row.
 
     Empty and null texts are one empty line and get its score. Null ids, repeated
-    rows and further columns need no care, as rows are scored one by one.
+    rows and further columns need no care, as rows are scored one by one. A text's
+    score is the same alone and beside any others. A text is held as a whole, with
+    some 200 bytes for each of its lines. An empty table gives an empty result.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
