@@ -46,13 +46,31 @@ def test_encoding(both, text):
     assert own.decode(np.array(ids, np.int64)) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_encoding_of_letters_unknown_to_the_library(both):
+    own, library = both
+    for c in ("\U0003d000", "\u0558", "\U000323b0", "\u1c89", "\U00010d40", "\U00011de5", "\U0003fc3f"):
+        for text in (c + "'s", c + "1", "a" + c, c + "a", " " + c + "!"):
+            assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_encoding_in_slices(both, monkeypatch):
     own, library = both
     monkeypatch.setattr(bpe, "SLICE_CHARS", 5)
     rng = random.Random(1)
     for _ in range(300):
-        text = "".join(rng.choice(["ab", " ", "  ", "\n", "'s", "12", "é", "!!"]) for _ in range(30))
+        text = "".join(rng.choice(["ab", " ", "  ", "\n", "'s", "12", "é", "!!", "日本", "。", "e\u0301", "<|endoftext|>", "<|endof"]) for _ in range(30))
         assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert "".join(own.slices(text)) == text
+
+
+def test_slices_of_long_texts_without_blanks(both):
+    """A text of over 1 MB in sentences without any blank is cut at their marks, a run of letters is not."""
+    own, library = both
+    text = "".join(f"日本語の文{i}、続く。" for i in range(150_000))
+    assert len(text) > 1_500_000 and max(map(len, own.slices(text))) < bpe.SLICE_CHARS + 20
+    part = text[:200_000]
+    assert own.encode(part).tolist() == library.encode(part, add_special_tokens=False).ids
+    assert len(list(own.slices("z" * (bpe.SLICE_CHARS + 5)))) == 1
 
 
 def test_memory_is_bounded(both):
@@ -219,6 +237,59 @@ def test_packing_is_best_fit():
         assert all(load[b] <= got[b] and got[b] == min(s for s in sizes if s >= load[b]) for b in load)
 
 
+def brute_pack(lengths, sizes, cost):
+    """Every item looks at every open bin (of those with equal room, the last one used); returns the bins' loads and sizes."""
+    filler = sum(lengths) / len(lengths) if lengths else 0
+    open_ = []  # size, load, last used
+    for k, n in enumerate(lengths):
+        fit = [b for b in open_ if b[0] - b[1] >= n]
+        if fit:
+            best = min(fit, key=lambda b: (b[0] - b[1], -b[2]))
+        else:
+            spare = {s: max(0, s - n - (min(filler, s - n) / 2 if s > n else 0)) for s in sizes if s >= n}
+            best = [min(spare, key=lambda s: (cost.of(s) / max(1, n + spare[s]), s)), 0, 0]
+            open_.append(best)
+        best[1] += n
+        best[2] = k
+    return sorted((load, min(s for s in sizes if s >= load)) for _, load, _ in open_)
+
+
+@pytest.mark.parametrize("cost", [packing.Cost(), packing.Cost(0, 0), packing.Cost(500, 0), packing.Cost(1, 0.5)])
+def test_packing_against_brute_force(cost):
+    rng = random.Random(7)
+    for _ in range(60):
+        sizes = sorted(rng.sample(range(4, 90), rng.randrange(1, 5)))
+        lengths = sorted((rng.randint(0, sizes[-1]) for _ in range(rng.randrange(80))), reverse=True)
+        bins, places, got = packing.pack(lengths, sizes, cost)
+        load = [0] * len(got)
+        for n, b in zip(lengths, bins, strict=True):
+            load[b] += n
+        assert sorted(zip(load, got, strict=True)) == brute_pack(lengths, sizes, cost)
+
+
+def test_packed_content(spark, both):
+    """Every document is read back from its pieces, as text and as token ids, and sequences hold their pieces in order."""
+    rows = H.odd_rows()
+    df = H.clashing(H.frame(spark, rows))
+    back = {}
+    for r in sorted(packing.pack_documents(df, sizes=(64, 256)).where("doc_id >= 8").collect(), key=lambda r: (r.doc_id, r.begin)):
+        back[r.doc_id] = back.get(r.doc_id, "") + r.text
+    assert back == {i: t for i, t in rows if i is not None and i >= 8}
+    ours, path = both[0], PATH
+    encoded = bpe.encode_documents(df, path, end=bpe.END)
+    packed = packing.pack_documents(encoded, sizes=(64, 256), ids="ids")
+    end = ours.special[bpe.END]
+    got = {}
+    for r in sorted(packed.where("doc_id >= 8").collect(), key=lambda r: (r.doc_id, r.begin)):
+        assert r.tokens == len(r.ids)
+        got.setdefault(r.doc_id, []).extend(r.ids)
+    assert all(x[-1] == end and ours.decode(np.array(x[:-1])) == dict(rows)[i] for i, x in got.items()) and set(got) == {i for i, _ in rows if (i or 0) >= 8}
+    pieces = {(r.bin, r.place): r.ids for r in packed.collect() if r.tokens}
+    for s in packing.sequences(packed).collect():
+        assert len(s.ids) <= s.bin_size and s.ids == [x for k in sorted(k for k in pieces if k[0] == s.bin) for x in pieces[k]]
+    assert packing.pack_documents(encoded.limit(0), ids="ids").collect() == []
+
+
 def test_pack_documents(spark):
     rows = H.odd_rows()
     out = packing.pack_documents(H.clashing(H.frame(spark, rows)), sizes=(64, 256)).collect()

@@ -3,12 +3,13 @@
 import os
 
 import duckdb
+import numpy as np
 import pytest
 
 import corpus_pipeline as C
 from tests.llm import helpers as H
 from tests.test_queries import TABLES, canonical
-from textmill.llm import registry
+from textmill.llm import bpe, registry
 
 DIR = "/root/testdata/sf0.001"
 here = pytest.mark.skipif(not os.path.isdir(DIR), reason="the driver's tables are not here")
@@ -86,12 +87,15 @@ def test_string_stage(stages):
 
 
 def test_packing_stage(stages):
+    """Every document's tokens are read back, in order, from the sequences."""
     texts = rows_of(stages[4])
-    tokens = {i: 0 for i in texts}
-    for r in stages[5].collect():
-        tokens[r.doc_id] += r.tokens
-        assert r.place + r.tokens <= r.bin_size
-    assert tokens == {i: len(H.words(t)) + 1 for i, t in texts.items()}
+    ours = bpe.load(bpe.installed())
+    ids = {}
+    for r in sorted(stages[5].collect(), key=lambda r: (r.doc_id, r.begin)):
+        assert r.place + r.tokens <= r.bin_size and r.begin == len(ids.setdefault(r.doc_id, []))
+        ids[r.doc_id] += r.ids
+    assert set(ids) == set(texts)
+    assert all(x[-1] == ours.special[bpe.END] and ours.decode(np.array(x[:-1])) == texts[i] for i, x in ids.items())
 
 
 @here

@@ -7,7 +7,8 @@ rank is found by binary search over the sorted pair keys. Decoding gathers the
 bytes of all ids of a batch from one flat byte table.
 
 Texts are worked through in slices that end between words, so a task holds a few
-MB whatever the length of a text, and the word memory is bounded and dropped when
+MB whatever the length of a text (an unbroken run of letters, which is one word,
+is held whole), and the word memory is bounded and dropped when
 full (a later word is then just merged again).
 """
 
@@ -27,13 +28,27 @@ from textmill.llm.common import table, text_or_empty
 
 #: White space as the tokenizer's pattern means it (Unicode White_Space), fixed values.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Letters and digits of newer versions of Unicode than the tokenizers library knows (16), fixed values.
+LATER = (
+    r"\u0558\u058b-\u058c\u088f\u0c5c\u0cdc\u208f"
+    r"\u209d-\u209f\ua7ce-\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2"
+    r"\ua7f1\uab6c-\uab6d\U000107bb-\U000107bf\U00010940-\U00010959\U00010ec5-\U00010ec7\U00010ed9-\U00010eee"
+    r"\U00011b0a\U00011db0-\U00011ddb\U00011de0-\U00011de9\U00011df1\U0001246f\U00012475-\U0001247f"
+    r"\U00012550-\U00012686\U00016ea0-\U00016eb8\U00016ebb-\U00016ed3\U00016ff2-\U00016ff6\U000187f8-\U000187ff\U00018cd6-\U00018cda"
+    r"\U00018d09-\U00018d20\U00018d80-\U00018df2\U00018e00-\U00019191\U000191a0-\U000191d2\U0001b123-\U0001b128\U0001b168"
+    r"\U0001d6a6\U0001df1f-\U0001df24\U0001df2b-\U0001df81\U0001df90-\U0001df96\U0001dfcd-\U0001dfff\U0001e6c0-\U0001e6de"
+    r"\U0001e6e0-\U0001e6e2\U0001e6e4-\U0001e6e5\U0001e6e7-\U0001e6ed\U0001e6f0-\U0001e6f4\U0001e6fe-\U0001e6ff\U0002b73a-\U0002b73f"
+    r"\U0002b81e\U0002cea2-\U0002cead\U000323b0-\U00033479\U0003d000-\U0003fc3f"
+)
+LETTER, DIGIT = rf"[\p{{L}}--[{LATER}]]", rf"[\p{{N}}--[{LATER}]]"
 #: The tokenizer's published word pattern, fixed value.
 WORD = regex.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+    rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d| ?{LETTER}+| ?{DIGIT}+| ?[^{SPACE}{LETTER}{DIGIT}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
 #: No word holds white space after something else, so a text may be cut there.
 PIECE = regex.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-CUT = regex.compile(rf"[^{SPACE}](?=[{SPACE}])")
+#: Nor does one go on after letters, or after digits, with anything else but these.
+CUT = regex.compile(rf"(?V1)[^{SPACE}](?=[{SPACE}])|{LETTER}(?!{LETTER})|{DIGIT}(?!{DIGIT})")
 SLICE_CHARS = 1 << 20
 
 
@@ -179,13 +194,22 @@ class ByteBpe:
         return out
 
     def slices(self, text: str) -> Iterator[str]:
-        """A long text in parts, cut where white space begins after something else (in no special token)."""
+        """A long text in parts, cut where a word of the pattern ends, in no special token.
+
+        Only an unbroken run of letters, of digits or of other characters is never cut.
+        """
+        longest = max(map(len, self.special), default=0)
         at = 0
         while at < len(text):
             end = min(at + SLICE_CHARS, len(text))
-            if end < len(text):
-                cut = CUT.search(text, end)
+            while end < len(text):
+                cut = CUT.search(text, end - 1)
                 end = cut.end() if cut else len(text)
+                near = max(at, end - longest)
+                over = [m for m in self.splitter.finditer(text, near, end + longest) if m.start() < end < m.end()] if longest else []
+                if not over:
+                    break
+                end = over[0].end()
             yield text[at:end]
             at = end
 
@@ -259,13 +283,33 @@ def load(path: str) -> ByteBpe:
     return _loaded[path]
 
 
-def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and ids (array of int) of every row; a null text has none, a null id stays null."""
+def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of SLICE_CHARS in all, or of a single longer one."""
+    at, held = 0, 0
+    for k, text in enumerate(texts):
+        if k > at and held + len(text) > SLICE_CHARS:
+            yield at, k
+            at, held = k, 0
+        held += len(text)
+    if at < len(texts):
+        yield at, len(texts)
+
+
+def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end: str | None = None) -> DataFrame:
+    """id and ids (array of int) of every row, with the special token end, if given, after each; a null text has none, a null id stays null."""
 
     def run(batches):
         bpe = load(path)
+        last = [] if end is None else [bpe.special[end]]
         for batch in batches:
-            yield pd.DataFrame({id_col: batch["id"], "ids": [bpe.encode(t) for t in batch["text"]]})
+            texts = batch["text"].tolist()
+            for a, b in _groups(texts):
+                if b - a == 1:
+                    each = [bpe.encode(texts[a])]
+                else:
+                    ids, counts = bpe.encode_many(texts[a:b])
+                    each = np.split(ids, np.cumsum(counts)[:-1])
+                yield pd.DataFrame({id_col: batch["id"].iloc[a:b], "ids": [np.append(x, last).astype(np.int32) for x in each]})
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
@@ -301,18 +345,9 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         bpe = load(path)
         for batch in batches:
             out: list[tuple[int, str, str]] = []
-            group: list[str] = []
-            held = 0
-            for text in batch["text"]:
-                if group and held + len(text) > SLICE_CHARS:
-                    out += bpe.digests(group)
-                    group, held = [], 0
-                if len(text) > SLICE_CHARS:
-                    out.append(bpe.long_digests(text))
-                else:
-                    group.append(text)
-                    held += len(text)
-            out += bpe.digests(group)
+            texts = batch["text"].tolist()
+            for a, b in _groups(texts):
+                out += [bpe.long_digests(texts[a])] if b - a == 1 and len(texts[a]) > SLICE_CHARS else bpe.digests(texts[a:b])
             yield pd.DataFrame(
                 {
                     id_col: batch["id"],
@@ -327,10 +362,17 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     return rows.mapInPandas(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def op2_bpe(spark, sf_dir, path: str | None = None):
-    """Production parameters: the 50k byte-level vocabulary of the installed tokenizers."""
-    if path is None:
-        import public_tokenizers
+#: The vocabulary's token for the end of a text, fixed value.
+END = "<|endoftext|>"
+
+
+def installed() -> str:
+    """The 50k byte-level vocabulary of the installed tokenizers."""
+    import public_tokenizers
 
-        path = public_tokenizers.path("byte_bpe_50k.json")
-    return round_trip(table(spark, sf_dir, "documents"), path)
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_bpe(spark, sf_dir, path: str | None = None):
+    """Production parameters: the installed 50k byte-level vocabulary."""
+    return round_trip(table(spark, sf_dir, "documents"), path or installed())

@@ -8,16 +8,21 @@ s costs ``fixed + s + quadratic * s * s``. After all items are placed, every bin
 is downsized to the least permitted length that holds its contents, so sizes are
 chosen jointly: large bins are opened to be filled, and shrink if they aren't.
 
-Packing is per shard. Shards are dealt by a hash of the id, ``shard_items``
-documents each on average, whatever the corpus; a shard packs numbers, not texts.
+Packing is per shard. Shards are dealt by a hash of the id and the content, and
+hold ``shard_items`` documents or ``shard_bytes`` on average, whatever the corpus.
+What a sequence holds comes with it: each piece carries its part of the text or of
+the token ids, and a document's pieces, in order, give it back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,80 +81,145 @@ def pack(lengths: Sequence[int], sizes: Sequence[int], cost: Cost) -> tuple[list
         bins.append(b)
         places.append(used[b])
         used[b] += n
-        left = room - n
-        if left:
-            stack = by_room.setdefault(left, [])
-            if not stack:
-                rooms |= 1 << left
-            stack.append(b)
+        left = room - n  # a full bin still takes items of no tokens
+        stack = by_room.setdefault(left, [])
+        if not stack:
+            rooms |= 1 << left
+        stack.append(b)
     return bins, places, [next(s for s in sizes if s >= u) if u <= largest else largest for u in used]
 
 
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
 def word_count(text_col: str = "text"):
     """Words of a text, and one more token for its end."""
     words = F.array_remove(F.split(text_or_empty(text_col), BLANKS), "")
     return F.size(words) + 1
 
 
+def text_parts(text: str, begins: list[int]) -> list[str]:
+    """The parts of a text that begin at some of its words, the first one with all before its word; together the text.
+
+    The end token is a word past the last; what begins there is empty.
+    """
+    if len(begins) == 1:
+        return [text]
+    starts = [m.start() for m in _WORD.finditer(text)] + [len(text)]
+    cuts = [0, *(starts[b] for b in begins[1:]), len(text)]
+    return [text[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 def pack_documents(
     docs: DataFrame,
     sizes: Sequence[int] = (1024, 2048, 4096, 8192),
     cost: Cost = Cost(),
+    ids: str | None = None,
     length=None,
     shard_items: int = 20_000,
+    shard_bytes: int = 64 << 20,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row for each piece of a document: its id, piece, begin and tokens in it, bin, bin_size and place.
+    """One row for each piece of a document: its id, piece, begin and tokens in it, bin, bin_size, place and content.
 
     begin counts the document's tokens before the piece, place the bin's. A bin is
     named by its shard and number. Pieces of a document cover it without gap or
-    overlap. length is a column of token counts (default: words and an end token,
-    so a null or empty text is one token long). A length below zero or null counts
-    as 0 and gives one piece of no tokens. Null ids and repeated rows are packed
-    like any other, each row on its own; an empty table gives an empty result;
-    other columns are ignored.
+    overlap. Tokens are the words of text_col and an end token, so a null or empty
+    text is one token long, and a piece's content is its part of the text (column
+    text); or, with ids, the elements of that column of int arrays (column ids), a
+    null or empty one giving one piece of no tokens. With length, a column of token
+    counts (null or below zero: 0), numbers only are packed and text is null. Null ids and repeated rows are
+    packed like any other, each row on its own; an empty table gives an empty
+    result; other columns are ignored, whatever their names.
     """
     sizes = sorted({int(s) for s in sizes})
     if not sizes or sizes[0] < 1:
         raise ValueError("sizes are positive")
     largest = sizes[-1]
-    spark = docs.sparkSession
-    shards = max(1, -(-docs.count() // shard_items))
-    counted = F.greatest(F.coalesce(length if length is not None else word_count(text_col), F.lit(0)), F.lit(0)).cast("long")
-    items = docs.select(F.col(id_col).alias("id"), counted.alias("n"))
-    # Rows of one id (or of none) are told apart by their length, and may share a shard.
-    items = items.withColumn("shard", F.pmod(F.xxhash64("id", "n"), F.lit(shards)).cast("int"))
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        shard = int(group["shard"].iloc[0])
-        group = group.sort_values(["id", "n"], kind="stable", na_position="first")
-        out = []  # row, piece, begin, tokens
-        bins: list[tuple] = []
-        for row, n in enumerate(group["n"].tolist()):
+    bare = length is not None
+    if bare:
+        content, n = F.lit(None).cast("string"), F.greatest(F.coalesce(length, F.lit(0)), F.lit(0)).cast("long")
+        weight = F.lit(0)
+    elif ids is None:
+        content, n = text_or_empty(text_col), word_count(text_col).cast("long")
+        weight = F.octet_length(content)
+    else:
+        content = F.coalesce(F.col(ids), F.array().cast("array<int>"))
+        n = F.size(content).cast("long")
+        weight = n * 4
+    total = docs.agg(F.count(F.lit(1)), F.sum(weight)).first()
+    shards = max(1, -(-total[0] // shard_items), -(-(total[1] or 0) // shard_bytes))
+    items = docs.select(F.col(id_col).alias("id"), n.alias("n"), content.alias("content"))
+    # Rows of one id (or of none) are told apart by their content, and may share a shard.
+    items = items.withColumn("h", F.xxhash64("content", "n"))
+    items = items.withColumn("shard", F.pmod(F.xxhash64("id", "h"), F.lit(shards)).cast("int"))
+
+    def run(group: pa.Table) -> pa.Table:
+        shard = group.column("shard")[0].as_py()
+        # In the order of id (nulls first), length and hash, so a shard packs the same whatever order its rows come in.
+        order = pc.sort_indices(group, [("id", "ascending"), ("n", "ascending"), ("h", "ascending")], null_placement="at_start")
+        group = group.take(order).combine_chunks()
+        items = []  # row, piece, begin, tokens
+        full_bins: list[tuple] = []
+        for row, n in enumerate(group.column("n").to_pylist()):
             full = n // largest
-            for piece in range(full):
-                bins.append((row, piece, piece * largest, largest))
+            full_bins += [(row, piece, piece * largest, largest) for piece in range(full)]
             if n % largest or not full:
-                out.append((row, full, full * largest, n % largest))
-        out.sort(key=lambda x: (-x[3], x[0]))
-        of, place, got = pack([x[3] for x in out], sizes, cost)
-        rows = [(*x, b, got[b], p) for x, b, p in zip(out, of, place, strict=True)]
-        rows += [(*x, len(got) + k, largest, 0) for k, x in enumerate(bins)]
-        frame = pd.DataFrame(rows, columns=["row", "piece", "begin", "tokens", "number", "bin_size", "place"])
-        frame["id"] = group["id"].take(frame["row"].to_numpy()).to_numpy()
-        frame["shard"] = shard
-        return frame[["id", "piece", "begin", "tokens", "shard", "number", "bin_size", "place"]]
+                items.append((row, full, full * largest, n % largest))
+        items.sort(key=lambda x: (-x[3], x[0]))
+        of, place, got = pack([x[3] for x in items], sizes, cost)
+        rows = [(*x, b, got[b], p) for x, b, p in zip(items, of, place, strict=True)]
+        rows += [(*x, len(got) + k, largest, 0) for k, x in enumerate(full_bins)]
+        rows.sort()
+        row, piece, begin, tokens, number, bin_size, place = (np.array(c, np.int64) for c in zip(*rows))
+        if bare:
+            parts = pa.nulls(len(row), pa.string())
+        elif ids is None:
+            begins: dict[int, list[int]] = {}
+            for r, b in zip(row.tolist(), begin.tolist()):
+                begins.setdefault(r, []).append(b)
+            whole = group.column("content")
+            parts = pa.array([x for r, b in begins.items() for x in text_parts(whole[r].as_py(), b)], pa.string())
+        else:
+            lists = group.column("content").combine_chunks()
+            lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+            starts = lists.offsets.to_numpy()[row] + begin
+            at = np.arange(int(tokens.sum())) + np.repeat(starts - (np.cumsum(tokens) - tokens), tokens)
+            offsets = pa.array(np.append(0, np.cumsum(tokens)), pa.int32())
+            parts = pa.ListArray.from_arrays(offsets, lists.values.take(pa.array(at)))
+        return pa.table(
+            {
+                "id": group.column("id").take(pa.array(row)),
+                "piece": pa.array(piece, pa.int32()),
+                "begin": pa.array(begin, pa.int64()),
+                "tokens": pa.array(tokens, pa.int32()),
+                "shard": pa.array(np.full(len(row), shard), pa.int32()),
+                "number": pa.array(number, pa.int32()),
+                "bin_size": pa.array(bin_size, pa.int32()),
+                "place": pa.array(place, pa.int32()),
+                "content": parts,
+            }
+        )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    shape = f"id {kind}, piece int, begin long, tokens int, shard int, number int, bin_size int, place int"
-    packed = items.repartition(shards, "shard").groupBy("shard").applyInPandas(run, shape)
+    held = "string" if ids is None else "array<int>"
+    shape = f"id {kind}, piece int, begin long, tokens int, shard int, number int, bin_size int, place int, content {held}"
+    packed = items.repartition(shards, "shard").groupBy("shard").applyInArrow(run, shape)
     return packed.select(
         F.col("id").alias(id_col), "piece", "begin", "tokens",
-        F.concat_ws("-", "shard", "number").alias("bin"), "bin_size", "place",
+        F.concat_ws("-", "shard", "number").alias("bin"), "bin_size", "place", F.col("content").alias("text" if ids is None else "ids"),
     )
 
 
+def sequences(packed: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row per bin of pieces with ids: bin, bin_size, ids (all of its tokens in order) and documents (id, begin and tokens of each piece)."""
+    piece = F.struct("place", "piece", "begin", "tokens", F.col(id_col).alias("id"), "ids")
+    rows = packed.groupBy("bin").agg(F.max("bin_size").alias("bin_size"), F.array_sort(F.collect_list(piece)).alias("p"))
+    documents = F.transform("p", lambda x: F.struct(x["id"].alias(id_col), x["begin"], x["tokens"]))
+    return rows.select("bin", "bin_size", F.flatten(F.col("p.ids")).alias("ids"), documents.alias("documents"))
+
+
 def bins_of(packed: DataFrame) -> DataFrame:
     """One row per bin: bin, bin_size, tokens in it, pieces."""
     return packed.groupBy("bin").agg(
