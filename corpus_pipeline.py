@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import crf, line_dedup, near_dedup, packing, suffix_dedup
+from textmill.llm import bpe, crf, line_dedup, near_dedup, packing, suffix_dedup
 from textmill.llm.common import Scratch, table
 
 
@@ -80,9 +80,14 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of the permitted lengths."""
+    """Token ids of documents, each with an end token, in sequences of the permitted lengths.
+
+    A null or empty text is its end token; rows with a null id or that repeat others
+    are packed like any; no documents give no pieces.
+    """
     _session(spark)
-    return packing.pack_documents(docs.select("doc_id", "text"))
+    encoded = bpe.encode_documents(docs.select("doc_id", "text"), bpe.installed(), end=bpe.END)
+    return packing.pack_documents(Scratch(spark, "tokens").write(encoded), ids="ids")
 
 
 STAGES = [
