@@ -23,8 +23,39 @@ def _group_starts(order: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return out
 
 
-#: Symbols that one packed word holds, at 9 bits each.
+#: Symbols that one packed word of the suffix sort holds, at 9 bits each.
 PACKED = 7
+#: Symbols that are compared at a time.
+WORD = 4
+
+
+def suffix_order(text: np.ndarray) -> np.ndarray:
+    """The suffixes of a text of symbols up to 256, sorted, by doubling over groups of equal beginnings."""
+    n = len(text)
+    padded = np.append(text, np.zeros(PACKED, np.int64))
+    word = np.zeros(n, np.int64)
+    for k in range(PACKED):
+        word = (word << 9) | padded[k : k + n]
+    order, rank = _dense(word)
+    rank = _group_starts(order, rank)
+    span = PACKED
+    while True:
+        # Only groups of several suffixes are sorted on, each within its own places.
+        ranks = rank[order]
+        alone = np.append(ranks[1:] != ranks[:-1], True) & np.append(True, ranks[1:] != ranks[:-1])
+        places = np.flatnonzero(~alone)
+        if not len(places) or span >= 2 * n:
+            return order
+        members = order[places]
+        ahead = members + span
+        behind = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
+        keys = rank[members] * (n + 1) + behind
+        sorted_ = np.argsort(keys)
+        members, keys = members[sorted_], keys[sorted_]
+        order[places] = members
+        new = np.append(True, keys[1:] != keys[:-1])
+        rank[members] = places[np.maximum.accumulate(np.where(new, np.arange(len(places)), 0))]
+        span *= 2
 
 
 class RunIndex:
@@ -33,49 +64,21 @@ class RunIndex:
     The text is an array of symbols 0 (separator, matched by nothing) to 256 (byte
     + 1). What is kept of the transform is its runs: their symbols, their starts,
     where the last-to-first mapping sends each start, and the suffix positions at
-    both ends of each run. Ranks of the first 7, 14, 28 ... symbols, a by-product of
-    the suffix sort, give common extensions up to ``most`` symbols.
+    both ends of each run; and the text itself, two bytes a symbol, to compare
+    continuations up to ``most`` symbols. The suffix order is needed to build the
+    runs only and is not kept.
     """
 
     def __init__(self, text: np.ndarray, most: int = 64):
-        self.text = np.append(text.astype(np.int64), 0)
-        n = len(self.text)
+        text = np.append(text.astype(np.int64), 0)
+        n = len(text)
         self.most = most
-        padded = np.append(self.text, np.zeros(PACKED, np.int64))
-        word = np.zeros(n, np.int64)
-        for k in range(PACKED):
-            word = (word << 9) | padded[k : k + n]
-        self.word = word
-        self.levels: list[np.ndarray] = []  # ranks by the first PACKED * 2**k symbols
-        order, rank = _dense(word)
-        rank = _group_starts(order, rank)
-        span = PACKED
-        enough = []
-        while True:
-            if sum(enough) < most:
-                self.levels.append(rank.astype(np.int32))
-                enough.append(span)
-            # Only groups of several suffixes are sorted on, each within its own places.
-            ranks = rank[order]
-            alone = np.append(ranks[1:] != ranks[:-1], True) & np.append(True, ranks[1:] != ranks[:-1])
-            places = np.flatnonzero(~alone)
-            if not len(places) or span >= 2 * n:
-                break
-            members = order[places]
-            ahead = members + span
-            behind = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
-            keys = rank[members] * (n + 1) + behind
-            sorted_ = np.argsort(keys)
-            members, keys = members[sorted_], keys[sorted_]
-            order[places] = members
-            new = np.append(True, keys[1:] != keys[:-1])
-            rank[members] = places[np.maximum.accumulate(np.where(new, np.arange(len(places)), 0))]
-            span *= 2
-        while sum(enough) < most:  # suffixes differ earlier than that
-            span = enough[-1] * 2
-            self.levels.append(rank.astype(np.int32))
-            enough.append(span)
-        last = self.text[order - 1]
+        # Past the end there are separators; words of four symbols can be read from any place.
+        self.text = np.zeros(n + most + WORD, np.uint16)
+        self.text[:n] = text
+        self.word = np.ndarray(len(self.text) - WORD + 1, np.dtype("<u8"), self.text, 0, (2,))
+        order = suffix_order(text)
+        last = text[order - 1]
         starts = np.flatnonzero(np.append(True, last[1:] != last[:-1]))
         lengths = np.diff(np.append(starts, n))
         self.starts = starts.astype(np.int32)
@@ -94,20 +97,24 @@ class RunIndex:
 
     def common(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
         """How many symbols the suffixes at a and b have in common, up to most."""
-        n = len(self.text)
         a, b, out = a.astype(np.int64), b.astype(np.int64), np.zeros(len(a), np.int64)
-        for k in range(len(self.levels) - 1, -1, -1):
-            rank = self.levels[k]
-            inside = (a < n) & (b < n)
-            same = inside & (rank[np.minimum(a, n - 1)] == rank[np.minimum(b, n - 1)])
-            step = same.astype(np.int64) * (PACKED << k)
-            out += step
-            a += step
-            b += step
-        inside = (a < n) & (b < n)
-        differ = self.word[np.minimum(a, n - 1)] ^ self.word[np.minimum(b, n - 1)]
-        for k in range(PACKED - 1, 0, -1):  # symbols before the first that differs
-            out += inside & (differ >> (9 * k) == 0)
+        live = np.flatnonzero(most > 0)
+        x, y = a[live], b[live]
+        for k in range(0, self.most, WORD):
+            differ = self.word[x] ^ self.word[y]
+            same = differ == 0
+            off = live[~same]
+            differ = differ[~same]
+            # The first symbol is the lowest.
+            out[off] = k + ((differ & np.uint64(0xFFFF)) == 0).astype(np.int64) * (
+                1 + ((differ & np.uint64(0xFFFFFFFF)) == 0) + ((differ & np.uint64(0xFFFFFFFFFFFF)) == 0)
+            )
+            out[live[same]] = k + WORD
+            same[same] = most[live[same]] > k + WORD
+            live = live[same]
+            if not len(live):
+                break
+            x, y = a[live] + k + WORD, b[live] + k + WORD
         return np.minimum(out, most)
 
     def long_matches(self, body: np.ndarray, begins: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
