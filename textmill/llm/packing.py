@@ -117,7 +117,7 @@ def pack_documents(
     ids: str | None = None,
     length=None,
     shard_items: int = 20_000,
-    shard_bytes: int = 64 << 20,
+    shard_bytes: int = 16 << 20,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
