@@ -29,3 +29,27 @@ def test_commands(spark, tmp_path, capsys):
     assert [(r.status, r.word_count, len(r.embedding)) for r in rows] == [("uploaded", 4, 64)]
     assert spark.read.parquet(f"{tmp_path}/export").count() == 0
     assert "embedded" in capsys.readouterr().out
+
+
+def test_label_and_classify(spark, tmp_path):
+    """A sample is drawn and labelled (twice: nothing is labelled again), and the rest classified."""
+    root = f"{tmp_path}/root"
+    files = [gzip.compress(warc(docx(b"doc %d" % k))) for k in range(6)]
+    (tmp_path / "w.gz").write_bytes(b"".join(files))
+    with gzip.open(tmp_path / "cdx.gz", "wt") as f:
+        for k, raw in enumerate(files):
+            line = {"url": f"https://x{k}.org/a.docx", "mime": DOCX_MIME, "status": "200", "digest": "d", "length": str(len(raw)), "offset": str(sum(map(len, files[:k]))), "filename": "w.gz"}
+            f.write("org,x)/ 2025 " + json.dumps(line) + "\n")
+    run = lambda *a: main([a[0], "--root", root, *a[1:]], spark)
+    run("filter-index", "--crawl", "C1", "--index", f"{tmp_path}/cdx.gz")
+    run("scrape", "--crawl", "C1", "--archive", str(tmp_path))  # at its default rate
+    run("extract")
+    run("extract")
+    assert spark.read.parquet(f"{root}/texts").count() == 6
+    run("sample", "--output", f"{tmp_path}/sample", "--total", "5")
+    run("label", "--input", f"{tmp_path}/sample", "--output", f"{tmp_path}/labels")
+    run("label", "--input", f"{tmp_path}/sample", "--output", f"{tmp_path}/labels")
+    n = spark.read.json(f"{tmp_path}/labels").count()
+    assert n == spark.read.json(f"{tmp_path}/sample").count() > 0
+    run("classify", "--input", f"{tmp_path}/labels")
+    assert spark.read.parquet(f"{root}/documents").where("document_type is not null").count() == 6

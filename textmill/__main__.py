@@ -5,6 +5,9 @@
     scrape       --root R --crawl C --archive PATH [--force] [--retry-failed]
     extract      --root R [--batch N]
     embed        --root R [--batch N]
+    sample       --root R --output PATH [--total N]    a stratified sample to label, as JSON lines
+    label        --root R --input SAMPLE --output PATH  label a sample's texts (a stand-in labeller)
+    classify     --root R --input LABELS [--lang L]    train on labels (JSON lines), classify the rest
     status       --root R
     export       --root R --output PATH [--base URL]
     manifest     --root R --output PATH [--type T] [--topic T] [--lang L] [--min-confidence X]
@@ -19,15 +22,17 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.functions import text as T
 from textmill.functions.plain import parse_crawl_spec
-from textmill.operators import search, stats
+from textmill.operators import learning, sampling, search, stats
+from textmill.operators import predicates as P
 from textmill.plans import jobs
-from textmill.schemas import DOCUMENTS
+from textmill.schemas import DOCUMENTS, TOPICS, TYPES
 from textmill.sources import archive, store
 
 
 def _documents(spark: SparkSession, root: str) -> DataFrame:
-    there = store.ObjectStore(spark, root).exists("documents")
+    there = store.recover_table(spark, f"{root}/documents")
     return spark.read.schema(DOCUMENTS).parquet(f"{root}/documents") if there else spark.createDataFrame([], DOCUMENTS)
 
 
@@ -38,15 +43,17 @@ def _objects(spark: SparkSession, root: str) -> DataFrame:
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(prog="textmill", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("command", choices=["filter-index", "crawls", "scrape", "extract", "embed", "status", "export", "manifest"])
+    parser.add_argument("command", choices=["filter-index", "crawls", "scrape", "extract", "embed", "sample", "label", "classify", "status", "export", "manifest"])
     parser.add_argument("--root", required=True)
-    for flag in ("--crawl", "--index", "--archive", "--output", "--type", "--topic", "--lang", "--min-confidence"):
+    for flag in ("--crawl", "--index", "--archive", "--input", "--output", "--type", "--topic", "--lang", "--min-confidence"):
         parser.add_argument(flag, default="")
     parser.add_argument("--base", default="https://corpus.example.org/documents/")
     parser.add_argument("--batch", type=int, default=1_000_000)
+    parser.add_argument("--total", type=int, default=3500)
     parser.add_argument("--rps", type=float, default=2.0)
     parser.add_argument("--force", action="store_true")
     parser.add_argument("--retry-failed", action="store_true")
+    parser.add_argument("--slow", action="store_true")
     a = parser.parse_args(args)
     spark = spark or SparkSession.builder.appName(f"textmill {a.command}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     root, now = a.root.rstrip("/"), F.current_timestamp()
@@ -65,10 +72,39 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
             store.replace_table(jobs.scraped(documents, new, crawl), f"{root}/documents")
     elif a.command == "extract":
         done, texts = jobs.extract(_documents(spark, root), _objects(spark, root), now, a.batch)
+        if store.ObjectStore(spark, root).exists("texts"):  # a run that is repeated appends nothing twice
+            texts = texts.join(spark.read.parquet(f"{root}/texts").select("id"), "id", "left_anti")
         texts.write.mode("append").parquet(f"{root}/texts")
         store.replace_table(done, f"{root}/documents")
     elif a.command == "embed":
         store.replace_table(jobs.embed(_documents(spark, root), spark.read.parquet(f"{root}/texts"), now, batch=a.batch), f"{root}/documents")
+    elif a.command == "sample":
+        documents = _documents(spark, root)
+        languages = [r.language for r in stats.counts_by(documents.where(P.extracted()), "language", "language").collect()]
+        allocated = sampling.allocation(stats.sampling_counts(documents, languages), a.total)
+        sample = sampling.stratified(documents, allocated)
+        sample.select("id", "language", "word_count", "original_filename", "source_url").write.json(a.output)
+    elif a.command == "label":
+        sample = store.read_json_lines(spark, a.input)
+        done = store.ObjectStore(spark, a.output).exists("")
+        todo = sample.join(store.read_json_lines(spark, a.output).select("id"), "id", "left_anti") if done else sample
+        rows = todo.select("id", "language", "word_count", "original_filename", "source_url").join(spark.read.parquet(f"{root}/texts"), "id")
+        asked = rows.withColumn("prompt", T.prompt("Classify this document by type and topic; answer in JSON.", T.prefix("text"), "original_filename"))
+        said = learning.label(asked, learning.patient(learning.stub_labeller, delay_ms=1500 if a.slow else 0))
+        store.append_json_lines(rows.drop("text").join(said, "id"), a.output)
+    elif a.command == "classify":
+        texts = spark.read.parquet(f"{root}/texts")
+        labels = learning.with_text(store.read_json_lines(spark, a.input).where(F.col("document_type").isNotNull()), texts)
+
+        def model(ids: tuple[str, ...], column: str):
+            known = learning.label_map(spark, ids)
+            rows = learning.training_rows(labels, known, column)
+            return learning.train_classifier(rows, learning.class_weights(rows, known, column), column)
+
+        languages = [x for x in a.lang.split(",") if x] or None
+        documents = _documents(spark, root)
+        new = jobs.classify(documents, texts, model(TYPES, "document_type"), model(TOPICS, "document_topic"), TYPES, TOPICS, languages)
+        store.replace_table(new, f"{root}/documents")
     elif a.command == "status":
         stats.status_report(_documents(spark, root)).show(100, truncate=False)
     elif a.command == "export":

@@ -42,20 +42,19 @@ def from_text(text: str | Column) -> Column:
 def document_vectors(chunks: DataFrame, id_col: str = "id", vector_col: str = "vector", weight_col: str = "weight") -> DataFrame:
     """(id, vector): the vector of an only chunk as it is; else the mean by weight, of length 1 if that isn't 0.
 
-    Dimensions are summed apart, before the shuffle as far as possible, so no
-    document's chunks are gathered in one row.
+    Chunks are summed before the shuffle, one running vector a document and task, so
+    no document's chunks are gathered in one row. Null vectors are left out.
     """
-    flat = chunks.select(F.col(id_col).alias("id"), F.col(weight_col).cast("double").alias("w"), F.posexplode(vector_col).alias("p", "x"))
-    sums = flat.groupBy("id", "p").agg(
-        (F.sum(F.col("w") * F.col("x").cast("double")) / F.sum("w")).alias("mean"),
-        F.count(F.lit(1)).alias("n"),
-        F.first("x").cast("double").alias("only"),
-    )
-    whole = sums.groupBy("id").agg(
-        F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("p", F.when(F.col("n") == 1, F.col("only")).otherwise(F.col("mean")).alias("x")))).alias("xs")
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    rows = chunks.where(F.col(vector_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(weight_col).cast("double").alias("w"), F.col(vector_col).cast("array<double>").alias("x")
     )
-    vector = F.transform("xs", lambda s: s["x"])
-    return whole.select(F.col("id").alias(id_col), F.when(F.col("n") == 1, vector).otherwise(normalised(vector)).alias("vector"))
+    mean = Summarizer.mean(array_to_vector("x"), F.col("w"))
+    whole = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.first("x").alias("only"), mean.alias("mean"))
+    vector = F.when(F.col("n") == 1, F.col("only")).otherwise(normalised(vector_to_array("mean")))
+    return whole.select(F.col("id").alias(id_col), vector.alias("vector"))
 
 
 def nearest(vectors: DataFrame, query: list[float], k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

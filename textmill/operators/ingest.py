@@ -68,11 +68,16 @@ def identified(fetched: DataFrame, documents: DataFrame, crawl_id: str, now: Col
     its hash; content that another URL has, in the table or earlier in the batch,
     gives a duplicate; the rest is stored.
     """
-    rows = fetched.withColumn("check", R.validate_docx("content")).withColumn("hash", T.content_id("content"))
+    # Narrow before anything is shuffled; what failed has no hash, and its URL for a key instead.
+    rows = fetched.select(
+        "url", "position", F.when(F.col("content").isNull(), F.coalesce("error", F.lit("no content"))).otherwise(F.col("error")).alias("error"),
+        R.validate_docx("content").alias("check"), T.content_id("content").alias("hash"), F.octet_length("content").cast("bigint").alias("size"),
+    )
     owners = documents.where(P.is_status("uploaded")).select(F.col("id").alias("hash"), F.col("source_url").alias("owner")).dropDuplicates(["hash"])
     rows = rows.join(owners, "hash", "left")
-    order = F.row_number().over(W.partitionBy("hash").orderBy("position", "url"))
-    first_url = F.first("url").over(W.partitionBy("hash").orderBy("position", "url"))
+    of_content = W.partitionBy(F.coalesce("hash", "url")).orderBy("position", "url")
+    order = F.row_number().over(of_content)
+    first_url = F.first("url").over(of_content)
     rows = rows.withColumn("_order", order).withColumn("_owner", F.coalesce("owner", first_url))
     failed, invalid = F.col("error").isNotNull(), ~F.col("check.is_valid")
     duplicate = (F.col("_owner") != F.col("url")) | (F.col("_order") > 1)
@@ -86,7 +91,7 @@ def identified(fetched: DataFrame, documents: DataFrame, crawl_id: str, now: Col
         F.col("url").alias("source_url"),
         F.lit(crawl_id).alias("crawl_id"),
         T.filename_from_url("url").alias("original_filename"),
-        F.when(~failed, F.octet_length("content").cast("bigint")).alias("file_size_bytes"),
+        F.when(~failed, F.col("size")).alias("file_size_bytes"),
         status.alias("status"),
         F.when(failed, F.col("error"))
         .when(invalid, F.col("check.error"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections import Counter
 from collections.abc import Callable, Iterator, Mapping
 from functools import lru_cache
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.text import chunks, model_name, parse_answer
 from textmill.functions.vectors import document_vectors
+from textmill.sources.archive import DelayLimiter, retry_delay
 
 
 def label_map(spark: SparkSession, ids: tuple[str, ...]) -> DataFrame:
@@ -124,6 +126,40 @@ def stub_labeller(prompts: list[str]) -> list[str]:
     return out
 
 
+class Busy(Exception):
+    """A service's answer that it is to be asked again later."""
+
+
+def patient(
+    call: Callable[[list[str]], list], delay_ms: float = 50, tries: int = 5, most_s: float = 60, sleep: Callable[[float], None] = time.sleep
+) -> Callable[[list[str]], list]:
+    """A labeller or embedder that waits between batches and asks again, ever later, when the service is busy.
+
+    The delay adapts as DelayLimiter's does; every task has its own. The last try's error is raised.
+    """
+    limiters: list[DelayLimiter] = []
+
+    def run(batch: list[str]) -> list:
+        if not limiters:
+            limiters.append(DelayLimiter(delay_ms))
+        limiter = limiters[0]
+        for attempt in range(tries):
+            sleep(limiter.delay_ms / 1000)
+            try:
+                out = call(batch)
+            except Busy:
+                limiter.back_off()
+                if attempt + 1 == tries:
+                    raise
+                sleep(retry_delay(attempt, most_s))
+            else:
+                limiter.success()
+                return out
+        raise ValueError("tries is at least 1")
+
+    return run
+
+
 def label(rows: DataFrame, labeller: Callable[[list[str]], list[str]] = stub_labeller, batch: int = 50, model: str = "stub") -> DataFrame:
     """rows (id, prompt) with the labeller's parsed answers. The labeller runs on executors, one batch at a time."""
 
@@ -141,8 +177,8 @@ def label(rows: DataFrame, labeller: Callable[[list[str]], list[str]] = stub_lab
 @lru_cache(maxsize=200_000)
 def _place(word: str, size: int) -> tuple[int, int]:
     """The dimension and sign of a word."""
-    h = hashlib.blake2b(word.encode(), digest_size=8).digest()
-    return h[0] % size, 1 if h[1] % 2 else -1
+    h = hashlib.md5(word.encode()).digest()
+    return int.from_bytes(h[:4], "big") % size, 1 if h[4] % 2 else -1
 
 
 def hash_embedder(texts: list[str], size: int = 64) -> list[np.ndarray]:

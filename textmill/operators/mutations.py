@@ -19,9 +19,13 @@ def upsert(old: DataFrame, changes: DataFrame, key: str = "id", columns: list[st
 
     A column that is written takes the change's value, null included; others keep theirs.
     """
+    return _changed(old, changes, key, columns, "full")
+
+
+def _changed(old: DataFrame, changes: DataFrame, key: str, columns: list[str] | None, how: str) -> DataFrame:
     written = [c for c in (columns or changes.columns) if c != key]
     new = changes.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in written], F.lit(True).alias("_changed"))
-    joined = old.join(new, old[key] == new["_key"], "full")
+    joined = old.join(new, old[key] == new["_key"], how)
     return joined.select(
         *[
             F.coalesce(F.col(c), F.col("_key")).alias(c)
@@ -34,7 +38,7 @@ def upsert(old: DataFrame, changes: DataFrame, key: str = "id", columns: list[st
 
 def update(old: DataFrame, changes: DataFrame, key: str = "id") -> DataFrame:
     """As upsert, but keys that the table doesn't have are not inserted."""
-    return upsert(old, changes.join(old.select(key), key, "left_semi"), key)
+    return _changed(old, changes, key, None, "left")
 
 
 def insert_ignore(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:

@@ -33,14 +33,40 @@ def allocation(counts: DataFrame, total: int) -> DataFrame:
 
 
 def terciles(rows: DataFrame, by: str, value: str = "word_count", id_col: str = "id") -> DataFrame:
-    """rows with tercile 0, 1 or 2 of value inside a group; the last one takes the remainder."""
-    r = F.row_number().over(W.partitionBy(by).orderBy(value, id_col)) - 1
-    third = F.floor(F.count(F.lit(1)).over(W.partitionBy(by)) / 3)
-    return rows.withColumn("tercile", F.when(r < third, 0).when(r < 2 * third, 1).otherwise(2))
+    """rows with tercile 0, 1 or 2 of value inside a group; the last one takes the remainder.
+
+    Places are counted by value; only the rows of a value that lies across a border
+    are ordered by id, so a group is never sorted by one task.
+    """
+    counted = counted_places(rows, by, value)
+    third = F.floor(F.col("_of") / 3)
+    border = F.array(third, 2 * third)
+    joined = rows.join(counted, rows[by].eqNullSafe(F.col("_by")) & rows[value].eqNullSafe(F.col("_value")))
+    first, last = F.col("_before"), F.col("_before") + F.col("_n") - 1
+
+    def tercile(r: Column) -> Column:
+        return F.when(r < border[0], 0).when(r < border[1], 1).otherwise(2)
+
+    across = tercile(first) != tercile(last)
+    place = F.col("_before") + F.row_number().over(W.partitionBy("_by", "_value").orderBy(id_col)) - 1
+    sure = joined.where(~across).withColumn("tercile", tercile(first))
+    ordered = joined.where(across).withColumn("tercile", tercile(place))
+    return sure.unionByName(ordered).select(*rows.columns, "tercile")
+
+
+def counted_places(rows: DataFrame, by: str, value: str) -> DataFrame:
+    """(_by, _value, _n, _before, _of): rows of each value, those of smaller ones in its group, and of the group."""
+    counts = rows.groupBy(F.col(by).alias("_by"), F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    group = W.partitionBy("_by")
+    before = F.coalesce(F.sum("_n").over(group.orderBy("_value").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return counts.withColumn("_before", before).withColumn("_of", F.sum("_n").over(group))
 
 
 def round_robin(rows: DataFrame, groups: list[str], domain_col: str, n: Column, id_col: str = "id", seed: int = 42) -> DataFrame:
-    """Of each group, n rows: one of every domain, then a second one, and so on."""
+    """Of each group, n rows: one of every domain, then a second one, and so on.
+
+    A group's order is one task's; stratified() gives it pools of bounded size.
+    """
     turn = F.row_number().over(W.partitionBy(*groups, domain_col).orderBy(random_key(id_col, seed), id_col))
     place = F.row_number().over(
         W.partitionBy(*groups).orderBy("turn", F.md5(F.concat(F.col(domain_col), F.lit(f":{seed}"))), domain_col)
@@ -73,7 +99,12 @@ def stratified(documents: DataFrame, allocated: DataFrame, exclude: DataFrame |
     rows = rows.withColumn("_drawn", drawn).where(F.col("_drawn") <= F.col("_pool"))
     if exclude is not None:
         rows = rows.join(exclude.select("id"), "id", "left_anti")
-    rows = terciles(rows.withColumn("domain", domain("source_url")), "language")
+    # A pool is of bounded size, so one task may order it.
+    pool = W.partitionBy("language")
+    third = F.floor(F.count(F.lit(1)).over(pool) / 3)
+    place = F.row_number().over(pool.orderBy("word_count", "id")) - 1
+    rows = rows.withColumn("domain", domain("source_url"))
+    rows = rows.withColumn("tercile", F.when(place < third, 0).when(place < 2 * third, 1).otherwise(2))
     size = F.count(F.lit(1)).over(W.partitionBy("language"))
     third = F.floor(F.col("allocated") / 3)
     quota = third + (F.col("tercile") < F.col("allocated") - 3 * third).cast("int")
@@ -84,17 +115,36 @@ def stratified(documents: DataFrame, allocated: DataFrame, exclude: DataFrame |
 
 
 def split(rows: DataFrame, label: str, share: float = 0.15, id_col: str = "id", seed: int = 42) -> DataFrame:
-    """rows with is_validation: of each label exactly round(share * n)."""
-    r = F.row_number().over(W.partitionBy(label).orderBy(random_key(id_col, seed), id_col))
-    n = F.count(F.lit(1)).over(W.partitionBy(label))
-    return rows.withColumn("is_validation", r <= F.round(F.lit(share) * n))
+    """rows with is_validation: of each label exactly round(share * n), by the random order.
+
+    Rows are counted by the first digits of their keys; only those of the digits at
+    the border are put in order, so a label is never sorted by one task.
+    """
+    keyed = rows.withColumn("_key", random_key(id_col, seed)).withColumn("_digits", F.left("_key", F.lit(4)))
+    counted = counted_places(keyed, label, "_digits")
+    joined = keyed.join(counted, keyed[label].eqNullSafe(F.col("_by")) & (keyed["_digits"] == F.col("_value")))
+    most = F.round(F.lit(share) * F.col("_of"))
+    across = (F.col("_before") < most) & (F.col("_before") + F.col("_n") > most)
+    place = F.col("_before") + F.row_number().over(W.partitionBy("_by", "_value").orderBy("_key", id_col))
+    sure = joined.where(~across).withColumn("is_validation", F.col("_before") < most)
+    ordered = joined.where(across).withColumn("is_validation", place <= most)
+    return sure.unionByName(ordered).select(*rows.columns, "is_validation")
 
 
 def id_chunks(rows: DataFrame, workers: int, id_col: str = "id") -> DataFrame:
     """rows with worker: slices of ceil(n / workers) in the order of ids.
 
-    For lists of ids that one task can sort; a Spark job needs no such slices.
+    Ids are dealt by ranges and numbered within each; the ranges' sizes, a row each,
+    give the rest of a place.
     """
-    r = F.row_number().over(W.partitionBy().orderBy(id_col)) - 1
-    n = F.count(F.lit(1)).over(W.partitionBy())
-    return rows.select(id_col).withColumn("worker", F.floor(r / F.ceil(n / workers)).cast("int"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A given number of ranges is kept as it is, so both uses see the same ones.
+    ranged = rows.select(id_col).repartitionByRange(parts, id_col).sortWithinPartitions(id_col)
+    own = F.monotonically_increasing_id()
+    placed = ranged.withColumn("_part", F.shiftright(own, 33)).withColumn("_at", own.bitwiseAND(F.lit((1 << 33) - 1)))
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.withColumn("_before", before).withColumn("_of", F.sum("_n").over(W.partitionBy()))
+    joined = placed.join(F.broadcast(sizes), "_part")  # a row a range
+    place = F.col("_before") + F.col("_at")
+    return joined.select(id_col, F.floor(place / F.ceil(F.col("_of") / workers)).cast("int").alias("worker"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.text import BELOW, HISTOGRAM, band
 from textmill.operators import predicates as P
+from textmill.operators.sampling import counted_places
 
 CONFIDENCE = "classification_confidence"
 
@@ -236,16 +237,22 @@ def duplicate_clusters(corrections: DataFrame) -> DataFrame:
 def word_spread(rows: DataFrame, by: str, value: str = "word_count") -> DataFrame:
     """(by, low, upper_median, high): the upper median is the value at place n // 2 in order.
 
-    The place is found by ranks, so no group is gathered in a row.
+    The place is found by counts of each value, so no group is gathered in a row or task.
     """
-    w = W.partitionBy(by).orderBy(value)
-    ranked = rows.where(F.col(value).isNotNull()).select(
-        by, value, (F.row_number().over(w) - 1).alias("r"), F.count(F.lit(1)).over(W.partitionBy(by)).alias("n")
+    counted = counted_places(rows.where(F.col(value).isNotNull()), by, value)
+    middle = F.floor(F.col("_of") / 2)
+    at = (F.col("_before") <= middle) & (F.col("_before") + F.col("_n") > middle)
+    return counted.groupBy(F.col("_by").alias(by)).agg(
+        F.min("_value").alias("low"),
+        F.max(F.when(at, F.col("_value"))).alias("upper_median"),
+        F.max("_value").alias("high"),
     )
-    return ranked.groupBy(by).agg(
-        F.min(value).alias("low"),
-        F.max(F.when(F.col("r") == F.floor(F.col("n") / 2), F.col(value))).alias("upper_median"),
-        F.max(value).alias("high"),
+
+
+def rates(done: DataFrame, time: str, seconds: int = 1) -> DataFrame:
+    """(begin, n, per_second) of the rows finished in each window of some seconds; windows without rows are left out."""
+    return done.groupBy(F.window(time, f"{seconds} seconds").alias("w")).agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("w.start").alias("begin"), "n", (F.col("n") / seconds).alias("per_second")
     )
 
 

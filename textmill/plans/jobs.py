@@ -1,6 +1,7 @@
 """The corpus's jobs as batch plans: scrape, extract, embed, classify, repair, serve.
 
-Each takes the current tables and returns the next ones; nothing is written here.
+Each takes the current tables and returns the next ones; nothing is written here
+but what is fetched or extracted, once (keep), as both results of a job use it.
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ from textmill.operators import ingest, learning, mutations, search, stats
 from textmill.operators import predicates as P
 from textmill.schemas import LANGUAGE_NAMES, TOPIC_LABELS, TYPE_LABELS
 from textmill.sources.archive import fetch_records
+from textmill.sources.store import written
 
 
 def scrape(
     records: DataFrame, documents: DataFrame, crawl_id: str, fetch: Callable[[str, int, int], bytes], now: Column,
-    force: bool = False, retry_failed: bool = False, rps: float = 5.0,
+    force: bool = False, retry_failed: bool = False, rps: float = 5.0, keep: Callable[[DataFrame], DataFrame] = written,
 ) -> tuple[DataFrame, DataFrame]:
     """(new document rows, objects to store) of a crawl's index records.
 
@@ -29,7 +31,7 @@ def scrape(
     tracked yet give one duplicate row each.
     """
     todo = ingest.unseen(records, documents, force, retry_failed)
-    fetched = fetch_records(todo, fetch, rps)
+    fetched = keep(fetch_records(todo, fetch, rps))
     rows = ingest.identified(fetched, documents, crawl_id, now)
     seen = ingest.cross_crawl_duplicates(records, documents, crawl_id, now)
     new = rows if force else rows.unionByName(seen, allowMissingColumns=True)
@@ -44,12 +46,13 @@ def scraped(documents: DataFrame, new: DataFrame, crawl_id: str) -> DataFrame:
     return mutations.upsert(base.select(*documents.columns), new.dropDuplicates(["id"]))
 
 
-def extract(documents: DataFrame, objects: DataFrame, now: Column, batch: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+def extract(documents: DataFrame, objects: DataFrame, now: Column, batch: int = 1_000_000, keep: Callable[[DataFrame], DataFrame] = written) -> tuple[DataFrame, DataFrame]:
     """(documents with measures, texts) of the oldest documents that wait for extraction. objects: (id, content)."""
     work = search.work_queue(documents, P.extract_selectable(), "uploaded_at", batch).select("id")
     rows = work.join(objects, "id", "left").withColumn("x", R.extracted("content"))
     whole = F.concat_ws("\n\n", F.nullif(F.col("x.text"), F.lit("")), F.nullif(T.table_text("x.tables"), F.lit("")))
     texts = rows.select("id", F.when(F.col("x.error").isNull(), whole).alias("text"), F.size("x.tables").alias("tables"), "x.image_count", "x.error")
+    texts = keep(texts)
     named = texts.withColumn("l", R.language("text"))
     done = named.select(
         "id", T.word_count("text").alias("word_count"), T.char_count("text").alias("char_count"), F.col("tables").alias("table_count"),

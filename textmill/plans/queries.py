@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from textmill.functions import vectors as V
 from textmill.operators import ingest, learning, mutations, sampling, search, stats
 from textmill.operators import predicates as P
 from textmill.plans.corpus import corrections, documents, oracle
-from textmill.schemas import LANGUAGE_NAMES, TOPIC_LABELS, TYPE_LABELS, TYPES
+from textmill.schemas import LANGUAGE_NAMES, TOPIC_LABELS, TOPICS, TYPE_LABELS, TYPES
 
 BASE_URL = "https://corpus.example.org/documents/"
 CONFIDENCE = "classification_confidence"
@@ -378,12 +379,12 @@ def retry_error_docs(spark, d):
 
 
 def _records(spark, d):
-    """Index records: every third document's URL, and a new URL for each of these."""
-    rows = documents(spark, d).where("doc_id % 3 = 0").select("source_url")
+    """Index records: every document's URL, and a new URL for each of these."""
+    rows = documents(spark, d).select("source_url")
     return rows.select(F.col("source_url").alias("url")).union(rows.select(F.concat("source_url", F.lit("&new")).alias("url")))
 
 
-_RECORDS = "records AS (SELECT source_url AS url FROM corpus WHERE doc_id % 3 = 0 UNION ALL SELECT concat(source_url, '&new') FROM corpus WHERE doc_id % 3 = 0)"
+_RECORDS = "records AS (SELECT source_url AS url FROM corpus UNION ALL SELECT concat(source_url, '&new') FROM corpus)"
 
 
 @query(oracle("").rstrip() + f", {_RECORDS} SELECT DISTINCT url FROM records WHERE md5(url) NOT IN (SELECT md5(source_url) FROM corpus)")
@@ -472,7 +473,17 @@ def language_allocation(spark, d):
     return sampling.allocation(stats.sampling_counts(documents(spark, d), ["en", "de", "fr", "es"]), 500)
 
 
-@query()
+@query(oracle(f"""SELECT doc_id, language, tercile, domain FROM (SELECT *, row_number() OVER (PARTITION BY language, tercile ORDER BY turn, md5(concat(domain, ':42')), domain) AS place FROM (
+  SELECT *, CASE WHEN n <= allocated THEN n ELSE allocated // 3 + CASE WHEN tercile < allocated - 3 * (allocated // 3) THEN 1 ELSE 0 END END AS quota,
+    row_number() OVER (PARTITION BY language, tercile, domain ORDER BY md5(concat(doc_id, ':42')), doc_id) AS turn FROM (
+  SELECT *, CASE WHEN r < n // 3 THEN 0 WHEN r < 2 * (n // 3) THEN 1 ELSE 2 END AS tercile FROM (
+  SELECT *, row_number() OVER (PARTITION BY language ORDER BY word_count, doc_id) - 1 AS r, count(*) OVER (PARTITION BY language) AS n, regexp_extract(source_url, '^[a-z]+://([^/?#]+)', 1) AS domain FROM (
+  SELECT k.*, a.allocated, row_number() OVER (PARTITION BY k.language ORDER BY md5(concat(k.doc_id, ':42')), k.doc_id) AS drawn FROM corpus k JOIN (
+  SELECT language, CASE WHEN k = 1 THEN greatest(1, a + 200 - sum(a) OVER ()) ELSE a END::bigint AS allocated FROM (
+  SELECT *, row_number() OVER (ORDER BY a DESC, n DESC, language) AS k FROM (
+  SELECT language, n, greatest(least(50, 200 // count(*) OVER ()), cast(round_even(200.0 * n / sum(n) OVER (), 0) as bigint)) AS a FROM (
+  SELECT language, count(*) AS n FROM corpus WHERE {_POOL} AND language IN ('en', 'de', 'fr', 'es') GROUP BY 1)))) a ON a.language = k.language WHERE {_POOL})
+  WHERE drawn <= least(10 * allocated, 100000)))))  WHERE place <= quota"""))
 def stratified_sample(spark, d):
     rows = documents(spark, d).withColumn("id", F.col("doc_id"))
     allocated = sampling.allocation(stats.sampling_counts(rows, ["en", "de", "fr", "es"]), 200)
@@ -525,14 +536,18 @@ def macro_f1(spark, d):
     return learning.scores(_predictions(spark, d))
 
 
-@query()
+@query("SELECT doc_id AS id, 64 AS size, 1.0 AS norm FROM documents WHERE text <> ''")
 def hash_embeddings(spark, d):
     rows = _table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text").where("text <> ''")
     vectors = learning.embed(rows)
     return vectors.select("id", F.size("vector").alias("size"), F.round(V.norm("vector"), 6).alias("norm"))
 
 
-@query()
+@query(f"""WITH p AS (SELECT cast(doc_id as varchar) AS id, sha256(concat('Classify.', chr(10), chr(10), '## Document', chr(10), '\"\"\"', chr(10), left(text, 2000), chr(10), '\"\"\"', chr(10))) AS h FROM documents),
+  b AS (SELECT id, list_transform([1, 3, 5, 7], lambda i: ('0x' || substr(h, i, 2))::int) AS b FROM p)
+  SELECT id, [{', '.join(repr(t) for t in TYPES)}][b[1] % {len(TYPES)} + 1] AS document_type, [{', '.join(repr(t) for t in TOPICS)}][b[2] % {len(TOPICS)} + 1] AS document_topic,
+    round(b[3] / 255, 3) AS type_confidence, round(b[4] / 255, 3) AS topic_confidence, least(round(b[3] / 255, 3), round(b[4] / 255, 3)) AS confidence,
+    'by hash' AS reasoning, 'stub' AS model FROM b""")
 def stub_labels(spark, d):
     prompts = _table(spark, d, "documents").select(
         F.col("doc_id").cast("string").alias("id"), T.prompt("Classify.", T.prefix("text"), F.lit("")).alias("prompt")
@@ -789,24 +804,50 @@ def docx_validate(spark, d):
     return _table(spark, d, "documents").select("doc_id", validate_docx(sized).is_valid.alias("is_valid"))
 
 
-@query()
+def _small_zip() -> bytes:
+    """A whole document file, the same bytes at every call."""
+    import io
+    import zipfile
+
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+        for name in ("[Content_Types].xml", "word/document.xml"):
+            z.writestr(zipfile.ZipInfo(name), "<x>" + name * 3 + "</x>")
+    return out.getvalue()
+
+
+@query(f"""SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'already-clean' WHEN 1 THEN 'trimmed'
+    WHEN 2 THEN CASE WHEN text = '' THEN 'already-clean' WHEN octet_length(encode(text)) > 65535 THEN 'skipped-no-eocd' ELSE 'skipped-excess-differs' END
+    WHEN 3 THEN 'skipped-non-zip' WHEN 4 THEN 'skipped-no-eocd' WHEN 5 THEN 'skipped-testzip-failed' ELSE 'already-clean' END AS status,
+  CASE WHEN doc_id % 7 = 1 THEN '{hashlib.sha256(_small_zip()).hexdigest()}' END AS candidate_sha256 FROM documents""")
 def zip_tail_repair(spark, d):
+    """Files with every outcome: whole, with the known tail, with the text for a tail, no ZIP, cut off, broken, with a comment."""
     from textmill.functions.records import repaired
 
-    rows = _table(spark, d, "documents").select("doc_id", F.concat(F.unhex(F.lit("504B0304")), F.col("text").cast("binary")).alias("content"))
-    return rows.select("doc_id", repaired("content").status.alias("status"))
+    whole, tail, k = _small_zip(), b"\r\n\r\n", F.col("doc_id") % 7
+    text = F.col("text").cast("binary")
+    content = (
+        F.when(k == 0, F.lit(whole))
+        .when(k == 1, F.lit(whole + tail))
+        .when(k == 2, F.concat(F.lit(whole), text))
+        .when(k == 3, F.concat(F.lit(b"no ZIP file: "), text, F.lit(tail)))
+        .when(k == 4, F.concat(F.lit(whole[:-30]), text))
+        .when(k == 5, F.lit(whole.replace(b"<x>", b"<y>", 1) + tail))
+        .otherwise(F.lit(whole[:-2] + len(b"a comment").to_bytes(2, "little") + b"a comment"))
+    )
+    rows = _table(spark, d, "documents").select("doc_id", repaired(content).alias("r"))
+    return rows.select("doc_id", "r.status", F.sha2("r.candidate", 256).alias("candidate_sha256"))
 
 
 @query("SELECT count(DISTINCT url) AS urls, count(DISTINCT url) AS n FROM pages")
 def stream_ingest_dedup(spark, d):
     """Pages as a stream, each URL once; run to its end, then read as a table."""
-    import tempfile
     import uuid
 
+    from textmill.sources.store import shared_folder
     from textmill.streaming.ingest import appending_sink, once_each, run_available
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="textmill-stream-")
-    out = f"{root}/stream-{uuid.uuid4().hex}"
+    out = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     pages = _table(spark, d, "pages").select("url")
     pages.union(pages).write.json(f"{out}/in")
     stream = spark.readStream.schema("url string").option("maxFilesPerTrigger", 4).json(f"{out}/in")
@@ -815,9 +856,13 @@ def stream_ingest_dedup(spark, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from textmill.plans import source_queries  # noqa: F401  registers its own
+
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
+    from textmill.plans import source_queries  # noqa: F401
+
     return dict(_sql)
 

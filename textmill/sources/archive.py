@@ -23,7 +23,7 @@ def index_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def index_paths(spark: SparkSession, path: str) -> DataFrame:
     """The non-empty lines of a (gzipped) list of paths."""
-    return spark.read.text(path).select(F.trim("value").alias("path")).where("path <> ''")
+    return spark.read.text(path).select(F.regexp_replace("value", r"^\s+|\s+$", "").alias("path")).where("path <> ''")
 
 
 def filter_index(spark: SparkSession, path: str, out: str, crawl_id: str, mime: str = DOCX_MIME) -> DataFrame:
@@ -99,10 +99,11 @@ class TokenBucket:
     def acquire(self) -> None:
         while True:
             now = self.clock()
-            self.tokens = min(self.rps, self.tokens + (now - self.last) * self.rps)
+            # One token at least can be saved up, so a rate below one a second is a long wait, not an endless one.
+            self.tokens = min(max(1.0, self.rps), self.tokens + (now - self.last) * self.rps)
             self.last = now
-            if self.tokens >= 1:
-                self.tokens -= 1
+            if self.tokens >= 1 - 1e-9:  # a rounding error is no reason for a wait too short for the clock
+                self.tokens = max(0.0, self.tokens - 1)
                 return
             self.sleep((1 - self.tokens) / self.rps)
 
@@ -167,6 +168,10 @@ def fetch_with_retry(
     raise ValueError("tries is at least 1")
 
 
+#: Fetched bodies that a task holds before it passes them on.
+FETCHED_BYTES = 32 << 20
+
+
 def local_range(root: str) -> Callable[[str, int, int], bytes]:
     """A fetcher that reads ranges of files below a folder that all executors see."""
 
@@ -182,31 +187,38 @@ def local_range(root: str) -> Callable[[str, int, int], bytes]:
 
 
 def fetch_records(records: DataFrame, fetch: Callable[[str, int, int], bytes], rps: float = 5.0, partitions: int | None = None, tries: int = 5) -> DataFrame:
-    """(url, position, content, http_status, content_type, error) of records.
+    """(url, position, content, http_status, content_type, error) of records; position rises in their order.
 
     Every partition has its own limiter with its share of the rate. An error is a
-    row's result and ends nothing.
+    row's result and ends nothing. A result that is used more than once is to be
+    written first (store.written), or everything is fetched again.
     """
     n = partitions or records.sparkSession.sparkContext.defaultParallelism
-    rows = records.select("url", "filename", "range_start", "range_length").repartition(n)
+    position = F.monotonically_increasing_id().alias("position")
+    rows = records.select("url", "filename", "range_start", "range_length", position).repartition(n)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         limiter = TokenBucket(max(rps / n, 0.01), min(1.0, rps) / n, rps / n)
+        columns = ["url", "position", "raw", "fetch_error"]
         for frame in batches:
-            out = []
-            for url, file, start, length in frame.itertuples(index=False):
+            out, held = [], 0
+            for url, file, start, length, position in frame.itertuples(index=False):
                 try:
                     if pd.isna(start) or pd.isna(length):
                         raise FetchError(None, "no byte range")
-                    out.append((url, fetch_with_retry(fetch, file, int(start), int(length), limiter, tries), None))
+                    out.append((url, position, fetch_with_retry(fetch, file, int(start), int(length), limiter, tries), None))
+                    held += len(out[-1][2])
                 except FetchError as e:
-                    out.append((url, None, str(e)))
-            yield pd.DataFrame(out, columns=["url", "raw", "fetch_error"])
+                    out.append((url, position, None, str(e)))
+                if held >= FETCHED_BYTES:
+                    yield pd.DataFrame(out, columns=columns)
+                    out, held = [], 0
+            yield pd.DataFrame(out, columns=columns)
 
-    raw = rows.mapInPandas(run, "url string, raw binary, fetch_error string")
+    raw = rows.mapInPandas(run, "url string, position long, raw binary, fetch_error string")
     parsed = raw.withColumn("r", parse_warc(gunzip_or_raw("raw")))
     status_error = F.when(F.col("r.http_status") != 200, F.concat(F.lit("HTTP "), F.col("r.http_status").cast("string")))
     return parsed.select(
-        "url", F.xxhash64("url").alias("position"), F.col("r.content").alias("content"), "r.http_status", "r.content_type",
+        "url", "position", F.col("r.content").alias("content"), "r.http_status", "r.content_type",
         F.coalesce("fetch_error", "r.error", status_error).alias("error"),
     )

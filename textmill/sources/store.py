@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,27 +68,35 @@ class ObjectStore:
 def write_absent_objects(objects: DataFrame, root: str, suffix: str = ".docx") -> None:
     """Write (id, content) rows as files id + suffix, those that aren't there yet; runs on the executors.
 
-    Ids are content hashes: a second attempt of a task writes the same bytes.
+    Ids are content hashes: a second attempt of a task writes the same bytes. The root
+    is a path that all executors share or an address (hdfs:, s3:, gs:, file:); an
+    address that pyarrow has no file system for is an error, never a local folder.
     """
 
     def put(rows) -> None:
         import os
 
-        folder = root.removeprefix("file://")
-        os.makedirs(folder, exist_ok=True)
+        from pyarrow import fs
+
+        address = root.replace("s3a://", "s3://", 1)
+        files, folder = fs.FileSystem.from_uri(address if ":/" in address else f"file://{os.path.abspath(address)}")
+        files.create_dir(folder, recursive=True)
         for row in rows:
             path = f"{folder}/{row.id}{suffix}"
-            if not os.path.exists(path):
+            if files.get_file_info(path).type == fs.FileType.NotFound:
                 part = f"{path}.{uuid.uuid4().hex}.tmp"
-                with open(part, "wb") as f:
+                with files.open_output_stream(part) as f:
                     f.write(bytes(row.content))
-                os.replace(part, path)
+                files.move(part, path)
 
     objects.select("id", "content").dropDuplicates(["id"]).foreachPartition(put)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Write a new version beside a table and swap it in; the old one is read until the swap."""
+    """Write a new version beside a table and swap it in; the old one is read until the swap.
+
+    A crash between the two renames leaves the whole new version beside; recover_table puts it in place.
+    """
     spark = df.sparkSession
     new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
     df.write.parquet(new)
@@ -101,6 +110,37 @@ def replace_table(df: DataFrame, path: str) -> None:
         fs.delete(p(old), True)
 
 
+def recover_table(spark: SparkSession, path: str) -> bool:
+    """After a crash within a swap: put the newest whole version in place of a missing table. Whether there is a table now."""
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    fs = p(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(p(path)):
+        return True
+    for kind in ("new", "old"):  # the old version is only moved away once the new one is whole
+        found = fs.globStatus(p(f"{path}.{kind}-*")) or []
+        whole = sorted((f.getModificationTime(), f.getPath().toString()) for f in found if fs.exists(p(f"{f.getPath().toString()}/_SUCCESS")))
+        if whole:
+            return fs.rename(p(whole[-1][1]), p(path))
+    return False
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share: spark.checkpoint.dir, else the warehouse; a temporary one for a local master."""
+    if found := spark.conf.get("spark.checkpoint.dir", None):
+        return found.rstrip("/")
+    master = spark.sparkContext.master
+    if master.startswith("local") and not master.startswith("local-cluster"):
+        return "file://" + tempfile.mkdtemp(prefix="textmill-")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder once and read again, however often it is used."""
+    path = f"{shared_folder(df.sparkSession)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_json_lines(spark: SparkSession, path: str, schema=LABEL) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
