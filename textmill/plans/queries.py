@@ -536,7 +536,7 @@ def macro_f1(spark, d):
     return learning.scores(_predictions(spark, d))
 
 
-@query("SELECT doc_id AS id, 64 AS size, 1.0 AS norm FROM documents WHERE text <> ''")
+@query("SELECT doc_id AS id, 64 AS size, 1.0::double AS norm FROM documents WHERE text <> ''")
 def hash_embeddings(spark, d):
     rows = _table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text").where("text <> ''")
     vectors = learning.embed(rows)
