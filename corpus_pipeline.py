@@ -27,7 +27,10 @@ LEAST_QUALITY = 0.3
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line-level conditional random field holds for good.
 
-    It is fitted on the labelled documents that are not held out.
+    It is fitted on the labelled documents that are not held out. Empty and null
+    texts are one empty line and get its score; null ids and repeated rows are
+    judged one by one, so equal texts share a verdict. Without both labels all
+    documents get the same score; no documents give none.
     """
     _session(spark)
     model = crf.fit(*crf.learning_rows(docs, table(spark, sf_dir, "labels")))
@@ -41,7 +44,13 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the blocks of lines that they share with an earlier one; emptied ones go."""
+    """Documents without the blocks of lines that they share with an earlier one; emptied ones go.
+
+    Null and empty texts have nothing to lose and stay. A null id is earlier than any
+    other; rows that repeat id and text are one document and all stay; of rows with
+    one id and different texts those with the smaller text hash are earlier. No
+    documents give none.
+    """
     _session(spark)
     out = line_dedup.line_dedup(docs.select(*COLUMNS), counts=True)
     return _with_length(out.where((F.col("n_removed") == 0) | (F.trim("text") != "")))
@@ -55,7 +64,9 @@ def _key(docs: DataFrame):
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each group of near-duplicates.
 
-    Rows that repeat id and text stay once.
+    Rows that repeat id and text stay once. Null and empty texts are linked with
+    nothing and stay; a null id stays only if its group has no other. No documents
+    give none.
     """
     _session(spark)
     kept = near_dedup.near_duplicates(docs.select("doc_id", "text")).where("kept")
@@ -68,7 +79,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the strings of 50 bytes or more that an earlier one has; emptied ones go.
 
-    A character that is cut into is dropped whole.
+    A character that is cut into is dropped whole. Null and empty texts stay; a null id
+    is smaller than any other; rows of one id aren't removed for another. No documents
+    give none.
     """
     _session(spark)
     found = suffix_dedup.dedup_bytes(docs.select("doc_id", "text"), with_text=True).where("n_removed > 0")
