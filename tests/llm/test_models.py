@@ -337,6 +337,23 @@ def test_chats(spark):
         assert r.formatted.count(chat.START) == r.formatted.count(chat.END) == len(want[r.conv_id])
 
 
+def test_loss_mask(spark):
+    """The mask covers the formatted text; under it are the assistant's texts, each once, in order."""
+    rng = random.Random(8)
+    rows = [(c, t, rng.choice(["user", "assistant", "a\nb", "<|im_end|>", ""]), "".join(rng.choice(PIECES) for _ in range(rng.randrange(6)))) for c in range(60) for t in range(rng.randrange(1, 5))]
+    got = chat.format_chats(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")).collect()
+    assert {r.escape_level for r in got} > {0}
+    for r in got:
+        at, loss = 0, []
+        for run in r.mask:
+            if run.loss:
+                loss.append(r.formatted[at : at + run.chars])
+            at += run.chars
+        assert at == len(r.formatted)
+        plain = [re.sub(r"<\\(\\*)\|", r"<\1|", x) for x in loss] if r.escape_level else loss
+        assert plain == [x for _, _, role, x in sorted(y for y in rows if y[0] == r.conv_id) if role == "assistant"]
+
+
 def test_chats_odd(spark):
     schema = "conv_id long, turn long, role string, text string"
     assert chat.format_chats(spark.createDataFrame([], schema)).collect() == []

@@ -83,6 +83,25 @@ def parse(formatted: Column, level: int) -> Column:
     return F.when(F.forall(turns, good) & (F.element_at(parts, -1) == "\n"), F.transform(turns, turn))
 
 
+def loss_mask(formatted: Column, turns: Column, role: str = "assistant") -> Column:
+    """Runs (chars, loss) that cover a formatted text from end to end; loss marks the texts of a role's turns.
+
+    Lengths of runs need no running sum, so the mask is linear in the turns.
+    """
+    parts = F.split(F.concat(F.lit("\n"), formatted), r"\Q" + END + r"\E", -1)
+    skip = len("\n" + START)
+
+    def runs(x: Column, i: Column) -> Column:
+        head = F.locate("\n", F.substring(x, F.lit(skip + 1), F.length(x)))
+        return F.array(
+            F.struct((F.lit(len(START)) + head).alias("chars"), F.lit(False).alias("loss")),
+            F.struct((F.length(x) - skip - head).alias("chars"), (F.get(turns, i)["role"] == role).alias("loss")),
+            F.struct(F.lit(len(END) + 1).alias("chars"), F.lit(False).alias("loss")),
+        )
+
+    return F.flatten(F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), runs))
+
+
 def format_chats(
     rows: DataFrame,
     conv_col: str = "conv_id",
@@ -90,9 +109,11 @@ def format_chats(
     role_col: str = "role",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row per conversation: its id, formatted (string), escape_level, turns (array of role, text).
+    """One row per conversation: its id, formatted (string), escape_level, turns (array of role, text), mask.
 
-    turns is what the parser reads back from formatted. Rows go by turn, equal
+    turns is what the parser reads back from formatted; mask (array of chars, loss)
+    says which runs of its code points are an assistant's text, as escaped there
+    (unescape it where escape_level isn't 0). Rows go by turn, equal
     turns by role and then text; null turns come first; null roles and texts
     count as empty; rows that repeat are all kept; rows with a null conversation
     id form one conversation; an empty table gives an empty result; other columns
@@ -129,12 +150,13 @@ def format_chats(
     def chosen(name: str) -> Column:
         return F.coalesce(*[F.when(F.col(f"same{k}"), F.col(f"{name}{k}")) for k in range(LEVELS)])
 
-    return tried.select(
+    out = tried.select(
         F.col("conv").alias(conv_col),
         chosen("out").alias("formatted"),
         checked.alias("escape_level"),
         chosen("back").alias("turns"),
     )
+    return out.withColumn("mask", loss_mask(F.col("formatted"), F.col("turns")))
 
 
 def loss_text(turns: Column, role: str = "assistant") -> Column:
