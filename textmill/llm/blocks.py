@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import Scratch, text_or_empty
+from textmill.llm.common import Scratch, frugal, frugal_batches, text_or_empty
 
 BLOCK_BYTES = 4 << 20
 BUCKET_HASHES = 2 << 20
@@ -45,6 +45,7 @@ def ordered_blocks(
     total = rows.agg(F.sum(F.length("body"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total // (4 * block_bytes)) + 1)
 
+    @frugal_batches
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number = TaskContext.get().partitionId() << 32
         ids: list[int | None] = []
@@ -151,12 +152,14 @@ def seen_earlier(
     bits. hashes(row) must give the same values whenever it is called.
     """
 
+    @frugal_batches
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
                 out = [(b, row.block, pack_hashes(part)) for b, part in split_by_bucket(np.unique(hashes(row)), bits)]
                 yield pd.DataFrame(out, columns=["bucket", "block", "hashes"])
 
+    @frugal
     def answer(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("block")
         parts = [unpack_hashes(x) for x in group["hashes"]]

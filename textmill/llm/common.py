@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
+import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,3 +105,50 @@ class Scratch:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(p)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
         self.paths = [p for p in self.paths if p not in paths]
+
+
+def _give_back() -> None:
+    """Freed memory goes back to the system, not to the allocators' stock."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def frugal(function: Callable[..., pd.DataFrame]) -> Callable[..., pd.DataFrame]:
+    """A function of groups after which a worker holds no more than before.
+
+    Workers outlive their tasks and stand beside the executor's heap, so what their
+    allocators keep of one stage's arrays is missing in all later ones.
+    """
+
+    # Spark counts a function's parameters: one group, or the two of a cogroup.
+    if function.__code__.co_argcount == 2:
+
+        def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            try:
+                return function(left, right)
+            finally:
+                _give_back()
+    else:
+
+        def run(group: pd.DataFrame) -> pd.DataFrame:
+            try:
+                return function(group)
+            finally:
+                _give_back()
+
+    return run
+
+
+def frugal_batches(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The same for a function of batches."""
+
+    @functools.wraps(function)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for out in function(batches):
+            yield out
+            del out
+            _give_back()
+        _give_back()
+
+    return run

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.blocks import Block, bucket_bits, ordered_blocks, read_answers, read_sources, seen_earlier, with_answers
-from textmill.llm.common import Scratch, table, text_or_empty
+from textmill.llm.common import Scratch, frugal, frugal_batches, table, text_or_empty
 from textmill.llm.hashing import mixed, powers
 from textmill.llm.run_index import RunIndex
 from textmill.llm.substring_dedup import intervals
@@ -117,7 +117,7 @@ def anchor_runs(block: Block, width: int) -> tuple[np.ndarray, np.ndarray, np.nd
         before = least[-1]
         change &= valid[at : at + len(least)]
         new = np.flatnonzero(change)
-        values.append(least[new])
+        values.append(mixed(least[new]))  # least hashes are small ones: without this they crowd the first buckets
         places.append(new + at)
     begins = np.concatenate(places)
     if not len(begins):
@@ -362,6 +362,7 @@ def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
 
     told = seen_earlier(blocks, anchors, bucket_bits(total // 13), scratch, sources=True)
 
+    @frugal_batches
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
@@ -388,6 +389,7 @@ def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
     told = seen_earlier(cuts, open_windows, bucket_bits(n_cut // 4), scratch, sources=True)
     cuts = with_answers(cuts, told, "told_windows")
 
+    @frugal_batches
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["source", "block", "text", "docs", "begins", "n_sources"]
         for batch in batches:
@@ -408,6 +410,7 @@ def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
     sources = scratch.reread(dealt).where("n_sources > 0").join(scratch.reread(salts), "source")
     sources = sources.withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)"))).select("source", "salt", "text", "n_sources")
 
+    @frugal
     def stream(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
@@ -426,6 +429,7 @@ def dedup_bytes(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_c
     scratch.keep_only(blocks, copies, told)
     each = told.groupBy("block").agg(F.collect_list(F.struct("doc", "begin", "end")).alias("told"))
 
+    @frugal_batches
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
