@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import Scratch, table, text_or_empty
+from textmill.llm.common import Scratch, frugal_batches, table, text_or_empty
 from textmill.llm.graph import components, merged
 from textmill.llm.hashing import WordHashes, mixed, windows
 
@@ -86,6 +86,7 @@ def _read_signatures(column: pd.Series) -> np.ndarray:
 def sketch(docs: DataFrame, words: int, chunks: int, span: int = 1 << 21) -> DataFrame:
     """(id, h, n, c1, c2, sig) of every row of (id, h, body): n, c1 and c2 tell its set, n is the set's size."""
 
+    @frugal_batches
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memory = WordHashes()
         for batch in batches:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.blocks import Block, bucket_bits, ordered_blocks, read_answers, seen_earlier, with_answers
-from textmill.llm.common import Scratch, table
+from textmill.llm.common import Scratch, frugal_batches, table
 from textmill.llm.hashing import WordHashes, windows
 
 
@@ -76,6 +76,7 @@ def dedup_windows(
 
     told = seen_earlier(blocks, hashes(), bucket_bits(total // 6), scratch)
 
+    @frugal_batches
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memory = WordHashes()
         for batch in batches:
