@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import table, text_or_empty
+from textmill.llm.common import frugal_batches, table, text_or_empty
 
 #: White space as the tokenizer's pattern means it (Unicode White_Space), fixed values.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -298,6 +298,7 @@ def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end: str | None = None) -> DataFrame:
     """id and ids (array of int) of every row, with the special token end, if given, after each; a null text has none, a null id stays null."""
 
+    @frugal_batches
     def run(batches):
         bpe = load(path)
         last = [] if end is None else [bpe.special[end]]
@@ -310,6 +311,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
                     ids, counts = bpe.encode_many(texts[a:b])
                     each = np.split(ids, np.cumsum(counts)[:-1])
                 yield pd.DataFrame({id_col: batch["id"].iloc[a:b], "ids": [np.append(x, last).astype(np.int32) for x in each]})
+        bpe._forget()  # the worker lives on, and its next task may be another stage's
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))

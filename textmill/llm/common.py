@@ -11,7 +11,6 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -114,7 +113,7 @@ def _give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def frugal(function: Callable[..., pd.DataFrame]) -> Callable[..., pd.DataFrame]:
+def frugal(function: Callable) -> Callable:
     """A function of groups after which a worker holds no more than before.
 
     Workers outlive their tasks and stand beside the executor's heap, so what their
@@ -124,14 +123,14 @@ def frugal(function: Callable[..., pd.DataFrame]) -> Callable[..., pd.DataFrame]
     # Spark counts a function's parameters: one group, or the two of a cogroup.
     if function.__code__.co_argcount == 2:
 
-        def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        def run(left, right):
             try:
                 return function(left, right)
             finally:
                 _give_back()
     else:
 
-        def run(group: pd.DataFrame) -> pd.DataFrame:
+        def run(group):
             try:
                 return function(group)
             finally:
@@ -144,7 +143,7 @@ def frugal_batches(function: Callable[[Iterator], Iterator]) -> Callable[[Iterat
     """The same for a function of batches."""
 
     @functools.wraps(function)
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches):
         for out in function(batches):
             yield out
             del out

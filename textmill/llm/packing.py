@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import BLANKS, table, text_or_empty
+from textmill.llm.common import BLANKS, frugal, table, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -155,7 +155,8 @@ def pack_documents(
     items = items.withColumn("h", F.xxhash64("content", "n"))
     items = items.withColumn("shard", F.pmod(F.xxhash64("id", "h"), F.lit(shards)).cast("int"))
 
-    def run(group: pa.Table) -> pa.Table:
+    @frugal
+    def run(group):
         shard = group.column("shard")[0].as_py()
         # In the order of id (nulls first), length and hash, so a shard packs the same whatever order its rows come in.
         order = pc.sort_indices(group, [("id", "ascending"), ("n", "ascending"), ("h", "ascending")], null_placement="at_start")
@@ -185,9 +186,10 @@ def pack_documents(
             lists = group.column("content").combine_chunks()
             lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
             starts = lists.offsets.to_numpy()[row] + begin
-            at = np.arange(int(tokens.sum())) + np.repeat(starts - (np.cumsum(tokens) - tokens), tokens)
+            # One copy, without a table of all tokens' places.
+            slices = [lists.values.slice(x, k) for x, k in zip(starts.tolist(), tokens.tolist())]
             offsets = pa.array(np.append(0, np.cumsum(tokens)), pa.int32())
-            parts = pa.ListArray.from_arrays(offsets, lists.values.take(pa.array(at)))
+            parts = pa.ListArray.from_arrays(offsets, pa.concat_arrays(slices))
         return pa.table(
             {
                 "id": group.column("id").take(pa.array(row)),
