@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from textmill.llm import bpe, chat, crf, exact_dedup, line_dedup, near_dedup, packing, quality_rules, substring_dedup, suffix_dedup
+from textmill.llm import bpe, chat, crf, exact_dedup, hard_negatives, langid, line_dedup, near_dedup
+from textmill.llm import packing, quality_rules, substring_dedup, suffix_dedup
 
 
 def queries():
@@ -17,6 +18,8 @@ def queries():
         "op8_near_dedup": near_dedup.op8_near_dedup,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_chat": chat.op10_chat,
+        "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+        "op12_language_id": langid.op12_language_id,
     }
 
 
@@ -27,4 +30,5 @@ def oracle_sql():
         "op8_near_dedup": near_dedup.OP8_SQL,
         "op9_substring_dedup": substring_dedup.OP9_SQL,
         "op10_chat": chat.OP10_SQL,
+        "op11_hard_negatives": hard_negatives.OP11_SQL,
     }
