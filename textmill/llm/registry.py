@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from textmill.llm import bpe, chat, crf, exact_dedup, hard_negatives, langid, line_dedup, near_dedup
-from textmill.llm import packing, quality_rules, substring_dedup, suffix_dedup
+from textmill.llm import packing, phrases, quality_rules, substring_dedup, suffix_dedup
 
 
 def queries():
@@ -20,6 +20,7 @@ def queries():
         "op10_chat": chat.op10_chat,
         "op11_hard_negatives": hard_negatives.op11_hard_negatives,
         "op12_language_id": langid.op12_language_id,
+        "op13_phrases": phrases.op13_phrases,
     }
 
 
@@ -31,4 +32,5 @@ def oracle_sql():
         "op9_substring_dedup": substring_dedup.OP9_SQL,
         "op10_chat": chat.OP10_SQL,
         "op11_hard_negatives": hard_negatives.OP11_SQL,
+        "op13_phrases": phrases.OP13_SQL,
     }
