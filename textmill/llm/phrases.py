@@ -293,7 +293,7 @@ def grown(sent: DataFrame, least: int, further: int) -> DataFrame:
         for a, b in zip(begins, np.append(begins[1:], len(keys)), strict=True):
             key = int(keys[a])
             grow((key >> 32, key & 0xFFFFFFFF), after[:, a:b], counts[a:b], least, bool(hot[a]), found)
-        return pd.DataFrame({"ids": [list(p) for p, _ in found], "f": [n for _, n in found]}).astype({"f": "int64"})
+        return pd.DataFrame({"ids": pd.Series([list(p) for p, _ in found], dtype=object), "f": np.array([n for _, n in found], np.int64)})
 
     return sent.groupBy("bucket").applyInPandas(run, "ids array<long>, f long")
 
@@ -306,7 +306,7 @@ def _pair_rows(met: DataFrame) -> DataFrame:
             for keys, counts in zip(batch["keys"], batch["counts"], strict=True):
                 key = np.frombuffer(keys, np.uint64)
                 ids = np.stack([key >> np.uint64(32), key & np.uint64(0xFFFFFFFF)], axis=1).astype(np.int64)
-                yield pd.DataFrame({"ids": list(ids), "f": np.frombuffer(counts, np.int64)})
+                yield pd.DataFrame({"ids": pd.Series(list(ids), dtype=object), "f": np.frombuffer(counts, np.int64)})
 
     return met.where("block < 0").select("keys", "counts").mapInPandas(run, "ids array<long>, f long")
 
