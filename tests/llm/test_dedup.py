@@ -320,3 +320,46 @@ def test_lines_odd(spark):
 def test_null_safe_counts(spark):
     df = H.frame(spark, H.odd_rows())
     assert df.where(F.col("text").isNull()).count() == 2
+
+
+def template_rows(n, common=9, own=4):
+    """Pages of one template that have words of their own, and some near copies of a page among them."""
+    head = " ".join(f"t{i}" for i in range(common))
+    rows = [(i, head + " " + " ".join(f"p{i}w{k}" for k in range(own))) for i in range(n)]
+    long = lambda i: head + " " + " ".join(f"q{i}w{k}" for k in range(60))
+    for i in range(0, n // 20):
+        rows += [(10_000 + 2 * i, long(i)), (10_001 + 2 * i, long(i) + " end")]
+    return rows
+
+
+def test_near_pages_of_one_template(spark):
+    rows = template_rows(260)
+    want = H.brute_near(rows)
+    assert sum(i != c for i, (_, c) in want.items()) == 13
+    for block in (500, 20):
+        got = near_dedup.near_duplicates(H.frame(spark, rows), block=block).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
+def test_unlike_pages_of_one_template_do_not_meet(spark):
+    from textmill.llm.common import Scratch
+
+    for n in (300, 1200):
+        rows = H.frame(spark, template_rows(n)).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), F.col("text").cast("binary").alias("body"))
+        told = near_dedup.sketch(rows, 5, 10).select(F.col("id").alias("cls"), F.col("id").alias("comp"), "n", "h", "sig")
+        classes = told.withColumn("id", F.col("cls"))
+        links = classes.select(F.col("cls").alias("a"), F.col("cls").alias("b"))
+        scratch = Scratch(spark, "template")
+        sets = near_dedup.class_sets(rows, classes, links, 5, scratch)
+        crowd = sets.join(told.select("cls", "comp"), "cls").select("cls", "comp", "n", "elements")
+        found = {tuple(sorted(r)) for r in near_dedup.prefix_links(crowd, 75, scratch).collect()}
+        assert found == {(10_000 + 2 * i, 10_001 + 2 * i) for i in range(n // 20)}
+
+
+def test_prefix_lengths():
+    for percent in (50, 75, 90):
+        for n in range(1, 60):
+            short, long_ = near_dedup.prefix_lengths(np.int64(n), percent)
+            for m in range(n, 100 * n // percent + 1):  # the least intersection of similar sets
+                both = -(-percent * (n + m) // (100 + percent))
+                assert n - both + 1 <= short and m - both + 1 <= near_dedup.prefix_lengths(np.int64(m), percent)[1]
