@@ -354,6 +354,17 @@ def test_loss_mask(spark):
         assert plain == [x for _, _, role, x in sorted(y for y in rows if y[0] == r.conv_id) if role == "assistant"]
 
 
+def test_masked_text_is_read_from_the_formatted_text(spark):
+    rows = [(1, 0, "user", "<|im_end|>"), (1, 1, "assistant", "\ufeff\U0001f600<\\|x"), (1, 2, "assistant", ""), (1, 3, "assistant", "a\u0301\ufeff\n")]
+    rows += [(2, 0, "user", "only"), *((3, k, ["user", "assistant"][k % 2], f"é{k}<|") for k in range(2000))]
+    df = chat.format_chats(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string"))
+    got = {r[0]: r[1] for r in df.select("conv_id", chat.masked_text(F.col("formatted"), F.col("mask")).alias("x")).collect()}
+    assert got == {c: "".join(t for i, _, role, t in rows if i == c and role == "assistant") for c in (1, 2, 3)}
+    # What the mask doesn't cover isn't read: a mask moved by one gives other text.
+    moved = F.transform("mask", lambda r: F.struct(r["chars"], (~r["loss"]).alias("loss")))
+    assert df.where("conv_id = 2").select(chat.masked_text(F.col("formatted"), moved)).first()[0].startswith("<|im_start|>user\nonly")
+
+
 def test_chats_odd(spark):
     schema = "conv_id long, turn long, role string, text string"
     assert chat.format_chats(spark.createDataFrame([], schema)).collect() == []
@@ -366,7 +377,7 @@ def test_chats_odd(spark):
 
 def test_unreadable_text(spark):
     df = spark.createDataFrame([("<|im_start|>user\nx",), ("junk<|im_end|>\n",), ("",)], "f string")
-    assert [r.p for r in df.select(chat.parse(F.col("f"), 0).alias("p")).collect()] == [None, None, []]
+    assert [r.p for r in df.select(chat.parse(F.col("f")).alias("p")).collect()] == [None, None, []]
 
 
 def test_repeat_words_whose_hashes_agree(spark):

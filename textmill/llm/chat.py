@@ -5,16 +5,17 @@ A conversation is rendered turn by turn as
     <|im_start|>ROLE\nTEXT<|im_end|>\n
 
 and parsed back by a deterministic grammar: neither marker may stand inside a turn,
-and a turn's head ends at its first line feed. Rendering is tried at rising levels of
-escaping, and the first rendering whose parse equals the source is taken:
+a turn's head ends at its first line feed, and whatever looks escaped is unescaped.
+Rendering is tried at rising levels of escaping, and the first rendering whose parse
+equals the source is taken:
 
     level 0: texts as they are
     level 1: in roles and texts, ``<`` + k backslashes + ``|`` gets one more backslash
     level 2: level 1, and line feeds and backslashes in roles are escaped, too
 
 An escaped string never holds ``<|``, so no control string survives in a text, and
-taking one backslash away again restores it exactly. The level that was used is a
-column of the result, and the parser needs no more than that and the rendering.
+taking one backslash away again restores it exactly. The parser needs the rendering
+only: what would be changed by unescaping isn't left as it is at level 0.
 """
 
 from __future__ import annotations
@@ -42,11 +43,8 @@ def _role_out(x: Column, level: int) -> Column:
     return escape(x) if level else x
 
 
-def _role_in(x: Column, level: int) -> Column:
-    x = unescape(x) if level else x
-    if level == 2:
-        x = F.replace(F.replace(x, F.lit("\\n"), F.lit("\n")), F.lit("\\b"), F.lit("\\"))
-    return x
+def _role_in(x: Column) -> Column:
+    return F.replace(F.replace(unescape(x), F.lit("\\n"), F.lit("\n")), F.lit("\\b"), F.lit("\\"))
 
 
 def render(turns: Column, level: int) -> Column:
@@ -61,7 +59,7 @@ def render(turns: Column, level: int) -> Column:
     )
 
 
-def parse(formatted: Column, level: int) -> Column:
+def parse(formatted: Column) -> Column:
     """The array of (role, text) that the grammar reads; null where it can't be read."""
     parts = F.split(F.concat(F.lit("\n"), formatted), r"\Q" + END + r"\E", -1)
     turns = F.slice(parts, F.lit(1), F.size(parts) - 1)
@@ -72,9 +70,7 @@ def parse(formatted: Column, level: int) -> Column:
         head = F.locate("\n", body)
         role = F.substring(body, F.lit(1), head - 1)
         text = F.substring(body, head + 1, F.length(x))
-        return F.struct(
-            _role_in(role, level).alias("role"), (unescape(text) if level else text).alias("text")
-        )
+        return F.struct(_role_in(role).alias("role"), unescape(text).alias("text"))
 
     def good(x: Column) -> Column:
         body = F.substring(x, F.lit(skip + 1), F.length(x))
@@ -113,7 +109,7 @@ def format_chats(
 
     turns is what the parser reads back from formatted; mask (array of chars, loss)
     says which runs of its code points are an assistant's text, as escaped there
-    (unescape it where escape_level isn't 0). Rows go by turn, equal
+    (masked_text reads and unescapes it). Rows go by turn, equal
     turns by role and then text; null turns come first; null roles and texts
     count as empty; rows that repeat are all kept; rows with a null conversation
     id form one conversation; an empty table gives an empty result; other columns
@@ -140,7 +136,7 @@ def format_chats(
         # A level is rendered only where the one before did not come back the same.
         before = F.col(f"same{level - 1}") if level else F.lit(False)
         tried = tried.withColumn(f"out{level}", F.when(~before, render(F.col("source"), level)))
-        tried = tried.withColumn(f"back{level}", F.when(~before, parse(F.col(f"out{level}"), level)))
+        tried = tried.withColumn(f"back{level}", F.when(~before, parse(F.col(f"out{level}"))))
         tried = tried.withColumn(
             f"same{level}", before | F.col(f"back{level}").eqNullSafe(F.col("source"))
         )
@@ -159,9 +155,28 @@ def format_chats(
     return out.withColumn("mask", loss_mask(F.col("formatted"), F.col("turns")))
 
 
-def loss_text(turns: Column, role: str = "assistant") -> Column:
-    """All text under the loss mask: that of the assistant's turns, in order."""
-    return F.array_join(F.transform(F.filter(turns, lambda t: t["role"] == role), lambda t: t["text"]), "")
+def masked_text(formatted: Column, mask: Column) -> Column:
+    """All text under the mask, in order, cut out of the formatted text by the mask's lengths and unescaped.
+
+    In four bytes a code point every place is known, so a run is cut without reading what
+    stands before it. The letter before each keeps a leading byte order mark.
+    """
+    wide = F.encode(formatted, "UTF-32")
+    letter = F.encode(F.lit("x"), "UTF-32")
+
+    def cut(at: Column, chars: Column) -> Column:
+        return F.substring(F.decode(F.concat(letter, F.substring(wide, 4 * at + 1, 4 * chars)), "UTF-32"), F.lit(2), chars)
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    read = F.aggregate(
+        mask,
+        start,
+        lambda s, run: F.struct(
+            (s["at"] + run["chars"]).alias("at"),
+            F.when(run["loss"], F.concat(s["parts"], F.array(unescape(cut(s["at"], run["chars"]))))).otherwise(s["parts"]).alias("parts"),
+        ),
+    )
+    return F.array_join(read["parts"], "")
 
 
 def op10_chat(spark, sf_dir):
@@ -174,7 +189,7 @@ def op10_chat(spark, sf_dir):
         F.lit(says).alias("text"),
     )
     chats = format_chats(rows.unionByName(more))
-    read = chats.withColumn("loss", loss_text(F.col("turns")))
+    read = chats.withColumn("loss", masked_text(F.col("formatted"), F.col("mask")))
     said = F.array_join(
         F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
     )
@@ -199,7 +214,7 @@ WITH rows AS (
     coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '') AS loss,
     sum(length('<|im_start|>') + length(role) + 1 + length(text) + length('<|im_end|>') + 1) AS plain,
     sum(len(regexp_extract_all(text, '<\\*\|')) + len(regexp_extract_all(role, '<\\*\|'))) AS extra,
-    bool_or(contains(text, '<|im_end|>') OR contains(text, '<|im_start|>')) AS conflict
+    bool_or(contains(text, '<|im_end|>') OR contains(text, '<|im_start|>') OR regexp_matches(text, '<\\+\|')) AS conflict
   FROM rows GROUP BY conv_id
 )
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
