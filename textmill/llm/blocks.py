@@ -29,7 +29,13 @@ BLOCK = "block long, ids binary, known binary, hashes binary, sizes binary, body
 
 
 def ordered_blocks(
-    docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES, without: DataFrame | None = None
+    docs: DataFrame,
+    scratch: Scratch,
+    id_col: str,
+    text_col: str,
+    block_bytes: int = BLOCK_BYTES,
+    without: DataFrame | None = None,
+    split_ids: bool = False,
 ) -> tuple[DataFrame, int]:
     """The written blocks and the total of the documents' bytes.
 
@@ -37,7 +43,8 @@ def ordered_blocks(
     dealt along with the documents, so leaving some out takes no join of texts.
 
     A block holds whole documents in the order of (id, text), null ids first; block
-    numbers rise with the ids, and rows of one id never lie in different blocks.
+    numbers rise with the ids. Rows of one id lie in one block, or, with split_ids, in
+    as many as their size needs.
     """
     spark = docs.sparkSession
     text = text_or_empty(text_col)
@@ -77,7 +84,7 @@ def ordered_blocks(
                     continue
                 if unwanted and (i, hashlib.sha256(body).digest()) in unwanted:
                     continue
-                if held and held + len(body) > block_bytes and i != ids[-1]:
+                if held and held + len(body) > block_bytes and (split_ids or i != ids[-1]):
                     yield row()
                     ids, hashes, bodies, held, number = [], [], [], 0, number + 1
                 ids.append(i)
@@ -91,7 +98,9 @@ def ordered_blocks(
     if without is not None:
         rows = rows.union(without.select(F.col("id").cast("long"), F.lit(0).cast("long"), F.unhex("sha"), F.lit(False)))
     by_id = F.col("id").asc_nulls_first()
-    ranged = rows.repartitionByRange(parts, by_id).sortWithinPartitions(by_id, "wanted", "body")
+    # Beginnings of texts are in the order of the texts; whole ones would be sampled for the ranges.
+    ranges = [by_id, F.substring("body", 1, 16)] if split_ids else [by_id]
+    ranged = rows.repartitionByRange(parts, *ranges).sortWithinPartitions(by_id, "wanted", "body")
     out = scratch.write(ranged.mapInPandas(pack, BLOCK), row_group_mb=32)
     return out, total
 
@@ -143,21 +152,34 @@ def split_by_bucket(ordered: np.ndarray, bits: int) -> Iterator[tuple[int, np.nd
 
 
 def seen_earlier(
-    blocks: DataFrame, hashes: Callable[[pd.Series], np.ndarray], bits: int, scratch: Scratch, sources: bool = False
+    blocks: DataFrame, hashes: Callable[[pd.Series], np.ndarray], bits: int, scratch: Scratch, sources: bool = False, more: bool = False
 ) -> DataFrame:
     """For every block: answers for its sorted distinct hashes, in bucket order.
 
     bits: whether an earlier block holds it; with sources also first: whether this
     block is the first of several, and source: the first block, for each bit set in
-    bits. hashes(row) must give the same values whenever it is called.
+    bits. hashes(row) must give the same values whenever it is called. With more it
+    gives two arrays, the second of 32 further bits of each hash, and hashes count
+    as equal when all 96 bits are.
     """
 
+    def distinct(row) -> tuple[np.ndarray, np.ndarray | None]:
+        found = hashes(row)
+        if not more:
+            return np.unique(found), None
+        ordered, first = np.unique(found[0], return_index=True)
+        return ordered, found[1][first]
+
     @frugal_batches
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                out = [(b, row.block, pack_hashes(part)) for b, part in split_by_bucket(np.unique(hashes(row)), bits)]
-                yield pd.DataFrame(out, columns=["bucket", "block", "hashes"])
+                ordered, further = distinct(row)
+                out, at = [], 0
+                for b, part in split_by_bucket(ordered, bits):
+                    out.append((b, row.block, pack_hashes(part), further[at : at + len(part)].tobytes() if more else b""))
+                    at += len(part)
+                yield pd.DataFrame(out, columns=["bucket", "block", "hashes", "further"])
 
     @frugal
     def answer(group: pd.DataFrame) -> pd.DataFrame:
@@ -168,6 +190,13 @@ def seen_earlier(
         ordered = everything[order]
         later = np.zeros(len(everything), dtype=bool)
         again = ordered[1:] == ordered[:-1]
+        if more:
+            further = np.frombuffer(b"".join(group["further"]), np.uint32)
+            if (further[order[1:]] != further[order[:-1]])[again].any():  # unlike ones lie between equal ones
+                order = np.lexsort((further, everything))
+                ordered = everything[order]
+                again = ordered[1:] == ordered[:-1]
+            again &= further[order[1:]] == further[order[:-1]]
         later[order[1:]] = again
         cuts = np.cumsum([len(p) for p in parts])[:-1]
         out = {
@@ -188,7 +217,7 @@ def seen_earlier(
             out["source"] = [x[y].tobytes() for x, y in zip(np.split(source, cuts), np.split(later, cuts), strict=True)]
         return pd.DataFrame(out)
 
-    sent = blocks.mapInPandas(send, "bucket int, block long, hashes binary")
+    sent = blocks.mapInPandas(send, "bucket int, block long, hashes binary, further binary")
     shape = "block long, bucket int, n int, bits binary" + ", first binary, source binary" * sources
     told = sent.groupBy("bucket").applyInPandas(answer, shape)
     out = scratch.write(told)

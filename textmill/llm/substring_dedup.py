@@ -5,8 +5,8 @@ its words' 64-bit hashes. All windows are counted in Spark (see blocks.py), each
 document learns which of its windows start earlier in the corpus, and these merge
 into maximal intervals of words to remove.
 
-Windows are equal when their 64-bit hashes are; among n different windows some
-n**2 / 2**65 pairs are taken for equal by chance.
+Windows are equal when 96 bits of two hashes are; among n different windows some
+n**2 / 2**97 pairs are taken for equal by chance, and words as 64-bit hashes by theirs.
 """
 
 from __future__ import annotations
@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 
 from textmill.llm.blocks import Block, bucket_bits, ordered_blocks, read_answers, seen_earlier, with_answers
 from textmill.llm.common import Scratch, frugal_batches, table
-from textmill.llm.hashing import WordHashes, windows
+from textmill.llm.hashing import WordHashes, mixed, windows
+
+_SECOND = np.uint64(0xA0761D6478BD642F)
 
 
 def _words(block: Block) -> tuple[list[bytes], np.ndarray]:
@@ -42,10 +44,15 @@ def _window_starts(counts: np.ndarray, width: int) -> np.ndarray:
     return at[at + width <= np.repeat(ends, counts)]
 
 
-def _hashes(block: Block, width: int, memory: WordHashes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+def _hashes(block: Block, width: int, memory: WordHashes) -> tuple[list[bytes], np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Words, the number of each document's, where windows start, and their hashes: 64 bits, and 32 of another one."""
     words, counts = _words(block)
     starts = _window_starts(counts, width)
-    return words, counts, starts, windows(memory.of(words), width)[starts] if len(starts) else np.empty(0, np.uint64)
+    if not len(starts):
+        return words, counts, starts, (np.empty(0, np.uint64), np.empty(0, np.uint32))
+    own = memory.of(words)
+    further = (windows(mixed(own ^ _SECOND), width)[starts] >> np.uint64(32)).astype(np.uint32)
+    return words, counts, starts, (windows(own, width)[starts], further)
 
 
 def intervals(covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -68,13 +75,13 @@ def dedup_windows(
     empty result; other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "substring-dedup")
-    blocks, total = ordered_blocks(docs, scratch, id_col, text_col)
+    blocks, total = ordered_blocks(docs, scratch, id_col, text_col, split_ids=True)
 
     def hashes():
         memory = WordHashes()
         return lambda row: _hashes(Block(row), width, memory)[-1]
 
-    told = seen_earlier(blocks, hashes(), bucket_bits(total // 6), scratch)
+    told = seen_earlier(blocks, hashes(), bucket_bits(total // 6), scratch, more=True)
 
     @frugal_batches
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -82,12 +89,13 @@ def dedup_windows(
         for batch in batches:
             for row in batch.itertuples(index=False):
                 block = Block(row)
-                words, counts, starts, found = _hashes(block, width, memory)
+                words, counts, starts, (found, further) = _hashes(block, width, memory)
                 covered = np.zeros(len(words) + 1, dtype=np.int32)
                 if len(found):
                     _, first, which = np.unique(found, return_index=True, return_inverse=True)
                     earlier = read_answers(row.told)[which]
                     earlier |= first[which] != np.arange(len(found))
+                    earlier &= further == further[first][which]
                     np.add.at(covered, starts[earlier], 1)
                     np.add.at(covered, starts[earlier] + width, -1)
                 gone = np.cumsum(covered)[:-1] > 0
