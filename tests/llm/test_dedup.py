@@ -223,7 +223,7 @@ def test_lines(spark):
     assert counts[2] == (4, 2) and counts[1] == (3, 0) and counts[7] == (3, 3)
     # Lines that many documents have still link a document that has no rarer ones.
     many = [(k, f"{a}\n{b}") for k in range(40)]
-    assert line_dedup.line_dedup(H.frame(spark, many), rare=5).where("text = ''").count() == 39
+    assert line_dedup.line_dedup(H.frame(spark, many)).where("text = ''").count() == 39
 
 
 def test_lines_hot_passage_beside_a_rare_line(spark):
@@ -363,3 +363,52 @@ def test_prefix_lengths():
             for m in range(n, 100 * n // percent + 1):  # the least intersection of similar sets
                 both = -(-percent * (n + m) // (100 + percent))
                 assert n - both + 1 <= short and m - both + 1 <= near_dedup.prefix_lengths(np.int64(m), percent)[1]
+
+
+def test_lines_of_a_hub_document(spark):
+    """A list of lines that other documents have one each of isn't aligned with these."""
+    from textmill.llm.common import Scratch
+
+    own = [f"entry number {i:05d} of the list, found on a page of its own" for i in range(300)]
+    rows = [(i, f"page {i}\n{x}\nends here {i}") for i, x in enumerate(own)] + [(1000, "\n".join(own)), (1001, "\n".join(own[::-1] + own[:2]))]
+    rows += [(1002, own[5] + "\n" + own[6])]
+    blanks = [(1003, own[7] + " " * 60), (1004, own[7] + " " * 60 + "\n" + own[250])]
+    docs = H.frame(spark, rows).select(F.col("doc_id").alias("k"), F.xxhash64("text").alias("h"), F.col("text").alias("_text"))
+    pairs = line_dedup.overlaps(docs, Scratch(spark, "hub"), 12, 100)
+    assert pairs.count() <= 6
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(H.frame(spark, rows + blanks)).collect()}
+    assert got == {**brute_lines(rows), 1003: "", 1004: own[250]}  # only blanks make these lines long enough
+
+
+def test_windows_of_rows_without_ids(spark):
+    """Rows without an id lie in several blocks, in the order of their texts."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefgh") * 3 for _ in range(60)) for _ in range(40)]
+    rows = sorted([(None, rng.choice(texts)) for _ in range(200)] + [(5, t) for t in texts], key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    from textmill.llm import blocks
+    from textmill.llm.common import Scratch
+
+    made, total = blocks.ordered_blocks(H.frame(spark, rows), Scratch(spark, "ids"), "doc_id", "text", block_bytes=2000, split_ids=True)
+    assert made.count() > total // 4000
+    order = [i for r in made.orderBy("block").collect() for i in zip(*(lambda b: ([b.id_of(k) for k in range(len(b.ids))], list(b.texts())))(blocks.Block(r)))]
+    assert order == [(i, t.encode()) for i, t in rows]
+    got = substring_dedup.dedup_windows(H.frame(spark, rows), width=4).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    assert key(got.collect()) == key(H.brute_windows(rows, 4))
+
+
+def test_further_bits_tell_equal_hashes_apart(spark):
+    """Two windows whose 64-bit hashes agree aren't equal if the further bits differ, whatever lies between."""
+    from textmill.llm import blocks
+    from textmill.llm.common import Scratch
+
+    scratch = Scratch(spark, "further")
+    rows = [(i, str(i)) for i in range(4)]
+    made, _ = blocks.ordered_blocks(H.frame(spark, rows), scratch, "doc_id", "text", block_bytes=1)
+
+    def hashes(row):
+        i = int(bytes(row.body))
+        return np.array([7, 9], np.uint64), np.array([i % 2, 5], np.uint32)
+
+    told = blocks.with_answers(made, blocks.seen_earlier(made, hashes, 6, scratch, more=True))
+    got = {int(bytes(r.body)): blocks.read_answers([x.asDict() for x in r.told]).tolist() for r in told.collect()}
+    assert got == {0: [False, False], 1: [False, True], 2: [True, True], 3: [True, True]}

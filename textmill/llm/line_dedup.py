@@ -1,11 +1,13 @@
 """Line deduplication by pairwise alignment.
 
-Documents that overlap are found through shared lines and runs of lines: each
-links a document that has it to the first one (smallest id) that does, however
-many have it, so links grow with the lines and not with the square of a line's
-documents. The runs are the shortest of at least ``min_chars`` characters that
-begin at a line and that end at one; together they cover every block that is long
-enough to be deleted, so its first holder is always linked. Linked documents are aligned by patience diff (lines unique to both sides
+Documents that overlap are found through shared runs of lines: each links a document
+that has it to the first one (smallest id) that does, however many have it, so links
+grow with the lines and not with the square of a line's documents. The runs are the
+shortest of at least ``min_chars`` characters that begin at a line and that end at
+one; together they cover every block that is long enough to be deleted, so its first
+holder is always linked. A single shorter line links only where blanks at line ends
+decide whether a block about it is long enough, as the other document may have none;
+so an index or glossary isn't aligned with every document it has a line of. Linked documents are aligned by patience diff (lines unique to both sides
 anchor the alignment, what lies between anchors is aligned again), and aligned
 common blocks of at least ``min_chars`` characters are deleted from the later one,
 as are runs of that size that the alignment leaves out: passages that repeat within
@@ -161,10 +163,12 @@ def _lines() -> Column:
 
 
 def link_keys(docs: DataFrame, min_line_chars: int, min_chars: int) -> DataFrame:
-    """Rows (k, h, line): the different hashes of each document's lines and shortest runs.
+    """Rows (k, h, line, links): the different hashes of each document's lines and shortest runs.
 
     A run's characters are counted with the blanks at line ends and without them:
-    the first finds equal text, the second text that differs in these blanks.
+    the first finds equal text, the second text that differs in these blanks. links
+    says whether a later document is to be aligned for this key: for runs, and for
+    lines in a run that only its blanks make long enough.
     """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,39 +179,51 @@ def link_keys(docs: DataFrame, min_line_chars: int, min_chars: int) -> DataFrame
             doc = np.repeat(np.arange(len(count)), count)
             line, sizes = lines.flatten().to_numpy(), bare.flatten().to_numpy()
             runs = Runs(line)
-            docs, found = [doc[sizes >= min_line_chars]], [line[sizes >= min_line_chars]]
+            total = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+            by_blanks = np.zeros(len(line) + 1, dtype=np.int64)
+            docs, found = [], []
             for measure in (sizes, whole.flatten().to_numpy()):
                 begin, end = shortest_runs(measure, (begins + count)[doc], begins[doc], min_chars)
                 docs.append(doc[begin])
                 found.append(runs.hash(begin, end))
-            of, key = np.concatenate(docs), np.concatenate(found)
-            order = np.lexsort((key, of))
-            of, key = of[order], key[order]
+                short = total[end] - total[begin] < min_chars
+                np.add.at(by_blanks, begin[short], 1)
+                np.add.at(by_blanks, end[short], -1)
+            known = sizes >= min_line_chars
+            links = np.repeat([False, True], [known.sum(), sum(map(len, docs))])
+            links[: known.sum()] = np.cumsum(by_blanks)[:-1][known] > 0
+            of, key = np.concatenate([doc[known], *docs]), np.concatenate([line[known], *found])
+            order = np.lexsort((~links, key, of))
+            of, key, links = of[order], key[order], links[order]
             new = np.ones(len(of), dtype=bool)
             new[1:] = (of[1:] != of[:-1]) | (key[1:] != key[:-1])
-            of, key = of[new], key[new]
+            of, key, links = of[new], key[new], links[new]
             k, h = (batch.column(c).to_numpy()[of] for c in ("k", "h"))
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (k, h, key)], names=["k", "h", "line"])
+            yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in (k, h, key)], pa.array(links)], names=["k", "h", "line", "links"])
 
     bare = F.transform(_lines(), lambda x: F.trim(x))
     shapes = docs.select(
         "k", "h", F.transform(_lines(), lambda x: F.length(x)).alias("whole"), F.transform(bare, lambda x: F.length(x)).alias("bare"),
         F.transform(bare, lambda x: F.xxhash64(x)).alias("lines"),
     )
-    return shapes.mapInArrow(keys, "k long, h long, line long")
+    return shapes.mapInArrow(keys, "k long, h long, line long, links boolean")
 
 
 def overlaps(docs: DataFrame, scratch: Scratch, min_line_chars: int, min_chars: int) -> DataFrame:
-    """Pairs (d, dh, o, oh): a document and the first one that has one of its lines or runs.
+    """Pairs (d, dh, o, oh): a document and the first one that has one of its runs (or of its lines, see link_keys).
 
     docs has the key columns k, h and _text.
     """
     lines = scratch.write(link_keys(docs, min_line_chars, min_chars))
     shared = scratch.write(
-        lines.groupBy("line").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("k", "h")).alias("first")).where("df > 1").drop("df")
+        lines.groupBy("line")
+        .agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("k", "h")).alias("first"), F.max("links").alias("any"))
+        .where("df > 1 and any")
+        .select("line", "first")
     )
     # The first holder's own rows and the unshared lines go here.
-    held = lines.join(shared.hint("merge"), "line").where("not (k = first.k and h = first.h)").select("k", "h", "first").distinct()
+    held = lines.where("links").join(shared.hint("merge"), "line").where("not (k = first.k and h = first.h)")
+    held = held.select("k", "h", "first").distinct()
     held = scratch.write(held)
     scratch.drop(lines, shared)
     return held.select(F.col("k").alias("d"), F.col("h").alias("dh"), F.col("first.k").alias("o"), F.col("first.h").alias("oh"))
@@ -215,7 +231,6 @@ def overlaps(docs: DataFrame, scratch: Scratch, min_line_chars: int, min_chars:
 
 def line_dedup(
     docs: DataFrame,
-    rare: int = 64,
     min_line_chars: int = 12,
     min_chars: int = 100,
     id_col: str = "doc_id",
@@ -224,14 +239,13 @@ def line_dedup(
 ) -> DataFrame:
     """docs with the text that is left (and, with counts, n_lines and n_removed, the lines deleted).
 
-    Lines end at a line feed and are compared without blanks at their ends; lines
-    of fewer than min_line_chars characters link documents as parts of runs only, and
-    take part in the alignment. Blocks are judged on the input, and a document loses the union of
+    Lines end at a line feed and are compared without blanks at their ends; short
+    lines link documents as parts of runs, and take part in the alignment. Blocks are judged on the input, and a document loses the union of
     the blocks it shares with all the earlier ones it is linked to. Every row is
     returned, emptied ones with an empty text; a null text stays null. A null id is
     earlier than any other; rows that repeat id and text are one document, which
-    isn't its own copy; rare is taken for callers that give it and limits nothing; of rows with one id and different texts those with the
-    smaller text hash are earlier. An empty table gives an empty result. Other
+    isn't its own copy; of rows with one id and different texts those with the smaller
+    text hash are earlier. An empty table gives an empty result. Other
     columns are returned as they are, whatever their names, but for the two counts.
     """
     # What is joined here grows with the input, so nothing is broadcast, however small it is.
