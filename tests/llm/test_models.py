@@ -387,3 +387,12 @@ def test_repeat_words_whose_hashes_agree(spark):
     df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(again))], "doc_id long, text string")
     got = {r.doc_id: r.n_repeat_words for r in quality_rules.with_statistics(df).select("doc_id", "n_repeat_words").collect()}
     assert got == {1: 0, 2: 10}
+
+
+def test_labelled_rows_are_bounded_by_documents(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 7} of one id") for i in range(900)] + [(i, f"words of {i}") for i in range(2, 30)], "doc_id long, body string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 30)] + [(1, 0), (None, 1)], "doc_id long, quality int")
+    rows = quality_rules.labelled_statistics(docs, labels, max_rows=10, text_col="body")
+    assert len(rows) == len({r["doc_id"] for r in rows}) == 10
+    everything = quality_rules.labelled_statistics(docs, labels, text_col="body")
+    assert [r["doc_id"] for r in everything] == list(range(1, 30)) and everything[0]["good"]

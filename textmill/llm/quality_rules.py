@@ -65,7 +65,8 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with the counts n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_upper.
 
     Null texts count as empty. Hashes only bring windows together; two count as
-    equal when their words are.
+    equal when their words are. Rows are worked on one by one, repeated ones as well;
+    an empty table gives an empty result.
     """
     words = F.array_remove(F.split("_text", BLANKS), "")
     lines = F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -200,17 +201,21 @@ def learn(rows: list[dict], cuts: int = 32, longest: int = 4, most_rules: int =
 
 
 def labelled_statistics(
-    docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, id_col: str = "doc_id", label_col: str = "quality"
+    docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, id_col: str = "doc_id", label_col: str = "quality", text_col: str = "text"
 ) -> list[dict]:
-    """The statistics of at most max_rows labelled documents, picked by a hash of the id.
+    """The statistics of at most max_rows labelled documents, picked by a hash of the id; they come to the driver.
 
-    Rows with a null id or label don't take part.
+    Rows with a null id or label don't take part. Of rows that repeat an id the one
+    with the smallest text hash is read, of several labels the largest counts; empty
+    tables give no statistics.
     """
     known = labels.where(F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("_label"))
     # Only ids are ordered; the texts of the chosen are read after that.
     chosen = known.orderBy(F.xxhash64(id_col), id_col).limit(max_rows)
-    joined = docs.select(id_col, "text").join(F.broadcast(chosen), id_col)
-    counts = with_statistics(joined)
+    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    joined = rows.join(F.broadcast(chosen.withColumnRenamed(id_col, "id")), "id").withColumn("h", F.xxhash64("text"))
+    one = joined.groupBy("id", "_label").agg(F.min_by("text", "h").alias("text"))
+    counts = with_statistics(one.withColumnRenamed("id", id_col))
     columns = [F.expr(sql).cast("double").alias(name) for name, sql in RATES.items()]
     found = counts.select(F.col(id_col), (F.col("_label") == 1).alias("good"), *columns).collect()
     return [r.asDict() for r in sorted(found, key=lambda r: (r[id_col], tuple(r)[2:]))]
@@ -220,7 +225,8 @@ def apply_rules(docs: DataFrame, rules: DecisionList, id_col: str = "doc_id", te
     """Id, the counts, base_failed and kept of every row.
 
     Empty and null texts have no words and fail the base; null ids, repeated rows
-    and further columns need no care, as rows are worked on one by one.
+    and further columns need no care, as rows are worked on one by one; an empty
+    table gives an empty result.
     """
     counts = with_statistics(docs.select(F.col(id_col), F.col(text_col).alias("text")))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
