@@ -48,7 +48,7 @@ def exact_dedup(
     scratch = Scratch(spark, "exact-dedup")
     live = docs.select(
         F.col(id_col).alias("id"),
-        F.lit("").alias("label"),
+        F.lit(0).cast("long").alias("label"),
         text_or_empty(text_col).cast("binary").alias("rest"),
         F.sha2(text_or_empty(text_col), 256).alias("sha"),
     )
@@ -57,10 +57,9 @@ def exact_dedup(
     while True:
         digit = F.substring("rest", 1, width)
         live = live.withColumn("digit", digit)
-        # The label only names a group: any value that no other group has would do.
-        groups = live.groupBy("label", "digit").agg(
-            pick("id").alias("keep_id"), F.count(F.lit(1)).alias("n"), F.max("sha").alias("next")
-        ).where("n > 1")
+        groups = live.groupBy("label", "digit").agg(pick("id").alias("keep_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        # A group's label is its number, which is fixed once it is written.
+        groups = groups.withColumn("next", F.monotonically_increasing_id())
         # Written, the groups are a join side of their own, and a hot group's rows can be
         # split. They grow with the input, so they are never broadcast, however few.
         groups = scratch.write(groups)
@@ -70,7 +69,7 @@ def exact_dedup(
             "sha",
             F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
             F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
-            F.coalesce("next", F.lit("")).alias("label"),
+            F.coalesce("next", F.lit(0)).alias("label"),
             (F.col("n").isNull() | ended).alias("final"),
             F.when(F.col("n").isNotNull() & ~ended, F.expr(f"substring(rest, {width + 1})")).alias("rest"),
         )
