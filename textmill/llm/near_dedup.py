@@ -16,15 +16,14 @@ What meets is never expanded to all pairs of a group:
    Each class tries the earliest of its heads on the full sets, and then those
    others that it isn't connected with by now.
 3. What is left is proving that no link between different components was missed.
-   Two classes that are to be linked have a key in common. A key of few members that
+   Two classes that are to be linked have a key in common, so a key whose members
    lie in several components has those outside its largest one compared with all
-   of its members: by signatures first, each pair in its first common key only,
-   which tells the classes whose sets a task needs; then by these sets. A task
-   returns the links that join components, never pairs.
-4. Members of larger keys (pages of one template, say) are joined by the rare ends of
-   their sets instead, whatever their number: similar sets share one of the few
-   shingles that come first when the rare ones do (prefix filtering), so unlike
-   pages that have only the template in common never meet.
+   of its members, in blocks: by signatures first, each pair in its first common
+   key only, which tells the classes whose sets a task needs; then by these sets.
+   A task returns the links that join components, never pairs.
+4. Before that, large keys lose the members that can have no partner: similar sets
+   share one of the few shingles that come first when the rare ones do (prefix
+   filtering), so unlike pages that have only a template in common are gone.
 """
 
 from __future__ import annotations
@@ -42,7 +41,7 @@ from textmill.llm.graph import components, merged
 from textmill.llm.hashing import WordHashes, mixed, windows
 
 PER_CHUNK = 4
-#: A task of step 3 holds sets of about so many bytes, or a single larger one.
+#: A task of step 3 holds sets of about so many bytes on each side, or a single larger one.
 BLOCK_BYTES = 16 << 20
 #: Counters of the sketch that tells rare shingles from common ones, whatever the corpus; a power of two.
 COUNTERS = 1 << 20
@@ -212,31 +211,55 @@ def key_rows(members: DataFrame, with_sig: bool = False) -> DataFrame:
     return members.select("cls", "comp", "n", "sig").mapInPandas(run, shape)
 
 
-#: What tells a key.
+#: A task's name, and what tells a key.
+TASK = ["at", "i", "j", "with_main"]
 KEY = ["key", "slot"]
 
 
 def open_keys(members: DataFrame, block: int) -> DataFrame:
-    """(key, slot, rows, bytes, main, small) of the keys whose members lie in several components; main is the largest one."""
+    """The keys whose members lie in several components: their rows and bytes, main (largest) component, whether they are small, and their numbers of blocks."""
     per_comp = key_rows(members).groupBy(*KEY, "comp").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("n") * 8).alias("bytes"))
-    main = F.max(F.struct("rows", "comp")).alias("main")
+    main = F.max(F.struct("rows", "comp", "bytes")).alias("main")
     per_key = per_comp.groupBy(*KEY).agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("comps"), main)
+
+    def blocks(rows, size):
+        return F.ceil(F.greatest(rows / block, size / BLOCK_BYTES, F.lit(1))).cast("int")
+
     # Two classes that are all of a key are the key's link, which was tried.
-    small = ((F.col("rows") <= block) & (F.col("bytes") <= BLOCK_BYTES)).alias("small")
-    return per_key.where("comps > 1 and rows > 2").select(*KEY, "rows", "bytes", F.col("main.comp").alias("main"), small)
+    return per_key.where("comps > 1 and rows > 2").select(
+        *KEY, "rows", "bytes", F.col("main.comp").alias("main"), ((F.col("rows") <= block) & (F.col("bytes") <= BLOCK_BYTES)).alias("small"),
+        blocks(F.col("rows") - F.col("main.rows"), F.col("bytes") - F.col("main.bytes")).alias("out_blocks"),
+        blocks(F.col("main.rows"), F.col("main.bytes")).alias("main_blocks"),
+    )
 
 
 def key_tasks(members: DataFrame, keys: DataFrame, tasks: int) -> DataFrame:
-    """Rows (bucket, key, slot, cls, comp, n, sig, left) of the small open keys; keys share a task by their hash.
+    """Rows (key, slot, cls, comp, n, sig, left, within) of the tasks that compare the members of open keys.
 
-    A task compares a key's left rows, those outside its main component, with its
-    others and with each other.
+    A task compares a key's left rows with its others and, where within is set, with
+    each other. Rows outside the key's main component are left somewhere. Small keys
+    share a task, by their hash; large ones are split in blocks.
     """
-    small = keys.where("small").select(*KEY, "main")
-    # With the signatures at once: the members of keys are joined with nothing else.
-    rows = key_rows(members, with_sig=True).join(small.hint("merge"), KEY)
-    bucket = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(tasks)).alias("bucket")
-    return rows.select(bucket, *KEY, "cls", "comp", "n", "sig", (F.col("comp") != F.col("main")).alias("left"))
+    # With the signatures at once: the members of hot keys are joined with nothing else.
+    rows = key_rows(members, with_sig=True).join(keys.drop("rows", "bytes").hint("merge"), KEY).withColumn("own", F.col("comp") != F.col("main"))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(tasks)))
+    spot = F.pmod(F.xxhash64("cls"), F.when(F.col("own"), F.col("out_blocks")).otherwise(F.col("main_blocks"))).cast("int")
+    rows = rows.withColumn("spot", spot)
+    # An outside row meets all outside blocks and all blocks of the main component; a row of that, the outside blocks.
+    everywhere = F.expr(
+        """
+        CASE WHEN small THEN array(struct(bucket AS at, -1 AS i, -1 AS j, false AS with_main, own AS left, true AS within))
+          WHEN own THEN concat(
+            transform(sequence(0, out_blocks - 1), x -> struct(
+              key AS at, least(x, spot) AS i, greatest(x, spot) AS j, false AS with_main, x >= spot AS left, x = spot AS within)),
+            transform(sequence(0, main_blocks - 1), x -> struct(
+              key AS at, spot AS i, x AS j, true AS with_main, true AS left, false AS within)))
+          ELSE transform(sequence(0, out_blocks - 1), x -> struct(
+              key AS at, x AS i, spot AS j, true AS with_main, false AS left, false AS within)) END
+        """
+    )
+    tasked = rows.select(*KEY, "cls", "comp", "n", "sig", F.explode(everywhere).alias("t"))
+    return tasked.select(*KEY, "cls", "comp", "n", "sig", *[F.col(f"t.{c}").alias(c) for c in (*TASK, "left", "within")])
 
 
 def near_in_key(rows: pd.DataFrame, percent: int, farthest: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -245,13 +268,13 @@ def near_in_key(rows: pd.DataFrame, percent: int, farthest: int) -> Iterator[tup
     A pair that has an earlier key, too, is left to that.
     """
     sig = _read_signatures(rows["sig"])
-    comp, n, left = (rows[c].to_numpy() for c in ("comp", "n", "left"))
+    comp, n, left, within = (rows[c].to_numpy() for c in ("comp", "n", "left", "within"))
     chunk, gone = divmod(int(rows["slot"].iat[0]), PER_CHUNK)
     place = np.arange(len(rows))
     for i in np.flatnonzero(left):
         # The larger set can't be larger than 100 / percent of the smaller one.
         at = (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
-        at = np.flatnonzero(at & (~left | (place > i)))
+        at = np.flatnonzero(at & (~left | (within & (place > i))))
         errors = (sig[at] != sig[i]).reshape(len(at), sig.shape[1] // PER_CHUNK, PER_CHUNK).sum(2)
         here = (errors[:, chunk] == 1) | ((errors[:, chunk] == 0) & (gone == 0))
         at = at[here & (errors.sum(1) <= farthest) & (errors[:, :chunk] > 1).all(1)]
@@ -290,15 +313,24 @@ def missed_links(rows: pd.DataFrame, percent: int, farthest: int) -> list[tuple[
 
 
 def remaining_links(members: DataFrame, percent: int, farthest: int, block: int, scratch: Scratch) -> DataFrame | None:
-    """Links (a, b) of different components, by name, over (cls, comp, n, sig, elements); None if no key has several."""
+    """Step 3 over (cls, comp, n, sig, elements): links (a, b) of different components, by name; None if no key has several."""
     keys = scratch.write(open_keys(members, block))
-    small = F.col("small")
-    total = keys.agg(
-        F.count(F.lit(1)), F.sum(F.when(small, F.col("rows"))), F.sum(F.when(small, F.col("bytes"))), F.sum(F.when(~small, F.col("rows")))
-    ).first()
-    if not total[0]:
+    if keys.isEmpty():
         return None
-    tasks = max(1, -(-(total[1] or 0) // (2 * block)), -(-(total[2] or 0) // BLOCK_BYTES))
+    large, few, fewer = keys.where(~F.col("small")).select(*KEY), keys.where("small"), None
+    if not large.isEmpty():
+        crowd = key_rows(members).join(large.hint("merge"), KEY).select("cls").distinct()
+        crowd = scratch.write(members.join(crowd.hint("merge"), "cls"))
+        alive = may_be_similar(crowd, percent, scratch)
+        fewer = scratch.write(crowd.join(alive.hint("merge"), "cls"))
+        again = scratch.write(open_keys(fewer, block).join(large.hint("merge"), KEY, "left_semi"))
+        keys = few.unionByName(again)
+    small = F.col("small")
+    total = keys.agg(F.sum(F.when(small, F.col("rows"))), F.sum(F.when(small, F.col("bytes")))).first()
+    tasks = max(1, -(-(total[0] or 0) // (2 * block)), -(-(total[1] or 0) // BLOCK_BYTES))
+    tasked = key_tasks(members, few, tasks)
+    if fewer is not None:
+        tasked = tasked.unionByName(key_tasks(fewer, again, tasks))
 
     def needed(group: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -308,21 +340,15 @@ def remaining_links(members: DataFrame, percent: int, farthest: int, block: int,
                 used[i] = True
                 used[at] = True
             out.append(rows[used])
-        return pd.concat(out)[["bucket", *KEY, "cls", "comp", "n", "left"]]
+        return pd.concat(out)[[*TASK, *KEY, "cls", "comp", "n", "left", "within"]]
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(missed_links(group, percent, farthest), columns=["a", "b"], dtype="int64")
 
     sets = members.select("cls", "sig", "elements")
-    shape = "bucket long, key long, slot int, cls long, comp long, n long, left boolean"
-    used = scratch.write(key_tasks(members, keys, tasks).groupBy("bucket").applyInPandas(needed, shape))
-    found = used.join(sets.hint("merge"), "cls").groupBy("bucket").applyInPandas(run, "a long, b long")
-    if total[3]:
-        large = keys.where(~small).select(*KEY)
-        crowd = key_rows(members).join(large.hint("merge"), KEY).select("cls").distinct()
-        crowd = scratch.write(members.select("cls", "comp", "n", "elements").join(crowd.hint("merge"), "cls"))
-        found = found.union(prefix_links(crowd, percent, scratch))
-    return scratch.write(found)
+    shape = "at long, i int, j int, with_main boolean, key long, slot int, cls long, comp long, n long, left boolean, within boolean"
+    used = scratch.write(tasked.groupBy(*TASK).applyInPandas(needed, shape))
+    return scratch.write(used.join(sets.hint("merge"), "cls").groupBy(*TASK).applyInPandas(run, "a long, b long"))
 
 
 def shingle_counts(sets: DataFrame, scratch: Scratch) -> np.ndarray:
@@ -354,13 +380,13 @@ def prefix_lengths(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]
     return n + 1 + (-2 * percent * n) // (100 + percent), n + 1 + (-percent * n) // 100
 
 
-def prefix_links(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Links (a, b), components by name, of all similar sets (cls, comp, n, elements) of different components.
+def may_be_similar(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(cls) of the sets (cls, comp, n, elements) that a set of another component can be similar to.
 
     Sets are put in one order, rare shingles first. Of two similar sets the smaller
     one's first shingles and the larger one's (a few more) have one in common, so
-    only these are joined, and of a shingle's rows those outside its largest
-    component with the others. Pairs are then confirmed on the full sets.
+    a set that shares none of these has no partner. Shingles' rows are summed by
+    component first, so a shingle that all have costs a row a component and task.
     """
     counts = shingle_counts(sets, scratch)
 
@@ -372,32 +398,17 @@ def prefix_links(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
             first = [x[np.lexsort((x, counts[_counter(x)]))[:k]] for x, k in zip(sets, long_, strict=True)]
             place = np.concatenate([np.arange(k) for k in long_])
             of = np.repeat(np.arange(len(n)), long_)
-            yield pd.DataFrame(
-                {
-                    "shingle": np.concatenate(first).view(np.int64),
-                    "cls": batch["cls"].to_numpy()[of],
-                    "comp": batch["comp"].to_numpy()[of],
-                    "n": n[of],
-                    "indexed": place < short[of],
-                }
-            )
-
-    rows = scratch.write(sets.select("cls", "comp", "elements").mapInPandas(prefixes, "shingle long, cls long, comp long, n long, indexed boolean"))
-    per_comp = rows.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("k"))
-    shared = per_comp.groupBy("shingle").agg(F.max(F.struct("k", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps"))
-    shared = scratch.write(shared.where("comps > 1").select("shingle", "main"))
-    outside = rows.join(shared.hint("merge"), "shingle").where("comp <> main").select(*[F.col(c).alias(f"o_{c}") for c in rows.columns])
-    # Of a shingle's outsiders each pair is met twice, by the smaller set once.
-    met = scratch.reread(rows).join(outside.hint("merge"), (F.col("shingle") == F.col("o_shingle")) & (F.col("comp") != F.col("o_comp")))
-    smaller = F.struct("n", "cls") < F.struct(F.col("o_n").alias("n"), F.col("o_cls").alias("cls"))
-    fits = (F.when(smaller, F.col("indexed")).otherwise(F.col("o_indexed"))) & (
-        100 * F.least("n", "o_n") >= percent * F.greatest("n", "o_n")
+            cls, comp = (batch[c].to_numpy()[of] for c in ("cls", "comp"))
+            yield pd.DataFrame({"shingle": np.concatenate(first).view(np.int64), "cls": cls, "comp": comp, "indexed": place < short[of]})
+
+    rows = scratch.write(sets.select("cls", "comp", "elements").mapInPandas(prefixes, "shingle long, cls long, comp long, indexed boolean"))
+    indexed = F.when(F.col("indexed"), F.col("comp"))
+    shared = rows.groupBy("shingle").agg(
+        F.min("comp").alias("least"), F.max("comp").alias("most"), F.min(indexed).alias("ix_least"), F.max(indexed).alias("ix_most")
     )
-    own, other = F.struct("cls", "comp"), F.struct(F.col("o_cls").alias("cls"), F.col("o_comp").alias("comp"))
-    first, last = F.least(own, other), F.greatest(own, other)
-    pairs = met.where(fits).select(first.alias("x"), last.alias("y")).distinct()
-    pairs = pairs.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), F.col("x.comp").alias("a_comp"), F.col("y.comp").alias("b_comp"))
-    return confirmed(pairs, sets, percent).select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b"))
+    shared = scratch.write(shared.where("least <> most and ix_least is not null").drop("least", "most"))
+    partner = F.col("indexed") | (F.col("ix_least") != F.col("comp")) | (F.col("ix_most") != F.col("comp"))
+    return rows.join(shared.hint("merge"), "shingle").where(partner).select("cls").distinct()
 
 
 def class_sets(rows: DataFrame, classes: DataFrame, links: DataFrame, words: int, scratch: Scratch) -> DataFrame:
