@@ -856,13 +856,13 @@ def stream_ingest_dedup(spark, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from textmill.plans import source_queries  # noqa: F401  registers its own
+    from textmill.plans import engine_queries, source_queries  # noqa: F401  register their own
 
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    from textmill.plans import source_queries  # noqa: F401
+    from textmill.plans import engine_queries, source_queries  # noqa: F401
 
     return dict(_sql)
 
