@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
+from textmill.functions import records as R
 from textmill.operators.neighbours import VectorIndex, recall
+from textmill.plans.corpus import documents, oracle
 from textmill.plans.queries import _table, query
 from textmill.plans.source_queries import _folder
+from textmill.sources import store
+from textmill.sources.record_source import read_archive, stream_archive
+from textmill.streaming.ingest import appending_sink, run_available
 
 # ---- nearest neighbours -----------------------------------------------------------------------------------------
 
@@ -31,3 +38,55 @@ def vector_index_recall(spark, d):
     index, queries = _index(spark, d)
     share = recall(index.search(queries, 10), index.search_exact(queries, 10))
     return share.select("queries", F.lit(int(index.sizes.sum())).cast("long").alias("indexed"), (F.col("recall") >= 0.9).alias("reached"))
+
+
+# ---- archive records --------------------------------------------------------------------------------------------
+
+
+def _archive(spark, d):
+    """Texts as compressed records, some hundred to an archive file, and an index of JSON lines over them."""
+    out = _folder(spark, "records")
+    rows = documents(spark, d).select("doc_id", "source_url", "text")
+    n = F.octet_length("text").cast("string")
+    head = F.concat(F.lit("WARC/1.0\r\nWARC-Type: response\r\n\r\nHTTP/1.1 200 OK\r\nContent-Type: text/plain\r\nContent-Length: "), n, F.lit("\r\n\r\n"))
+    record = R.gzipped(F.concat(head.cast("binary"), F.col("text").cast("binary"), F.lit("\r\n\r\n").cast("binary")))
+    status = F.when(F.col("doc_id") % 10 == 0, "404").otherwise("200")
+    files = max(1, rows.count() // 200)
+    rows = rows.select(F.pmod("doc_id", F.lit(files)).cast("string").alias("id"), "doc_id", "source_url", status.alias("status"), record.alias("content"))
+
+    def joined(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("doc_id")
+        sizes = group["content"].map(len).to_numpy()
+        lines = pd.DataFrame({"url": group["source_url"], "mime": "text/plain", "status": group["status"], "digest": "", "length": sizes.astype(str), "offset": (np.cumsum(sizes) - sizes).astype(str)})
+        index = lines.assign(filename=group["id"] + ".gz").to_json(orient="records", lines=True)
+        return pd.DataFrame({"id": group["id"].iloc[:1], "content": [b"".join(group["content"])], "index": [index]})
+
+    made = store.written(rows.groupBy("id").applyInPandas(joined, "id string, content binary, index string"))
+    store.write_absent_objects(made, f"{out}/archive", ".gz")
+    made.select("index").write.text(f"{out}/index")
+    return f"{out}/index", f"{out}/archive", out
+
+
+_RECORDS_SQL = oracle("SELECT source_url AS url, octet_length(encode(text)) AS size, sha256(text) AS content_sha256 FROM corpus WHERE doc_id % 10 <> 0")
+
+
+def _read(rows):
+    """The bodies of records; blank index lines, which the text writer leaves, have been skipped."""
+    body = R.parse_warc(R.gunzip_or_raw("content"))["content"]
+    return rows.where("status = '200' AND error IS NULL").select("url", F.octet_length(body).alias("size"), F.sha2(body, 256).alias("content_sha256"))
+
+
+@query(_RECORDS_SQL)
+def archive_source_records(spark, d):
+    """Records through the data source: index files by ranges of bytes, archive files by the records' ranges."""
+    index, archive, _ = _archive(spark, d)
+    return _read(read_archive(spark, index, archive, 1 << 20))
+
+
+@query(_RECORDS_SQL)
+def archive_source_stream(spark, d):
+    """The same records, read by a stream to its end and then by a second run that finds nothing new."""
+    index, archive, out = _archive(spark, d)
+    for _ in range(2):
+        run_available(stream_archive(spark, index, archive, 1 << 20), appending_sink(f"{out}/stream"), f"{out}/checkpoint")
+    return _read(spark.read.parquet(f"{out}/stream"))
