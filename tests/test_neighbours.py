@@ -61,6 +61,8 @@ def test_search_finds_most_and_exact_search_all(spark, made, monkeypatch):
     assert told(exact) == want
     assert told(VectorIndex.open(spark, path).search_exact(queries, probes=1)) == want
     assert recall(index.search(queries), exact).first()["recall"] >= 0.9
+    enough = index.probes_for(0.95, sample=60)
+    assert 1 <= enough <= 10 and recall(index.search(queries, probes=enough), exact).first()["recall"] >= 0.9
     few = recall(index.search(queries, probes=1), exact).first()
     assert few["queries"] == 30 and 0.2 < few["recall"] < 1
 

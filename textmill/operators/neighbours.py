@@ -201,6 +201,26 @@ class VectorIndex:
         return _first(found.unionByName(more), k)
 
 
+    def probes_for(self, share: float = 0.95, k: int = 10, sample: int = 200, seed: int = 42) -> int:
+        """How many lists hold a share of the true k nearest rows, as sample stored rows have it (picked by a hash of the id)."""
+        drawn = self.rows().orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample).select("id", "vector")
+        asked = written(drawn)
+        true = self.search_exact(asked, k, id_col="id", vector_col="vector").select(F.col("query"), F.col("id"))
+        where = true.join(self.rows().select("id", "list").hint("merge"), "id").select(F.col("query").alias("id"), "list")
+        pairs = where.join(asked.hint("merge"), "id")
+        centroids, place = self.centroids, {int(x): i for i, x in enumerate(self.names)}
+
+        def ranks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if len(batch):
+                    d = _distances(_units(batch["vector"]), centroids)
+                    own = d[np.arange(len(d)), batch["list"].map(place).to_numpy()]
+                    yield pd.DataFrame({"rank": (d <= own[:, None]).sum(1)})
+
+        found = sorted(r["rank"] for r in pairs.mapInPandas(ranks, "rank int").collect())  # k * sample numbers
+        return found[min(len(found) - 1, int(share * len(found)))] if found else 1
+
+
 def _first(found: DataFrame, k: int) -> DataFrame:
     rank = F.row_number().over(W.partitionBy("query").orderBy(F.desc("cosine"), "id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query", "rank", "id", "cosine")
