@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from textmill.functions import records as R
+from textmill.functions.supervised import with_deadline
 from textmill.operators.neighbours import VectorIndex, recall
 from textmill.plans.corpus import documents, oracle
 from textmill.plans.queries import _table, query
@@ -90,3 +91,29 @@ def archive_source_stream(spark, d):
     for _ in range(2):
         run_available(stream_archive(spark, index, archive, 1 << 20), appending_sink(f"{out}/stream"), f"{out}/checkpoint")
     return _read(spark.read.parquet(f"{out}/stream"))
+
+
+# ---- supervised processes ---------------------------------------------------------------------------------------
+
+
+def _measured(body: bytes | None) -> tuple[int, int]:
+    """Bytes and words of a text. Some hang, as parsers do, and some end their process."""
+    import os
+    import time
+
+    number, text = (body or b"").split(b" ", 1)
+    if int(number) % 1000 == 3:
+        time.sleep(3600)
+    if int(number) % 1000 == 7:
+        os._exit(9)
+    return len(text), len(text.split())
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 1000 NOT IN (3, 7) THEN octet_length(encode(text)) END AS size,
+  CASE WHEN doc_id % 1000 NOT IN (3, 7) THEN len(list_filter(regexp_split_to_array(text, '[ \t\n\r\f\v]+'), lambda x: x <> '')) END AS words,
+  CASE doc_id % 1000 WHEN 3 THEN 'timed out after 3s' WHEN 7 THEN 'process ended with status 9' END AS error FROM documents""")
+def deadline_per_document(spark, d):
+    """Texts measured in supervised processes: every thousandth hangs and gets a timeout, another one crashes, the others get their results."""
+    body = F.concat_ws(" ", F.col("doc_id").cast("string"), "text").cast("binary")
+    rows = _table(spark, d, "documents").select("doc_id", body.alias("body"))
+    return with_deadline(rows, _measured, "body", "size long, words long", deadline_s=3)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from textmill.functions import records as R
 from textmill.functions import text as T
 from textmill.functions.plain import page_bounds, page_count
+from textmill.functions.supervised import with_deadline
 from textmill.operators import ingest, learning, mutations, search, stats
 from textmill.operators import predicates as P
 from textmill.schemas import LANGUAGE_NAMES, TOPIC_LABELS, TYPE_LABELS
@@ -46,12 +47,19 @@ def scraped(documents: DataFrame, new: DataFrame, crawl_id: str) -> DataFrame:
     return mutations.upsert(base.select(*documents.columns), new.dropDuplicates(["id"]))
 
 
-def extract(documents: DataFrame, objects: DataFrame, now: Column, batch: int = 1_000_000, keep: Callable[[DataFrame], DataFrame] = written) -> tuple[DataFrame, DataFrame]:
-    """(documents with measures, texts) of the oldest documents that wait for extraction. objects: (id, content)."""
+def extract(
+    documents: DataFrame, objects: DataFrame, now: Column, batch: int = 1_000_000, keep: Callable[[DataFrame], DataFrame] = written,
+    parse: Callable = R.docx_parts, deadline_s: float = 30,
+) -> tuple[DataFrame, DataFrame]:
+    """(documents with measures, texts) of the oldest documents that wait for extraction. objects: (id, content).
+
+    Documents are parsed in supervised processes: one that takes longer than
+    deadline_s gets an error and costs the others nothing.
+    """
     work = search.work_queue(documents, P.extract_selectable(), "uploaded_at", batch).select("id")
-    rows = work.join(objects, "id", "left").withColumn("x", R.extracted("content"))
-    whole = F.concat_ws("\n\n", F.nullif(F.col("x.text"), F.lit("")), F.nullif(T.table_text("x.tables"), F.lit("")))
-    texts = rows.select("id", F.when(F.col("x.error").isNull(), whole).alias("text"), F.size("x.tables").alias("tables"), "x.image_count", "x.error")
+    rows = with_deadline(work.join(objects.select("id", "content"), "id", "left"), parse, "content", R.DOCX_PARTS, deadline_s)
+    whole = F.concat_ws("\n\n", F.nullif("text", F.lit("")), F.nullif(T.table_text("tables"), F.lit("")))
+    texts = rows.select("id", F.when(F.col("error").isNull(), whole).alias("text"), F.size("tables").alias("tables"), "image_count", "error")
     texts = keep(texts)
     named = texts.withColumn("l", R.language("text"))
     done = named.select(
