@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 
 from textmill.functions import records as R
 from textmill.functions.supervised import with_deadline
+from textmill.operators import mutations
 from textmill.operators.neighbours import VectorIndex, recall
 from textmill.plans.corpus import documents, oracle
 from textmill.plans.queries import _table, query
 from textmill.plans.source_queries import _folder
 from textmill.sources import store
+from textmill.sources.clustered import ClusteredTable
 from textmill.sources.record_source import read_archive, stream_archive
 from textmill.streaming.ingest import appending_sink, run_available
+from textmill.streaming.seen import clustered_sink, once_within, rocksdb_state
 
 # ---- nearest neighbours -----------------------------------------------------------------------------------------
 
@@ -117,3 +120,36 @@ def deadline_per_document(spark, d):
     body = F.concat_ws(" ", F.col("doc_id").cast("string"), "text").cast("binary")
     rows = _table(spark, d, "documents").select("doc_id", body.alias("body"))
     return with_deadline(rows, _measured, "body", "size long, words long", deadline_s=3)
+
+
+# ---- clustered tables and bounded state -------------------------------------------------------------------------
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 100 = 0 THEN -1 ELSE n_chars END AS n_chars, CASE WHEN doc_id % 100 = 1 THEN 'x' ELSE lang END AS lang FROM documents WHERE doc_id % 100 <> 2
+  UNION ALL SELECT -1 - doc_id, n_chars, 'new' FROM documents WHERE doc_id % 100 = 3""")
+def clustered_changes(spark, d):
+    """A clustered table after an upsert, an update, a deletion and an insertion, each of a hundredth of the keys."""
+    docs = _table(spark, d, "documents").select("doc_id", "n_chars", "lang")
+    table = ClusteredTable.create(docs, f"{_folder(spark, 'clustered')}/t", "doc_id", shards=16)
+    part = lambda k: docs.where(F.col("doc_id") % 100 == k)
+    table.merge(part(0).withColumn("n_chars", F.lit(-1).cast("long")), lambda old, new: mutations.upsert(old, new, "doc_id"))
+    table.merge(part(1).withColumn("lang", F.lit("x")), lambda old, new: mutations.update(old, new, "doc_id"))
+    table.merge(part(2).select("doc_id"), lambda old, new: mutations.delete(old, new, "doc_id"))
+    fresh = part(3).select((-1 - F.col("doc_id")).alias("doc_id"), "n_chars", F.lit("new").alias("lang"))
+    table.merge(fresh.union(part(4)), lambda old, new: mutations.insert_ignore(old, new, "doc_id"))
+    return table.read()
+
+
+@query("SELECT DISTINCT event_id, user_id FROM events")
+def stream_seen_bounded(spark, d):
+    """Events that are delivered twice, in two runs, by a stream that forgets keys after forty days; into a clustered table."""
+    out = _folder(spark, "seen")
+    events = _table(spark, d, "events").select("event_id", "user_id", "ts")
+    cut = events.agg(F.max("ts") - F.expr("INTERVAL 20 DAYS")).first()[0]
+    for late in (False, True):
+        # The second run brings the later events and all the earlier ones again.
+        (events if late else events.where(F.col("ts") < F.lit(cut))).write.mode("append").json(f"{out}/in")
+        stream = spark.readStream.schema("event_id long, user_id long, ts timestamp").option("maxFilesPerTrigger", 8).json(f"{out}/in")
+        with rocksdb_state(spark):
+            run_available(once_within(stream, "event_id", "ts", "40 days"), clustered_sink(f"{out}/table", "event_id", 8), f"{out}/checkpoint")
+    return ClusteredTable(spark, f"{out}/table").read().select("event_id", "user_id")
