@@ -135,7 +135,7 @@ def test_state_stays_flat_and_late_repeats_are_defined(spark, tmp_path):
             put(tmp_path / "in", hour, rows)
         query = run(spark, tmp_path, clustered_sink(str(tmp_path / "out"), "url", 8))
         sizes += [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["numInputRows"]]
-    assert len(sizes) == 24 and max(sizes[8:]) <= (2 * 3 + 2) * 50 and sizes[-1] <= max(sizes[8:12])
+    assert len(sizes) == 24 and max(sizes) <= (2 * 3 + 3) * 50 and sizes[-1] <= max(sizes[8:12]) + 50  # one more batch after a restart
     out = ClusteredTable(spark, str(tmp_path / "out")).read()
     assert out.count() == out.select("url").distinct().count() == 24 * 50
 
