@@ -67,7 +67,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         for crawl in crawls:
             documents = _documents(spark, root)
             records = archive.read_records(spark, f"{root}/filtered/crawl_id={crawl}")
-            new, objects = jobs.scrape(records, documents, crawl, archive.local_range(a.archive), now, a.force, a.retry_failed, a.rps)
+            new, objects = jobs.scrape(records, documents, crawl, archive.fetcher(a.archive), now, a.force, a.retry_failed, a.rps)
             store.write_absent_objects(objects, f"{root}/objects")
             store.replace_table(jobs.scraped(documents, new, crawl), f"{root}/documents")
     elif a.command == "extract":

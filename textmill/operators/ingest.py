@@ -19,15 +19,15 @@ from textmill.operators import predicates as P
 DOCX_MIME = "application/vnd.openxmlformats-officedocument.wordprocessingml.document"
 
 
-def index_records(lines: DataFrame, mime: str = DOCX_MIME, column: str = "value") -> DataFrame:
-    """The JSON parts of index lines that name the media type and have status '200'; others are dropped.
+def index_records(lines: DataFrame, mime: str = DOCX_MIME, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """The JSON parts (and the columns to keep) of index lines that name the media type and have status '200'; others are dropped.
 
     The cheap substring test stands first and stays there: only its survivors are parsed.
     """
     x = F.col(column)
     at = F.locate("{", x)
     json = F.substring(x, at, F.length(x))
-    return lines.where(x.contains(mime)).where(at > 0).where(F.get_json_object(json, "$.status") == "200").select(json.alias(column))
+    return lines.where(x.contains(mime)).where(at > 0).where(F.get_json_object(json, "$.status") == "200").select(json.alias(column), *keep)
 
 
 def pointers(records: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.text import domain
 from textmill.operators import predicates as P
+from textmill.sources.store import written
 
 
 def random_key(id_col: str = "id", seed: int = 42) -> Column:
@@ -62,16 +63,36 @@ def counted_places(rows: DataFrame, by: str, value: str) -> DataFrame:
     return counts.withColumn("_before", before).withColumn("_of", F.sum("_n").over(group))
 
 
+def numbered(rows: DataFrame, by: list[str], digits: Column, order: list[Column | str], name: str) -> DataFrame:
+    """rows with their places (from 1) in a group by digits and then order; digits are a beginning of the order.
+
+    Rows are counted by their digits, so that only those of one group and the same
+    digits are ever sorted together.
+    """
+    keyed = rows.withColumn("_group", F.struct(*by)).withColumn("_digits", digits)
+    counted = counted_places(keyed, "_group", "_digits").drop("_of")
+    joined = keyed.join(counted, keyed["_group"].eqNullSafe(F.col("_by")) & keyed["_digits"].eqNullSafe(F.col("_value")))
+    place = F.col("_before") + F.row_number().over(W.partitionBy("_by", "_value").orderBy(*order))
+    return joined.select(*rows.columns, place.alias(name))
+
+
 def round_robin(rows: DataFrame, groups: list[str], domain_col: str, n: Column, id_col: str = "id", seed: int = 42) -> DataFrame:
     """Of each group, n rows: one of every domain, then a second one, and so on.
 
-    A group's order is one task's; stratified() gives it pools of bounded size.
+    Neither a group nor a domain is sorted by one task, even if it has all rows: places
+    come from counts by the first digits of the random orders. Rows whose turn is over
+    n can't be among the first n and are dropped before the second order.
     """
-    turn = F.row_number().over(W.partitionBy(*groups, domain_col).orderBy(random_key(id_col, seed), id_col))
-    place = F.row_number().over(
-        W.partitionBy(*groups).orderBy("turn", F.md5(F.concat(F.col(domain_col), F.lit(f":{seed}"))), domain_col)
-    )
-    return rows.withColumn("turn", turn).withColumn("place", place).where(F.col("place") <= n)
+    key, of_domain = random_key(id_col, seed), F.md5(F.concat(F.col(domain_col), F.lit(f":{seed}")))
+    turns = numbered(rows, [*groups, domain_col], F.left(key, F.lit(4)), [key, id_col], "turn").where(F.col("turn") <= n)
+    within = numbered(turns, [*groups, "turn"], F.left(of_domain, F.lit(4)), [of_domain, domain_col], "_within")
+    # A row for each group and turn, so n at most of a group.
+    sizes = turns.groupBy(F.struct(*groups).alias("_g"), F.col("turn").alias("_turn")).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = F.coalesce(F.sum("_rows").over(W.partitionBy("_g").orderBy("_turn").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.withColumn("_earlier", earlier)
+    joined = within.join(sizes, F.struct(*groups).eqNullSafe(F.col("_g")) & (F.col("turn") == F.col("_turn")))
+    placed = joined.withColumn("place", F.col("_earlier") + F.col("_within"))
+    return placed.select(*rows.columns, F.col("turn").cast("int"), F.col("place").cast("int")).where(F.col("place") <= n)
 
 
 def candidates(documents: DataFrame, language: str, pool: int, seed: int = 42) -> DataFrame:
@@ -134,14 +155,13 @@ def split(rows: DataFrame, label: str, share: float = 0.15, id_col: str = "id",
 def id_chunks(rows: DataFrame, workers: int, id_col: str = "id") -> DataFrame:
     """rows with worker: slices of ceil(n / workers) in the order of ids.
 
-    Ids are dealt by ranges and numbered within each; the ranges' sizes, a row each,
-    give the rest of a place.
+    Ids are dealt by ranges and numbered within each, once, into a written table; the
+    ranges' sizes, a row each, give the rest of a place.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # A given number of ranges is kept as it is, so both uses see the same ones.
     ranged = rows.select(id_col).repartitionByRange(parts, id_col).sortWithinPartitions(id_col)
     own = F.monotonically_increasing_id()
-    placed = ranged.withColumn("_part", F.shiftright(own, 33)).withColumn("_at", own.bitwiseAND(F.lit((1 << 33) - 1)))
+    placed = written(ranged.withColumn("_part", F.shiftright(own, 33)).withColumn("_at", own.bitwiseAND(F.lit((1 << 33) - 1))))
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     sizes = sizes.withColumn("_before", before).withColumn("_of", F.sum("_n").over(W.partitionBy()))

@@ -8,12 +8,13 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.records import gunzip_or_raw, parse_warc
 from textmill.operators.ingest import DOCX_MIME, index_records, pointers
 from textmill.schemas import CDX
+from textmill.sources.store import ObjectStore
 
 
 def index_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -27,13 +28,36 @@ def index_paths(spark: SparkSession, path: str) -> DataFrame:
 
 
 def filter_index(spark: SparkSession, path: str, out: str, crawl_id: str, mime: str = DOCX_MIME) -> DataFrame:
-    """Write the matching records of index files as JSON lines under crawl_id=...; returns (file, n)."""
-    kept = index_lines(spark, path).select("file", "value")
-    kept = kept.where(F.col("value").contains(mime))
-    records = index_records(kept.select(F.col("value")), mime)
-    records.select(F.lit(crawl_id).alias("crawl_id"), "value").write.partitionBy("crawl_id").mode("append").text(out)
-    good = F.get_json_object(F.substring("value", F.locate("{", F.col("value")), F.length("value")), "$.status") == "200"
-    return kept.where((F.locate("{", F.col("value")) > 0) & good).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    """Write the matching records of index files as JSON lines, an output for each input; returns (file, lines, named, n).
+
+    The index is read once: lines, and those that name the media type, of the whole run
+    are observed while it is written, and n, the records of each file that has any, is counted in what was
+    written. Filtering a file again replaces its output.
+    """
+    seen = Observation()
+    good = F.col("value").contains(mime)
+    lines = index_lines(spark, path).observe(seen, F.count(F.lit(1)).alias("lines"), F.count(F.when(good, 1)).alias("named"))
+    records = index_records(lines, mime, keep=("file",))
+    name = F.regexp_replace(F.regexp_replace("file", r"^[a-z0-9]+:/+", ""), r"[^A-Za-z0-9._-]", "_")
+    rows = records.select("value", F.lit(crawl_id).alias("crawl_id"), name.alias("file"))
+    rows.write.partitionBy("crawl_id", "file").mode("overwrite").option("partitionOverwriteMode", "dynamic").text(out)
+    told = seen.get
+    n = index_names(spark, path).join(_kept_lines(spark, out, crawl_id), "file")
+    return n.select("file", F.lit(told["lines"]).alias("lines"), F.lit(told["named"]).alias("named"), "n")
+
+
+def index_names(spark: SparkSession, path: str) -> DataFrame:
+    """(file): the outputs' names of index files, by a listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    return files.select(F.regexp_replace(F.regexp_replace("path", r"^[a-z0-9]+:/+", ""), r"[^A-Za-z0-9._-]", "_").alias("file"))
+
+
+def _kept_lines(spark: SparkSession, out: str, crawl_id: str) -> DataFrame:
+    """(file, n) of a crawl's outputs."""
+    if not ObjectStore(spark, out).exists(f"crawl_id={crawl_id}"):
+        return spark.createDataFrame([], "file string, n long")
+    rows = spark.read.schema("value string, crawl_id string, file string").option("basePath", out).text(f"{out}/crawl_id={crawl_id}")
+    return rows.where(F.col("crawl_id") == crawl_id).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -186,6 +210,50 @@ def local_range(root: str) -> Callable[[str, int, int], bytes]:
     return fetch
 
 
+def address_range(root: str) -> Callable[[str, int, int], bytes]:
+    """A fetcher that reads ranges of files below any address that pyarrow has a file system for."""
+
+    def fetch(file: str, start: int, length: int) -> bytes:
+        from pyarrow import fs
+
+        files, folder = fs.FileSystem.from_uri(root.replace("s3a://", "s3://", 1))
+        try:
+            with files.open_input_file(f"{folder}/{file}") as f:
+                return f.read_at(length, start)
+        except FileNotFoundError:
+            raise FetchError(404) from None
+        except OSError as e:
+            raise FetchError(None, str(e)) from None
+
+    return fetch
+
+
+def http_range(base: str, timeout_s: float = 45) -> Callable[[str, int, int], bytes]:
+    """A fetcher that asks a web server for ranges of files; a whole file for an answer is cut."""
+
+    def fetch(file: str, start: int, length: int) -> bytes:
+        import urllib.error
+        import urllib.request
+
+        asked = urllib.request.Request(f"{base.rstrip('/')}/{file}", headers={"Range": f"bytes={start}-{start + length - 1}"})
+        try:
+            with urllib.request.urlopen(asked, timeout=timeout_s) as answer:
+                return answer.read() if answer.status == 206 else answer.read()[start : start + length]
+        except urllib.error.HTTPError as e:
+            raise FetchError(e.code) from None
+        except OSError as e:  # timeouts and connections that fail
+            raise FetchError(None, str(e)) from None
+
+    return fetch
+
+
+def fetcher(address: str) -> Callable[[str, int, int], bytes]:
+    """The fetcher for an address: a web server, a store, or a folder that all executors see."""
+    if address.startswith(("http://", "https://")):
+        return http_range(address)
+    return address_range(address) if "://" in address else local_range(address)
+
+
 def fetch_records(records: DataFrame, fetch: Callable[[str, int, int], bytes], rps: float = 5.0, partitions: int | None = None, tries: int = 5) -> DataFrame:
     """(url, position, content, http_status, content_type, error) of records; position rises in their order.
 

@@ -169,6 +169,33 @@ def texts_of(ids: DataFrame, texts: DataFrame, most: int = 2000) -> DataFrame:
     return ids.select("id").join(texts.select("id", "text"), "id", "left").select("id", F.left(F.coalesce("text", F.lit("")), F.lit(most)).alias("text"))
 
 
+def write_ranged(rows: DataFrame, path: str, key: str = "id", files: int = 64, row_group_mb: int = 16) -> None:
+    """A table in the order of a key: each file a range of it, and each row group a narrow one, as its statistics say."""
+    ranged = rows.repartitionByRange(files, key).sortWithinPartitions(key)
+    ranged.write.mode("overwrite").option("parquet.block.size", row_group_mb << 20).parquet(path)
+
+
+def key_range(spark: SparkSession, path: str, start: str | None, end: str | None, key: str = "id") -> DataFrame:
+    """The rows of a ranged table with start <= key < end (None: open); files and row groups outside aren't decoded."""
+    rows = spark.read.parquet(path)
+    rows = rows if start is None else rows.where(F.col(key) >= start)
+    return rows if end is None else rows.where(F.col(key) < end)
+
+
+def range_borders(spark: SparkSession, path: str, workers: int, key: str = "id") -> list[tuple]:
+    """(start, end) of workers' ranges of a ranged table, about equal in rows: quantiles by the files' numbers of rows and least keys."""
+    sizes = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("least"))
+    files = sorted((r["least"], r["n"]) for r in sizes.collect() if r["least"] is not None)  # a row a file
+    total, starts, before = sum(n for _, n in files), [], 0
+    for least, n in files:
+        if len(starts) < workers and before >= len(starts) * total / workers:
+            starts.append(least)
+        before += n
+    if not starts:
+        return [(None, None)]
+    return list(zip([None, *starts[1:]], [*starts[1:], None], strict=True))
+
+
 def write_export(rows: DataFrame, path: str) -> None:
     """One zstd Parquet file, in the order of ids."""
     rows.repartition(1).sortWithinPartitions("id").write.mode("overwrite").option("compression", "zstd").parquet(path)
