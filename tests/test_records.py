@@ -94,17 +94,22 @@ def docx(comment=b""):
     return out.getvalue()
 
 
-def test_zip_tail():
-    base = docx()
-    assert R.trim_zip_tail(base) == ("already-clean", None)
-    assert R.trim_zip_tail(base + b"\r\n\r\n") == ("trimmed", base)
-    assert R.trim_zip_tail(base + b"junkjunk")[0] == "skipped-excess-differs"
-    assert R.trim_zip_tail(base + b"\r\n\r")[0] == "skipped-excess-differs"
-    assert R.trim_zip_tail(b"plain text, no archive at all here")[0] == "skipped-non-zip"
-    assert R.trim_zip_tail(docx(b"comment"))[0] == "already-clean"
-    assert R.trim_zip_tail(b"PK\x03\x04" + b"x" * 40)[0] == "skipped-no-eocd"
+def test_zip_tail(spark):
+    base, tail = docx(), b"\r\n\r\n"
     at = base.index(b"Hello")
-    assert R.trim_zip_tail(base[:at] + b"Jello" + base[at + 5 :] + b"\r\n\r\n")[0] == "skipped-testzip-failed"
+    cases = [
+        (base, "already-clean", None), (base + tail, "trimmed", base), (base + b"junkjunk", "skipped-excess-differs", None),
+        (base + b"\r\n\r", "skipped-excess-differs", None), (base + tail + b"x", "skipped-excess-differs", None),
+        (b"plain text, no archive at all here", "skipped-non-zip", None), (docx(b"comment"), "already-clean", None), (docx(b"comment") + tail, "trimmed", docx(b"comment")),
+        (docx(b"PK\x05\x06 in a comment that is long enough to hold a record") + tail, "skipped-no-eocd", None),
+        (b"PK\x03\x04" + b"x" * 40, "skipped-no-eocd", None), (base[:-10], "skipped-no-eocd", None), (base[:-2] + b"\xff\xff", "skipped-no-eocd", None),
+        (base[:at] + b"Jello" + base[at + 5 :] + tail, "skipped-testzip-failed", None), (b"PK\x03\x04", "skipped-non-zip", None), (b"", "skipped-non-zip", None), (None, None, None),
+        (base + b"y" * 70_000, "skipped-no-eocd", None), (docx(b"c" * 65_535) + tail, "skipped-no-eocd", None), (docx(b"c" * 65_531) + tail, "trimmed", docx(b"c" * 65_531)),
+    ]
+    rows = spark.createDataFrame([(i, x and bytearray(x) if x is not None else None) for i, (x, _, _) in enumerate(cases)], "i int, x binary")
+    for r in rows.select("i", R.repaired("x").alias("r")).collect():
+        _, status, candidate = cases[r.i]
+        assert (r.r.status, r.r.candidate and bytes(r.r.candidate)) == (status, candidate), (r.i, status)
 
 
 def test_extraction(spark):
