@@ -5,17 +5,20 @@ from __future__ import annotations
 import hashlib
 import time
 from collections import Counter
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from textmill.functions.text import chunks, model_name, parse_answer
 from textmill.functions.vectors import document_vectors
 from textmill.sources.archive import DelayLimiter, retry_delay
+from textmill.sources.store import written
 
 
 def label_map(spark: SparkSession, ids: tuple[str, ...]) -> DataFrame:
@@ -77,22 +80,74 @@ def scores(predicted: DataFrame, label: str = "label", prediction: str = "predic
     )
 
 
-def train_classifier(rows: DataFrame, weights: DataFrame, label_col: str, features: int = 1 << 16):
-    """A text classifier: hashed words and pairs, weighted logistic regression. rows: text, index, the label."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
+def _features(features: int) -> list:
+    """Stages from text to hashed words and pairs."""
     from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer, VectorAssembler
 
-    weighted = rows.join(F.broadcast(weights.select(F.col("label").alias(label_col), "weight")), label_col)
-    stages = [
+    return [
         RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\s+"),
         NGram(n=2, inputCol="words", outputCol="pairs"),
         HashingTF(inputCol="words", outputCol="one", numFeatures=features),
         HashingTF(inputCol="pairs", outputCol="two", numFeatures=features),
         VectorAssembler(inputCols=["one", "two"], outputCol="features"),
-        LogisticRegression(labelCol="index", weightCol="weight", maxIter=20, regParam=0.01, family="multinomial"),
     ]
-    return Pipeline(stages=stages).fit(weighted.withColumn("index", F.col("index").cast("double")))
+
+
+def _regression(rounds: int):
+    from pyspark.ml.classification import LogisticRegression
+
+    return LogisticRegression(labelCol="index", weightCol="weight", maxIter=rounds, regParam=0.01, family="multinomial")
+
+
+def _weighted(rows: DataFrame, weights: DataFrame, label_col: str) -> DataFrame:
+    weighted = rows.join(F.broadcast(weights.select(F.col("label").alias(label_col), "weight")), label_col)
+    return weighted.withColumn("index", F.col("index").cast("double"))
+
+
+def train_classifier(rows: DataFrame, weights: DataFrame, label_col: str, features: int = 1 << 16):
+    """A text classifier: hashed words and pairs, weighted logistic regression. rows: text, index, the label."""
+    from pyspark.ml import Pipeline
+
+    return Pipeline(stages=[*_features(features), _regression(20)]).fit(_weighted(rows, weights, label_col))
+
+
+def best_of(rounds: Sequence[int], fit: Callable[[int], object], score: Callable[[object], float], patience: int = 2) -> tuple[object, list[tuple[int, float]]]:
+    """The model with the best score, the earliest of equals, and (round, score) of all that were tried.
+
+    Fitting stops when the score hasn't risen for patience rounds in a row.
+    """
+    best, top, history, worse = None, float("-inf"), [], 0
+    for k in rounds:
+        model = fit(k)
+        history.append((k, score(model)))
+        if history[-1][1] > top:
+            best, top, worse = model, history[-1][1], 0
+        else:
+            worse += 1
+            if worse >= patience:
+                break
+    return best, history
+
+
+def train_early_stopping(
+    train: DataFrame, valid: DataFrame, weights: DataFrame, label_col: str, features: int = 1 << 16,
+    rounds: Sequence[int] = (1, 2, 4, 8, 16, 32, 64), patience: int = 2,
+):
+    """(model, history): train_classifier after the number of optimiser rounds that is best by macro F1 on the validation rows.
+
+    Rounds double, so all fits together take twice the last one's; texts are turned to
+    features once, into a written table.
+    """
+    from pyspark.ml import Pipeline, PipelineModel
+
+    stages = Pipeline(stages=_features(features)).fit(train)
+    kept = ["features", "index", "weight"]
+    known = written(stages.transform(_weighted(train, weights, label_col)).select(*kept))
+    held = written(stages.transform(_weighted(valid, weights, label_col)).select(*kept))
+    model, history = best_of(
+        rounds, lambda k: _regression(k).fit(known), lambda m: scores(m.transform(held), "index").first()["macro_f1"] or 0.0, patience
+    )
+    return PipelineModel([*stages.stages, model]), history
 
 
 def classify(rows: DataFrame, by_type, by_topic, types: tuple[str, ...], topics: tuple[str, ...], version: str = "v1") -> DataFrame:
@@ -160,6 +215,56 @@ def patient(
     return run
 
 
+def label_at_rate(
+    rows: DataFrame, labeller: Callable[[list[str]], list[str]] = stub_labeller, per_minute: float = 50, parallel: int = 5, batch: int = 1,
+    least_delay_s: float = 1.5, model: str = "stub", clock: Callable[[], float] = time.time, sleep: Callable[[float], None] = time.sleep,
+) -> DataFrame:
+    """label() with one rate for the whole job: at most per_minute calls in any minute, parallel of them at once.
+
+    The tasks run together, as a barrier stage, so each knows how many share the rate
+    and which of their turns is its own: calls are dealt to points in time, a turn
+    after the other, and a task makes its next call at its next free turn. A task that
+    is tried again waits for its turns, too. Needs as many free slots as parallel.
+    """
+    turn = 60 / per_minute
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        context = BarrierTaskContext.get()
+        tasks, own = len(context.getTaskInfos()), context.partitionId()
+        # Turns are counted from one moment for all, whatever the tasks' own clocks have passed since.
+        begin = float(max(context.allGather(repr(clock()))))
+        last = -1
+        for frame in batches:
+            answers: list[str] = []
+            for i in range(0, len(frame), batch):
+                now = max(0.0, clock() - begin, (last * turn + least_delay_s) if last >= 0 else 0.0)
+                at = own + tasks * max(0, -int(-(now / turn - own) // tasks))  # own, own + tasks, ...
+                at = at if at > last else last + tasks
+                sleep(max(0.0, begin + at * turn - clock()))
+                last = at
+                answers += labeller(frame["prompt"].iloc[i : i + batch].tolist())
+            yield pd.DataFrame({"id": frame["id"], "answer": answers})
+
+    said = rows.select("id", "prompt").repartition(parallel).mapInPandas(run, "id string, answer string", barrier=True)
+    return said.select("id", parse_answer("answer").alias("a"), F.lit(model).alias("model")).select("id", "a.*", "model")
+
+
+def label_stream(
+    rows: DataFrame, path: str, checkpoint: str, labeller: Callable[[list[str]], list[str]] = stub_labeller, **rate
+) -> StreamingQuery:
+    """Label a stream of rows (id, prompt) at one rate for the job; each micro-batch's results are kept when it ends.
+
+    A batch that is tried again replaces its own results, so what was paid for before isn't asked again.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        label_at_rate(batch, labeller, **rate).write.mode("overwrite").json(f"{path}/batch={number}")
+
+    query = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 def label(rows: DataFrame, labeller: Callable[[list[str]], list[str]] = stub_labeller, batch: int = 50, model: str = "stub") -> DataFrame:
     """rows (id, prompt) with the labeller's parsed answers. The labeller runs on executors, one batch at a time."""
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions import records as R
 from textmill.functions.supervised import with_deadline
-from textmill.operators import mutations
+from textmill.operators import language_model, learning, mutations
 from textmill.operators.neighbours import VectorIndex, recall
 from textmill.plans.corpus import documents, oracle
 from textmill.plans.queries import _table, query
@@ -153,3 +153,33 @@ def stream_seen_bounded(spark, d):
         with rocksdb_state(spark):
             run_available(once_within(stream, "event_id", "ts", "40 days"), clustered_sink(f"{out}/table", "event_id", 8), f"{out}/checkpoint")
     return ClusteredTable(spark, f"{out}/table").read().select("event_id", "user_id")
+
+
+# ---- trained models ---------------------------------------------------------------------------------------------
+
+
+@query("""SELECT count(*) AS documents, count(*) FILTER (length(text) < 50) AS short, true AS reached FROM documents WHERE lang IS NOT NULL AND doc_id % 5 = 0""")
+def trained_language_detection(spark, d):
+    """Whether nine tenths of a fifth of the documents get their language from trigrams of the others; short ones are unknown."""
+    docs = _table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("language")).where("language IS NOT NULL")
+    model = language_model.train(docs.where("id % 5 <> 0"))
+    held = docs.where("id % 5 = 0")
+    told = model.detect(held).withColumnRenamed("language", "told").join(held, "id")
+    right = F.avg(F.when(F.length("text") >= 50, (F.col("told") == F.col("language")).cast("int")))
+    short = F.count(F.when((F.length("text") < 50) & (F.col("told") == "unknown"), 1))
+    return told.agg(F.count(F.lit(1)).alias("documents"), short.alias("short"), (right >= 0.9).alias("reached"))
+
+
+@query("SELECT count(*) AS held_out, true AS reached, true AS stopped FROM labels l JOIN documents d ON d.doc_id = l.doc_id WHERE quality IS NOT NULL AND text <> '' AND l.doc_id % 5 = 0")
+def early_stopping(spark, d):
+    """A classifier of quality whose rounds are chosen by macro F1 on a validation part; whether it reaches 0.8 and the best round is kept."""
+    labels = _table(spark, d, "labels").where("quality IS NOT NULL").select("doc_id", F.when(F.col("quality") == 1, "good").otherwise("bad").alias("label"))
+    rows = labels.join(_table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    names = learning.label_map(spark, ("bad", "good"))
+    rows = store.written(learning.training_rows(rows, names, "label"))
+    train, valid = rows.where("doc_id % 5 <> 0"), rows.where("doc_id % 5 = 0")
+    weights = learning.class_weights(train, names, "label")
+    model, history = learning.train_early_stopping(train, valid, weights, "label", 1 << 12, rounds=(1, 4, 16))
+    told = learning.scores(model.transform(valid), "index").first()["macro_f1"]
+    best = max(f1 for _, f1 in history)
+    return valid.agg(F.count(F.lit(1)).alias("held_out"), F.lit(told >= 0.8).alias("reached"), F.lit(abs(told - best) < 1e-9).alias("stopped"))
