@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from textmill.functions import records as R
 from textmill.functions import text as T
 from textmill.operators import predicates as P
+from textmill.sources.store import written
 
 #: Fixed value: the media type that the index is filtered by.
 DOCX_MIME = "application/vnd.openxmlformats-officedocument.wordprocessingml.document"
@@ -61,12 +62,12 @@ def cross_crawl_duplicates(records: DataFrame, documents: DataFrame, crawl_id: s
     )
 
 
-def identified(fetched: DataFrame, documents: DataFrame, crawl_id: str, now: Column) -> DataFrame:
-    """Document rows of fetched records (url, content, error, position).
+def identified(fetched: DataFrame, documents: DataFrame, crawl_id: str, now: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Document rows of fetched records (url, content, error, position), and columns of these to keep.
 
     A fetch error gives a failed row named by its URL, invalid content one named by
     its hash; content that another URL has, in the table or earlier in the batch,
-    gives a duplicate; the rest is stored.
+    gives a duplicate; the rest is stored. Positions are unique.
     """
     # Narrow before anything is shuffled; what failed has no hash, and its URL for a key instead.
     rows = fetched.select(
@@ -74,15 +75,17 @@ def identified(fetched: DataFrame, documents: DataFrame, crawl_id: str, now: Col
         R.validate_docx("content").alias("check"), T.content_id("content").alias("hash"), F.octet_length("content").cast("bigint").alias("size"),
     )
     owners = documents.where(P.is_status("uploaded")).select(F.col("id").alias("hash"), F.col("source_url").alias("owner")).dropDuplicates(["hash"])
-    rows = rows.join(owners, "hash", "left")
-    of_content = W.partitionBy(F.coalesce("hash", "url")).orderBy("position", "url")
-    order = F.row_number().over(of_content)
-    first_url = F.first("url").over(of_content)
-    rows = rows.withColumn("_order", order).withColumn("_owner", F.coalesce("owner", first_url))
+    # Without the contents, written: they are read for their hashes once. A content that a third of
+    # all rows have is a row a task before it is shuffled, and its rows' join can be split.
+    rows = written(rows.withColumn("_key", F.coalesce("hash", "url")))
+    firsts = rows.groupBy("_key").agg(F.min(F.struct("position", "url")).alias("_first"))
+    rows = rows.join(owners.hint("merge"), "hash", "left").join(firsts.hint("merge"), "_key")
+    rows = rows.withColumn("_owner", F.coalesce("owner", F.col("_first.url")))
     failed, invalid = F.col("error").isNotNull(), ~F.col("check.is_valid")
-    duplicate = (F.col("_owner") != F.col("url")) | (F.col("_order") > 1)
+    duplicate = (F.col("_owner") != F.col("url")) | ~F.col("position").eqNullSafe(F.col("_first.position"))
     status = F.when(failed | invalid, "failed").when(duplicate, "duplicate").otherwise("uploaded")
     return rows.select(
+        *keep,
         F.when(failed, T.failed_id("url"))
         .when(invalid, F.col("hash"))
         .when(duplicate, T.duplicate_id("url", F.lit(crawl_id)))

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from textmill.functions import records as R
 from textmill.functions import text as T
-from textmill.operators import ingest, learning, sampling, search, stats
-from textmill.plans.corpus import documents, oracle
+from textmill.operators import ingest, learning, predicates, sampling, search, stats
+from textmill.plans import jobs
+from textmill.plans.corpus import corrections, documents, oracle
 from textmill.plans.queries import _CHUNKS, _POOL, BASE_URL, _index_lines, _table, query
-from textmill.schemas import LANGUAGE_NAMES, TOPIC_LABELS, TYPE_LABELS
 from textmill.sources import archive, store
 
 
@@ -103,15 +103,19 @@ def label_lines(spark, d):
     return last.select("id", F.col("word_count").cast("long").alias("position"), "document_type")
 
 
-@query(f"""SELECT 'type' AS dimension, unnest(range({len(TYPE_LABELS)}))::int AS position, unnest([{', '.join(map(repr, TYPE_LABELS))}]) AS id, unnest([{', '.join(map(repr, TYPE_LABELS.values()))}]) AS label
-  UNION ALL SELECT 'topic', unnest(range({len(TOPIC_LABELS)}))::int, unnest([{', '.join(map(repr, TOPIC_LABELS))}]), unnest([{', '.join(map(repr, TOPIC_LABELS.values()))}])""")
+@query("""SELECT 'type' AS dimension, row_number() OVER (ORDER BY source)::int - 1 AS position, source AS id, concat('Source ', source) AS label FROM (SELECT DISTINCT source FROM documents)
+  UNION ALL SELECT 'topic', row_number() OVER (ORDER BY lang)::int - 1, lang, concat('Language ', lang) FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL)""")
 def taxonomy_file(spark, d):
-    """A taxonomy written as one JSON file over several lines, and read as rows."""
-    import json
-
+    """A taxonomy of the documents' sources and languages, written as one JSON file, and read as rows."""
     out = _folder(spark, "taxonomy")
-    parts = {k: [{"id": i, "label": x, "description": x} for i, x in labels.items()] for k, labels in (("document_types", TYPE_LABELS), ("topics", TOPIC_LABELS))}
-    spark.createDataFrame([(json.dumps({"name": "t", "version": "1", **parts}, indent=1),)], "value string").coalesce(1).write.text(out)
+    docs = _table(spark, d, "documents")
+
+    def entries(column: str, title: str):  # as many as there are sources or languages
+        entry = F.struct(F.col(column).alias("id"), F.concat(F.lit(title), column).alias("label"), F.col(column).alias("description"))
+        return docs.where(F.col(column).isNotNull()).select(column).distinct().agg(F.array_sort(F.collect_list(entry)).alias("x"))
+
+    whole = entries("source", "Source ").select(F.col("x").alias("document_types")).crossJoin(entries("lang", "Language ").select(F.col("x").alias("topics")))  # one row each
+    whole.select(F.to_json(F.struct(F.lit("t").alias("name"), F.lit("1").alias("version"), "document_types", "topics")).alias("value")).coalesce(1).write.text(out)
     return store.read_taxonomy(spark, out).select("dimension", "position", "id", "label")
 
 
@@ -231,3 +235,94 @@ def hash_embedding_values(spark, d):
     rows = _table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text").where("text <> ''")
     each = learning.embed(rows).select(F.col("id").alias("doc_id"), F.posexplode("vector").alias("position", "x"))
     return each.where("abs(x) > 0.002").select("doc_id", F.col("position").cast("long").alias("position"), (F.round("x", 3) + F.lit(0.0)).alias("x"))
+
+
+# ---- jobs' parts ------------------------------------------------------------------------------------------------
+
+
+@query(oracle(f"""SELECT id, CASE WHEN coalesce(original_filename, '') = '' THEN 'unknown.docx' ELSE original_filename END AS filename, document_type AS type, document_topic AS topic, language,
+  word_count, classification_confidence::FLOAT AS confidence, concat('{BASE_URL}', id, '.docx') AS url FROM corpus WHERE document_type IS NOT NULL"""))
+def export_file(spark, d):
+    """The export written as one zstd file in the order of ids, and read back."""
+    out = _folder(spark, "export")
+    store.write_export(search.export_rows(documents(spark, d), BASE_URL), out)
+    return spark.read.parquet(out)
+
+
+@query(oracle("SELECT id, doc_id AS word_count, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE (doc_id % 10)::DOUBLE / 10 END AS confidence FROM (SELECT id, min(doc_id) AS doc_id FROM corpus GROUP BY id) WHERE CASE WHEN doc_id % 4 = 0 THEN 0 ELSE (doc_id % 10)::DOUBLE / 10 END >= 0.5"))
+def confident_label_lines(spark, d):
+    """Label lines of at least a confidence; none counts as 0."""
+    out = _folder(spark, "labels")
+    rows = documents(spark, d).groupBy("id").agg(F.min("doc_id").alias("n"))
+    confidence = F.when(F.col("n") % 4 != 0, (F.col("n") % 10) / 10)
+    store.append_json_lines(rows.select("id", F.col("n").cast("int").alias("word_count"), confidence.alias("confidence")), out)
+    kept = predicates.confident_labels(store.read_json_lines(spark, out), 0.5)
+    return kept.select("id", F.col("word_count").cast("long").alias("word_count"), "confidence")
+
+
+@query(oracle("SELECT id, count(*) AS n FROM (SELECT DISTINCT id FROM corpus) GROUP BY id"))
+def resumed_labelling(spark, d):
+    """Labelling in two runs: the second one leaves out what the first has written, so every id is labelled once."""
+    out = _folder(spark, "resumed")
+    rows = documents(spark, d).select("id", "doc_id").dropDuplicates(["id"]).select("id", F.lit("p").alias("prompt"), "doc_id")
+    for part in (rows.where("doc_id % 3 = 0"), rows):
+        done = store.read_json_lines(spark, out).select("id") if store.ObjectStore(spark, out).exists("") else rows.select("id").limit(0)
+        store.append_json_lines(learning.label(store.written(part.join(done, "id", "left_anti"))), out)
+    return store.read_json_lines(spark, out).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+
+
+_DOCX_HEAD = "PK\x03\x04[Content_Types].xml word/document" + "-" * 80
+_FETCHED = f"""fetched AS (SELECT doc_id AS position, concat('u', doc_id % 400) AS url, CASE WHEN doc_id % 10 = 0 THEN 'HTTP 404' END AS error,
+    CASE WHEN doc_id % 10 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN text ELSE concat(chr(80), chr(75), chr(3), chr(4), '{_DOCX_HEAD[4:]}', text) END AS content FROM documents),
+  hashed AS (SELECT *, sha256(content) AS hash, octet_length(encode(content)) AS size, position % 10 <> 0 AND position % 7 = 0 AS invalid FROM fetched),
+  owners AS (SELECT hash, min(url) AS owner FROM (SELECT hash, concat('old', position) AS url FROM hashed WHERE position % 13 = 0 AND hash IS NOT NULL) GROUP BY hash),
+  told AS (SELECT h.*, coalesce(o.owner, first_value(url) OVER w) AS owner, row_number() OVER w AS k FROM hashed h LEFT JOIN owners o ON o.hash = h.hash
+    WINDOW w AS (PARTITION BY coalesce(h.hash, h.url) ORDER BY position))"""
+
+
+@query(f"""WITH {_FETCHED} SELECT position, CASE WHEN error IS NOT NULL THEN concat('failed-', sha256(url)) WHEN invalid OR (owner = url AND k = 1) THEN hash ELSE concat('dup-', sha256(concat(url, 'C9'))) END AS id,
+  CASE WHEN error IS NOT NULL OR invalid THEN 'failed' WHEN owner = url AND k = 1 THEN 'uploaded' ELSE 'duplicate' END AS status,
+  CASE WHEN error IS NOT NULL THEN error WHEN invalid AND size < 100 THEN concat('File too small: ', size, ' bytes') WHEN invalid THEN 'Invalid ZIP: wrong magic bytes'
+    WHEN NOT (owner = url AND k = 1) THEN concat('duplicate content of ', hash) END AS error_message FROM told""")
+def identified_documents(spark, d):
+    """Rows of fetched records: failed, invalid, duplicates of the table's or of the batch's own, and new ones."""
+    k = F.col("doc_id")
+    whole = F.concat(F.lit(_DOCX_HEAD), "text")
+    content = F.when(k % 10 == 0, None).when(k % 7 == 0, F.col("text")).otherwise(whole).cast("binary")
+    rows = _table(spark, d, "documents").select(
+        F.concat(F.lit("u"), (k % 400).cast("string")).alias("url"), k.alias("position"), F.when(k % 10 == 0, "HTTP 404").alias("error"), content.alias("content")
+    )
+    old = rows.where("position % 13 = 0 and content is not null").groupBy(T.content_id("content").alias("id"))
+    old = old.agg(F.min(F.concat(F.lit("old"), F.col("position").cast("string"))).alias("source_url")).withColumn("status", F.lit("uploaded"))
+    found = ingest.identified(rows, old, "C9", F.current_timestamp(), keep=("position",))
+    return found.select("position", "id", "status", "error_message")
+
+
+@query("""WITH f AS (SELECT doc_id, sha256(concat('raw', doc_id)) AS raw_id, doc_id % 3 AS kind FROM documents)
+  SELECT raw_id, CASE kind WHEN 0 THEN 'skipped' WHEN 1 THEN 'skipped' ELSE 'error' END AS status, CASE kind WHEN 0 THEN 'non-zip' WHEN 1 THEN 'no-eocd' ELSE 'object not found' END AS reason,
+    CASE kind WHEN 0 THEN octet_length(encode(text)) + 30 WHEN 1 THEN octet_length(encode(text)) + 34 END AS size FROM f JOIN documents USING (doc_id) WHERE doc_id % 5 <> 0
+  UNION ALL SELECT raw_id, 'skipped', 'before', NULL FROM f WHERE doc_id % 5 = 0""")
+def republished(spark, d):
+    """All uploads not yet inspected are inspected in one batch; earlier results stay as they are."""
+    docs = _table(spark, d, "documents")
+    rows = docs.select(F.sha2(F.concat(F.lit("raw"), F.col("doc_id").cast("string")), 256).alias("id"), "doc_id", "text", F.lit("uploaded").alias("status"))
+    head = F.when(F.col("doc_id") % 3 == 1, F.lit("PK\x03\x04" + "." * 30)).otherwise(F.lit("." * 30))
+    objects = rows.where("doc_id % 3 <> 2").select("id", F.concat(head, "text").cast("binary").alias("content"))
+    before = rows.where("doc_id % 5 = 0").select(F.col("id").alias("raw_id"), F.lit("skipped").alias("status"), F.lit("before").alias("reason"))
+    empty = spark.createDataFrame([], "raw_id string, corrected_id string, status string, reason string, raw_file_size_bytes long, corrected_file_size_bytes long, correction_type string, inspected_at timestamp, corrected_at timestamp")
+    new, _ = jobs.republish(rows, empty.unionByName(before, allowMissingColumns=True), objects, F.current_timestamp())
+    return new.select("raw_id", "status", "reason", F.col("raw_file_size_bytes").alias("size"))
+
+
+@query("SELECT page_id, count(*) AS n FROM pages GROUP BY page_id")
+def stream_resumed(spark, d):
+    """A stream in two runs over the same checkpoint: the second one handles only what came in between."""
+    from textmill.streaming.ingest import appending_sink, record_stream, run_available
+
+    out = _folder(spark, "resumed")
+    pages = _table(spark, d, "pages").select("page_id")
+    for k in (0, 1):
+        pages.where(F.col("page_id") % 2 == k).write.mode("append").json(f"{out}/in")
+        run_available(record_stream(spark, f"{out}/in", schema="page_id long"), appending_sink(f"{out}/run{k}"), f"{out}/checkpoint")
+    both = spark.read.parquet(f"{out}/run0").unionByName(spark.read.parquet(f"{out}/run1"))
+    return both.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
