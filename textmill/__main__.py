@@ -1,13 +1,20 @@
 """python -m textmill COMMAND ...: the corpus's jobs over Parquet tables below a root folder.
 
     filter-index --root R --crawl C --index PATH     write the matching index records of a crawl
+    filter-index --root R --catalog FILE --index PATH (--all | --latest N)
+                                                     the same for all (or the newest) crawls of a catalog that have none yet;
+                                                     {crawl} in the path stands for each one's id
     crawls       --root R                            the crawls that have filtered records
     scrape       --root R --crawl C --archive PATH [--force] [--retry-failed]
-    extract      --root R [--batch N]
+    extract      --root R [--batch N] [--deadline SECONDS]
     embed        --root R [--batch N]
     sample       --root R --output PATH [--total N]    a stratified sample to label, as JSON lines
     label        --root R --input SAMPLE --output PATH  label a sample's texts (a stand-in labeller)
     classify     --root R --input LABELS [--lang L]    train on labels (JSON lines), classify the rest
+    evaluate     --root R [--lang L] [--input LABELS]  a report of the classified corpus, or of label lines
+    relabel      --root R --from MODEL --to MODEL [--dry-run]  rename the model that labels are said to be from
+    republish    --root R [--retry-failed]           inspect uploads that haven't been, store corrected files
+    repair       --input FOLDER [--in-place]          cut the known tail off the files below a folder
     status       --root R
     export       --root R --output PATH [--base URL]
     manifest     --root R --output PATH [--type T] [--topic T] [--lang L] [--min-confidence X]
@@ -24,10 +31,10 @@ from pyspark.sql import functions as F
 
 from textmill.functions import text as T
 from textmill.functions.plain import parse_crawl_spec
-from textmill.operators import learning, sampling, search, stats
+from textmill.operators import ingest, learning, mutations, sampling, search, stats
 from textmill.operators import predicates as P
 from textmill.plans import jobs
-from textmill.schemas import DOCUMENTS, TOPICS, TYPES
+from textmill.schemas import CORRECTIONS, DOCUMENTS, TOPICS, TYPES
 from textmill.sources import archive, store
 
 
@@ -43,10 +50,16 @@ def _objects(spark: SparkSession, root: str) -> DataFrame:
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(prog="textmill", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("command", choices=["filter-index", "crawls", "scrape", "extract", "embed", "sample", "label", "classify", "status", "export", "manifest"])
-    parser.add_argument("--root", required=True)
+    parser.add_argument("command", choices=["filter-index", "crawls", "scrape", "extract", "embed", "sample", "label", "classify", "evaluate", "relabel", "republish", "repair", "status", "export", "manifest"])
+    parser.add_argument("--root", default="")
     for flag in ("--crawl", "--index", "--archive", "--input", "--output", "--type", "--topic", "--lang", "--min-confidence"):
         parser.add_argument(flag, default="")
+    for flag in ("--catalog", "--from", "--to"):
+        parser.add_argument(flag, default="", dest=flag.strip("-") + "_")
+    for flag in ("--all", "--dry-run", "--in-place"):
+        parser.add_argument(flag, action="store_true")
+    parser.add_argument("--latest", type=int, default=0)
+    parser.add_argument("--deadline", type=float, default=30)
     parser.add_argument("--base", default="https://corpus.example.org/documents/")
     parser.add_argument("--batch", type=int, default=1_000_000)
     parser.add_argument("--total", type=int, default=3500)
@@ -55,9 +68,18 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser.add_argument("--retry-failed", action="store_true")
     parser.add_argument("--slow", action="store_true")
     a = parser.parse_args(args)
+    if not a.root and a.command != "repair":
+        parser.error("--root is missing")
     spark = spark or SparkSession.builder.appName(f"textmill {a.command}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     root, now = a.root.rstrip("/"), F.current_timestamp()
-    if a.command == "filter-index":
+    if a.command == "filter-index" and (a.all or a.latest):
+        catalog = archive.crawl_catalog(spark, a.catalog_)
+        catalog = ingest.newest_crawls(catalog, a.latest) if a.latest else catalog
+        there = store.ObjectStore(spark, root).exists("filtered")
+        done = archive.filtered_crawls(spark, f"{root}/filtered").select(F.regexp_replace("id", "^crawl_id=", "").alias("id")) if there else catalog.limit(0)
+        for crawl in [r.id for r in ingest.missing_crawls(catalog, done).collect()]:  # the catalog's crawls
+            archive.filter_index(spark, a.index.replace("{crawl}", crawl), f"{root}/filtered", crawl).show(truncate=False)
+    elif a.command == "filter-index":
         archive.filter_index(spark, a.index, f"{root}/filtered", a.crawl).show(truncate=False)
     elif a.command == "crawls":
         archive.filtered_crawls(spark, f"{root}/filtered").show(truncate=False)
@@ -71,7 +93,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
             store.write_absent_objects(objects, f"{root}/objects")
             store.replace_table(jobs.scraped(documents, new, crawl), f"{root}/documents")
     elif a.command == "extract":
-        done, texts = jobs.extract(_documents(spark, root), _objects(spark, root), now, a.batch)
+        done, texts = jobs.extract(_documents(spark, root), _objects(spark, root), now, a.batch, deadline_s=a.deadline)
         if store.ObjectStore(spark, root).exists("texts"):  # a run that is repeated appends nothing twice
             texts = texts.join(spark.read.parquet(f"{root}/texts").select("id"), "id", "left_anti")
         texts.write.mode("append").parquet(f"{root}/texts")
@@ -105,6 +127,23 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         documents = _documents(spark, root)
         new = jobs.classify(documents, texts, model(TYPES, "document_type"), model(TOPICS, "document_topic"), TYPES, TOPICS, languages)
         store.replace_table(new, f"{root}/documents")
+    elif a.command == "evaluate":
+        report = stats.label_quality(store.read_json_lines(spark, a.input)) if a.input else stats.corpus_evaluation(_documents(spark, root), a.lang or None)
+        report.show(1000, truncate=False)
+    elif a.command == "relabel":
+        names = {a.from_: a.to_}
+        stats_of = mutations.rename_counts(_documents(spark, root), "classification_model", names)
+        stats_of.show(truncate=False)
+        if not a.dry_run:
+            store.replace_table(mutations.rename(_documents(spark, root), "classification_model", names), f"{root}/documents")
+    elif a.command == "republish":
+        there = store.recover_table(spark, f"{root}/corrections")
+        before = spark.read.schema(CORRECTIONS).parquet(f"{root}/corrections") if there else spark.createDataFrame([], CORRECTIONS)
+        new, objects = jobs.republish(_documents(spark, root), before, _objects(spark, root), now, a.retry_failed)
+        store.write_absent_objects(objects, f"{root}/objects")
+        store.replace_table(new, f"{root}/corrections")
+    elif a.command == "repair":
+        jobs.repair_folder(spark, a.input, in_place=a.in_place).groupBy("status").count().show(truncate=False)
     elif a.command == "status":
         stats.status_report(_documents(spark, root)).show(100, truncate=False)
     elif a.command == "export":

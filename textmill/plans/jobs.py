@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions import records as R
@@ -19,7 +19,7 @@ from textmill.operators import ingest, learning, mutations, search, stats
 from textmill.operators import predicates as P
 from textmill.schemas import LANGUAGE_NAMES, TOPIC_LABELS, TYPE_LABELS
 from textmill.sources.archive import fetch_records
-from textmill.sources.store import written
+from textmill.sources.store import without_links, write_absent_objects, written
 
 
 def scrape(
@@ -99,6 +99,23 @@ def republish(documents: DataFrame, corrections: DataFrame, objects: DataFrame,
     return new, inspected.where("corrected_id IS NOT NULL").select(F.col("corrected_id").alias("id"), "content")
 
 
+def repair_folder(spark: SparkSession, root: str, pattern: str = "*.docx", in_place: bool = False, keep: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
+    """(key, status, sha256) of the files below a folder: what is wrong with each one's end, and the hash of the repaired file.
+
+    In place, repaired files replace their old versions, through temporary names; links
+    are skipped. A second run finds them clean.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    base = root.rstrip("/").split("://", 1)[-1].split(":", 1)[-1].lstrip("/") + "/"
+    named = without_links(files.select("path")).join(files.select("path", "content"), "path")
+    repair = R.repaired(F.when(~F.col("is_link"), F.col("content")))
+    done = named.select(F.substring_index("path", base, -1).alias("key"), "is_link", repair.alias("r"))
+    done = keep(done.select("key", F.when(F.col("is_link"), "skipped-symlink").otherwise(F.col("r.status")).alias("status"), F.col("r.candidate").alias("content")))
+    if in_place:
+        write_absent_objects(done.where("content IS NOT NULL").select(F.col("key").alias("id"), "content"), root, "", replace=True)
+    return done.select("key", "status", F.sha2("content", 256).alias("sha256"))
+
+
 def stats_payload(documents: DataFrame) -> dict:
     """What a statistics endpoint answers: totals, types, topics and the top languages with their shares."""
     hero = stats.hero(documents).first()

@@ -65,8 +65,8 @@ class ObjectStore:
         return files.select(F.substring_index("path", base, -1).alias("key"), "length", "content")
 
 
-def write_absent_objects(objects: DataFrame, root: str, suffix: str = ".docx") -> None:
-    """Write (id, content) rows as files id + suffix, those that aren't there yet; runs on the executors.
+def write_absent_objects(objects: DataFrame, root: str, suffix: str = ".docx", replace: bool = False) -> None:
+    """Write (id, content) rows as files id + suffix, those that aren't there yet (or, to replace, all); runs on the executors.
 
     Ids are content hashes: a second attempt of a task writes the same bytes. The root
     is a path that all executors share or an address (hdfs:, s3:, gs:, file:); an
@@ -83,7 +83,7 @@ def write_absent_objects(objects: DataFrame, root: str, suffix: str = ".docx") -
         files.create_dir(folder, recursive=True)
         for row in rows:
             path = f"{folder}/{row.id}{suffix}"
-            if files.get_file_info(path).type == fs.FileType.NotFound:
+            if replace or files.get_file_info(path).type == fs.FileType.NotFound:
                 part = f"{path}.{uuid.uuid4().hex}.tmp"
                 with files.open_output_stream(part) as f:
                     f.write(bytes(row.content))
@@ -92,6 +92,21 @@ def write_absent_objects(objects: DataFrame, root: str, suffix: str = ".docx") -
     objects.select("id", "content").dropDuplicates(["id"]).foreachPartition(put)
 
 
+def without_links(files: DataFrame, path_col: str = "path") -> DataFrame:
+    """files with is_link: whether a path of a local file system is a symbolic link; other stores have none."""
+
+    def run(batches):
+        import os
+        from urllib.parse import unquote, urlparse
+
+        for batch in batches:
+            local = [p if p.startswith("/") else unquote(urlparse(p).path) if p.startswith("file:") else None for p in batch[path_col]]
+            yield batch.assign(is_link=[p is not None and os.path.islink(p) for p in local])
+
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema)
+    return files.mapInPandas(run, f"{shape}, is_link boolean")
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     """Write a new version beside a table and swap it in; the old one is read until the swap.
 
