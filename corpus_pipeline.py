@@ -34,8 +34,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     _session(spark)
     model = crf.fit(*crf.learning_rows(docs, table(spark, sf_dir, "labels")))
-    carried = docs.select(*COLUMNS, F.col("text").alias("scored"))
-    kept = crf.score_documents(carried, model, text_col="scored", carry=tuple(COLUMNS[1:]))
+    kept = crf.score_documents(docs.select(*COLUMNS), model, carry=tuple(COLUMNS[1:]))
     return kept.where(F.col("score") >= LEAST_QUALITY).select(*COLUMNS)
 
 
