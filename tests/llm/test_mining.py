@@ -207,6 +207,13 @@ def test_phrases_of_nothing(spark):
         assert phrases.collocations(spark.createDataFrame(rows, "lang string, text string")).collect() == []
 
 
+def test_phrases_of_blocks_without_longer_ones(spark):
+    """Pairs that nothing follows, words without pairs, and blocks of both."""
+    for rows in ([("en", "a b. a b.")] * 9, [("en", "a. b. c. d")] * 9, [("en", "a b. c")] * 9 + [("de", "x y z")] * 9 + [("fr", "q")] * 9):
+        got = phrases.collocations(spark.createDataFrame(rows, "lang string, text string").repartition(3), least=9)
+        assert {tuple(r) for r in got.collect()} == brute_phrases(rows, 9, 4, 2000)
+
+
 def test_words_are_the_same_in_spans(monkeypatch):
     text = "The cat, sat on" + "z" * 90 + " a mat.\tIt is\n. so! " * 7
     def tokens():

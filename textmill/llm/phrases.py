@@ -160,7 +160,7 @@ def _by_bucket(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _cuts(ordered: np.ndarray) -> Iterator[tuple[int, slice]]:
     begins = np.flatnonzero(np.diff(ordered, prepend=np.int32(-1)))
-    for a, b in zip(begins, np.append(begins[1:], len(ordered)), strict=True):
+    for a, b in zip(begins, [*begins[1:], len(ordered)]):
         yield int(ordered[a]), slice(a, b)
 
 
