@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.records import gunzip_or_raw, parse_warc
@@ -28,22 +28,18 @@ def index_paths(spark: SparkSession, path: str) -> DataFrame:
 
 
 def filter_index(spark: SparkSession, path: str, out: str, crawl_id: str, mime: str = DOCX_MIME) -> DataFrame:
-    """Write the matching records of index files as JSON lines, an output for each input; returns (file, lines, named, n).
+    """Write the matching records of index files as JSON lines, an output for each input; returns (file, n).
 
-    The index is read once: lines, and those that name the media type, of the whole run
-    are observed while it is written, and n, the records of each file that has any, is counted in what was
-    written. Filtering a file again replaces its output.
+    The index is read once: n, the records of each file that has any, is counted in what
+    was written. Filtering a file again replaces its output. (An Observation would give
+    the lines read as well, but once a session has one, its later model transforms fail
+    to serialize in Spark 4.1.)
     """
-    seen = Observation()
-    good = F.col("value").contains(mime)
-    lines = index_lines(spark, path).observe(seen, F.count(F.lit(1)).alias("lines"), F.count(F.when(good, 1)).alias("named"))
-    records = index_records(lines, mime, keep=("file",))
+    records = index_records(index_lines(spark, path), mime, keep=("file",))
     name = F.regexp_replace(F.regexp_replace("file", r"^[a-z0-9]+:/+", ""), r"[^A-Za-z0-9._-]", "_")
     rows = records.select("value", F.lit(crawl_id).alias("crawl_id"), name.alias("file"))
     rows.write.partitionBy("crawl_id", "file").mode("overwrite").option("partitionOverwriteMode", "dynamic").text(out)
-    told = seen.get
-    n = index_names(spark, path).join(_kept_lines(spark, out, crawl_id), "file")
-    return n.select("file", F.lit(told["lines"]).alias("lines"), F.lit(told["named"]).alias("named"), "n")
+    return index_names(spark, path).join(_kept_lines(spark, out, crawl_id), "file")
 
 
 def index_names(spark: SparkSession, path: str) -> DataFrame:
