@@ -18,9 +18,9 @@ def norm(a: str | Column) -> Column:
 
 
 def normalised(a: str | Column) -> Column:
-    """Of length 1, or as it is where the length is 0."""
+    """Of length 1, or as it is where the length is 0; beside a NaN all but 0 becomes NaN."""
     n = norm(a)
-    return F.when(n > 0, F.transform(col(a), lambda x: x.cast("double") / n)).otherwise(
+    return F.when(n > 0, F.transform(col(a), lambda x: F.when(x == 0, x.cast("double")).otherwise(x.cast("double") / n))).otherwise(
         F.transform(col(a), lambda x: x.cast("double"))
     )
 
