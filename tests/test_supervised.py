@@ -78,3 +78,35 @@ def test_no_rows_and_null_values(spark):
     got = with_deadline(rows, lambda x: (x is None,), "value", "none boolean").collect()
     assert [(r.id, r.none, r.error) for r in got] == [(1, True, None)]
     assert with_deadline(rows.where(F.lit(False)), behave, "value", "n int, twice string").collect() == []
+
+
+def test_rows_go_on_while_some_hang(spark):
+    values = ["hang" if i % 5 == 0 else f"v{i}" for i in range(40)]
+    rows = spark.createDataFrame(list(enumerate(values)), "id int, value string").coalesce(1)
+    began = time.monotonic()
+    got = {r.id: r for r in with_deadline(rows, behave, "value", "n int, twice string", deadline_s=3).collect()}
+    # One after the other, eight times three seconds would pass.
+    assert time.monotonic() - began < 20
+    assert all((got[i].twice, got[i].error) == ((None, "timed out after 3s") if x == "hang" else (x * 2, None)) for i, x in enumerate(values))
+
+
+def test_new_children_are_forked_without_loading_the_function_again(tmp_path):
+    log = tmp_path / "loads"
+
+    class Loaded:
+        def __reduce__(self):
+            return (_logged, (str(log),))
+
+    child = Child(Loaded())
+    try:
+        told = [child.call(x, 10)[1] for x in ("die", "a", "die", "b", "die")]
+    finally:
+        child.kill()
+    died = "process ended with status 5"
+    assert told == [died, None, died, None, died] and child.started == 3 and log.read_text() == "x"
+
+
+def _logged(log):
+    with open(log, "a") as f:
+        f.write("x")
+    return behave
