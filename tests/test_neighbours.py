@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,3 +88,28 @@ def test_index_of_few_rows(spark, tmp_path):
     index = VectorIndex.build(some, f"{tmp_path}/some")
     got = {(r.query, r.rank): r.id for r in index.search_exact(some, k=2).collect()}
     assert got == {(1, 1): 3, (1, 2): 2, (2, 1): 1, (2, 2): 3, (3, 1): 1, (3, 2): 2}
+
+
+def test_workers_hand_a_bounded_number_of_rows_over(made, monkeypatch):
+    _, _, index, _ = made
+    monkeypatch.setattr(neighbours, "CELLS", 90)
+    monkeypatch.setattr(neighbours, "ROWS_AT_ONCE", 16)
+    handed = {}
+
+    class Rows:
+        def mapInPandas(self, run, shape):
+            rng = np.random.default_rng(1)
+            batch = pd.DataFrame({"id": range(50), "vector": list(rng.normal(size=(50, 16)))})
+            handed["parts"] = list(run(iter([batch, batch.iloc[:0]])))
+            handed["batch"] = batch
+
+    seen = []
+
+    def choose(distances, batch):
+        seen.append(distances.shape)
+        return distances >= 0
+
+    index._nearest_lists(Rows(), choose)
+    whole = pd.concat(handed["parts"])
+    assert max(len(p) for p in handed["parts"]) <= 16 and max(n for n, _ in seen) <= 3
+    assert len(whole) == 50 * len(index.names) and set(zip(whole["id"], whole["list"])) == {(i, j) for i in range(50) for j in index.names}
