@@ -4,6 +4,7 @@ import gzip
 import json
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +112,17 @@ def test_stream_reads_what_batches_read_and_resumes(spark, corpus, tmp_path):
     run()
     out = spark.read.parquet(f"{tmp_path}/out")
     assert told(out) == sorted(want) == told(S.read_archive(spark, str(index), str(archive)))
+
+
+def test_fetched_bodies_are_passed_on_some_mb_at_a_time(spark, monkeypatch):
+    from textmill.sources import archive
+
+    kept = {}
+    pointers = spark.createDataFrame([], "url string, filename string, range_start long, range_length long")
+    plain = type(pointers).mapInPandas
+    monkeypatch.setattr(type(pointers), "mapInPandas", lambda rows, run, shape: kept.setdefault("run", run) and plain(rows, run, shape))
+    archive.fetch_records(pointers, lambda file, start, length: bytes(length), rps=1e9, partitions=1)
+    columns = ["url", "filename", "range_start", "range_length", "position"]
+    told = list(kept["run"](iter([pd.DataFrame([("u", "f", 0, 1 << 20, i) for i in range(20)], columns=columns)])))
+    sizes = [sum(map(len, t["raw"])) for t in told]
+    assert sum(sizes) == 20 << 20 and max(sizes) <= 4 << 20 and [i for t in told for i in t["position"]] == list(range(20))

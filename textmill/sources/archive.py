@@ -189,7 +189,7 @@ def fetch_with_retry(
 
 
 #: Fetched bodies that a task holds before it passes them on.
-FETCHED_BYTES = 32 << 20
+FETCHED_BYTES = 4 << 20
 
 
 def local_range(root: str) -> Callable[[str, int, int], bytes]:
