@@ -1,6 +1,7 @@
 """The data source of archive records: ranges, filters, streams."""
 
 import gzip
+import hashlib
 import json
 import random
 
@@ -126,3 +127,33 @@ def test_fetched_bodies_are_passed_on_some_mb_at_a_time(spark, monkeypatch):
     told = list(kept["run"](iter([pd.DataFrame([("u", "f", 0, 1 << 20, i) for i in range(20)], columns=columns)])))
     sizes = [sum(map(len, t["raw"])) for t in told]
     assert sum(sizes) == 20 << 20 and max(sizes) <= 4 << 20 and [i for t in told for i in t["position"]] == list(range(20))
+
+
+def test_archive_files_are_even_whatever_the_ids(spark, tmp_path):
+    from textmill.plans import engine_queries as Q
+
+    rows = [(5 * k, None if k == 7 else f"text {k} é" * (k % 40), "web", "en", 9) for k in range(1000)] + [(None, "no id", "web", "en", 5)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    index, archive, _ = Q._archive(spark, str(tmp_path))
+    per_file = [r["count"] for r in spark.read.json(index).groupBy("filename").count().collect()]
+    assert len(per_file) == 5 and max(per_file) < 300 and sum(per_file) == 1001
+    for query in (Q.archive_source_records, Q.archive_source_stream):
+        got = {r.url: (r.size, r.content_sha256) for r in query(spark, str(tmp_path)).collect()}
+        want = {f"https://web.example.org:8080/files/doc%20{i}.docx?v=1": t for i, t, *_ in rows if i is not None and i % 10}
+        assert got == {u: (None, None) if t is None else (len(t.encode()), hashlib.sha256(t.encode()).hexdigest()) for u, t in want.items()}
+
+
+def test_archives_are_written_a_batch_at_a_time(spark, tmp_path):
+    from textmill.sources import store
+
+    rows = [(f"f{k % 3}", k, f"u{k}", None if k == 8 else bytes([k]) * k) for k in range(60)]
+    key, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set(key, "7")
+        made = store.write_archives(spark.createDataFrame(rows, "id string, k int, url string, content binary"), f"{tmp_path}/a", "k", ".bin")
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(p.name for p in (tmp_path / "a").iterdir() if not p.name.startswith(".")) == ["f0.bin", "f1.bin", "f2.bin"]
+    got = {r.k: (r.url, (tmp_path / "a" / r.filename).read_bytes()[r.offset :][: r.length]) for r in made.collect()}
+    assert got == {k: (u, x or b"") for _, k, u, x in rows}
+    assert all((tmp_path / "a" / f"f{i}.bin").read_bytes() == b"".join(x or b"" for name, *_, x in rows if name == f"f{i}") for i in range(3))

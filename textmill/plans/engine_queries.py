@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 
 from textmill.functions import records as R
@@ -54,20 +52,12 @@ def _archive(spark, d):
     n = F.octet_length("text").cast("string")
     head = F.concat(F.lit("WARC/1.0\r\nWARC-Type: response\r\n\r\nHTTP/1.1 200 OK\r\nContent-Type: text/plain\r\nContent-Length: "), n, F.lit("\r\n\r\n"))
     record = R.gzipped(F.concat(head.cast("binary"), F.col("text").cast("binary"), F.lit("\r\n\r\n").cast("binary")))
-    status = F.when(F.col("doc_id") % 10 == 0, "404").otherwise("200")
-    files = max(1, rows.count() // 200)
-    rows = rows.select(F.pmod("doc_id", F.lit(files)).cast("string").alias("id"), "doc_id", "source_url", status.alias("status"), record.alias("content"))
-
-    def joined(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("doc_id")
-        sizes = group["content"].map(len).to_numpy()
-        lines = pd.DataFrame({"url": group["source_url"], "mime": "text/plain", "status": group["status"], "digest": "", "length": sizes.astype(str), "offset": (np.cumsum(sizes) - sizes).astype(str)})
-        index = lines.assign(filename=group["id"] + ".gz").to_json(orient="records", lines=True)
-        return pd.DataFrame({"id": group["id"].iloc[:1], "content": [b"".join(group["content"])], "index": [index]})
-
-    made = store.written(rows.groupBy("id").applyInPandas(joined, "id string, content binary, index string"))
-    store.write_absent_objects(made, f"{out}/archive", ".gz")
-    made.select("index").write.text(f"{out}/index")
+    status = F.when(F.col("doc_id") % 10 != 0, "200").otherwise("404")
+    file = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, rows.count() // 200))).cast("string")
+    rows = rows.select(file.alias("id"), "doc_id", F.col("source_url").alias("url"), status.alias("status"), record.alias("content"))
+    made = store.write_archives(rows, f"{out}/archive", "doc_id")
+    text = [F.col(c).cast("string").alias(c) for c in ("length", "offset")]
+    made.select(F.to_json(F.struct("url", F.lit("text/plain").alias("mime"), "status", F.lit("").alias("digest"), *text, "filename"))).write.text(f"{out}/index")
     return f"{out}/index", f"{out}/archive", out
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +93,55 @@ def write_absent_objects(objects: DataFrame, root: str, suffix: str = ".docx", r
     objects.select("id", "content").dropDuplicates(["id"]).foreachPartition(put)
 
 
+def write_archives(records: DataFrame, root: str, order: str, suffix: str = ".gz") -> DataFrame:
+    """Write (id, content) rows one after another into files id + suffix; returns the other columns, written, with filename, offset and length.
+
+    A task holds a batch of rows, however large a file gets. Rows of a file go by order,
+    those of one place by content, so a second attempt of a task writes the same bytes;
+    null content has no bytes.
+    """
+    import pyarrow as pa
+
+    kept = [f for f in records.schema if f.name not in ("id", "content")]
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import os
+
+        from pyarrow import fs
+
+        address = root.replace("s3a://", "s3://", 1)
+        files, folder = fs.FileSystem.from_uri(address if ":/" in address else f"file://{os.path.abspath(address)}")
+        files.create_dir(folder, recursive=True)
+        name, part, out, at = None, None, None, 0
+
+        def done() -> None:
+            if out:
+                out.close()
+                files.move(part, f"{folder}/{name}")
+
+        for batch in batches:
+            names, begins, sizes = [], [], []
+            for key, x in zip(batch["id"], batch["content"], strict=True):
+                if f"{key}{suffix}" != name:
+                    done()
+                    name, at = f"{key}{suffix}", 0
+                    part = f"{folder}/{name}.{uuid.uuid4().hex}.tmp"
+                    out = files.open_output_stream(part)
+                data = x.as_buffer() if x.is_valid else b""
+                out.write(data)
+                names.append(name)
+                begins.append(at)
+                sizes.append(len(data))
+                at += sizes[-1]
+            columns = [*(batch[f.name] for f in kept), pa.array(names, pa.string()), pa.array(begins, pa.int64()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [*(f.name for f in kept), "filename", "offset", "length"])
+        done()
+
+    rows = records.repartition("id").sortWithinPartitions("id", order, "content")
+    shape = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
+    return written(rows.mapInArrow(put, f"{shape}filename string, offset long, length long"))
+
+
 def without_links(files: DataFrame, path_col: str = "path") -> DataFrame:
     """files with is_link: whether a path of a local file system is a symbolic link; other stores have none."""
 
